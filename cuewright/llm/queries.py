@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ._common import table
+from .bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
 from .sharding import BITS, LIMIT, shard
 
@@ -48,3 +50,8 @@ SELECT t.doc_id, t.size_bytes, CASE WHEN b.depth = 0 THEN '' ELSE right(lpad(bin
   b.depth::INTEGER AS depth, x.total::BIGINT AS shard_bytes
 FROM t JOIN best b USING (place) JOIN total x ON x.depth = b.depth AND x.prefix = t.place >> ({BITS} - b.depth)
 """
+
+
+@_query
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
