@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ._common import table
 from .bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
+from .mixing import mix_sources
 from .sharding import BITS, LIMIT, shard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +56,8 @@ FROM t JOIN best b USING (place) JOIN total x ON x.depth = b.depth AND x.prefix
 @_query
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op4_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
