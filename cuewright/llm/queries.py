@@ -11,6 +11,7 @@ from ._common import table
 from .bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
 from .mixing import mix_sources
+from .quality import quality
 from .sharding import BITS, LIMIT, shard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +62,8 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_line_field_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
