@@ -13,6 +13,7 @@ from .exact_dedup import exact_dedup
 from .mixing import mix_sources
 from .quality import quality
 from .sharding import BITS, LIMIT, shard
+from .toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +68,8 @@ def op4_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_line_field_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op5_grammar_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
