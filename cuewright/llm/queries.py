@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ._common import table
 from .bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_groups
 from .mixing import mix_sources
 from .quality import quality
 from .sharding import BITS, LIMIT, shard
@@ -73,3 +74,24 @@ def op8_line_field_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_grammar_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op9_divide_skip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(table(spark, sf_dir, "documents"), words=4, similar=85)
+
+
+ORACLES["op9_divide_skip_join"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles FROM w),
+classes AS (SELECT list_sort(shingles) AS key, min(doc_id) AS id, len(any_value(shingles)) AS n FROM s WHERE len(shingles) > 0 GROUP BY 1),
+tokens AS (SELECT id, n, unnest(key) AS tok FROM classes),
+pairs AS (SELECT a.id AS x, b.id AS y FROM tokens a JOIN tokens b ON a.tok = b.tok AND a.id < b.id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT x AS u, y AS v FROM pairs UNION ALL SELECT y, x FROM pairs),
+reach AS (SELECT id AS u, id AS r FROM classes UNION SELECT e.v, reach.r FROM reach JOIN edges e ON e.u = reach.u),
+comp AS (SELECT u AS id, min(r) AS component_id FROM reach GROUP BY u)
+SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, coalesce(comp.component_id, s.doc_id) AS component_id
+FROM s LEFT JOIN classes c ON c.key = list_sort(s.shingles) LEFT JOIN comp ON comp.id = c.id
+"""
