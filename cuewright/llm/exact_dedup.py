@@ -1,7 +1,8 @@
 """Exact dedup by content sort.
 
-Sampled splitters range-partition the normalised texts, an external sort places equal texts side by side, and
-comparing whole neighbours finds the groups, whose smallest identifier stays. Only DataFrame functions run.
+Sampled splitters range-partition the normalised texts by their first bytes (and a digest, which parts texts that
+start alike), an external sort places equal texts side by side, and comparing whole neighbours finds the groups, whose
+smallest identifier stays. Only DataFrame functions run.
 
 A text with very many copies would be one range that no splitter can cut. Counts by a 64-bit digest, combined before
 their shuffle, find such texts; their rows get a slice number behind the text in the sort key, so that splitters can
@@ -23,6 +24,8 @@ from ._common import SPACE, checkpointed, partitions
 HOT_ROWS = 256
 #: No more texts than this can count as hot.
 MOST_HOT = 10_000
+#: Leading characters of a text that stand in a splitter; whole texts there would all meet in the driver.
+HEAD = 24
 
 
 def normalised(text: F.Column | str) -> F.Column:
@@ -46,9 +49,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(F.col(id_col).alias("_id"), normalised(text_col).alias("_norm"))
     hot = F.broadcast(hot_texts(texts, hot_rows))
     dealt = texts.withColumn("_digest", F.xxhash64("_norm")).join(hot, F.col("_digest") == F.col("_hot"), "left")
-    dealt = dealt.select("_id", "_norm", F.when(F.col("_slices").isNotNull(), F.pmod(F.xxhash64("_id"), F.col("_slices"))).cast("int").alias("_slice"))
-    ranged = dealt.repartitionByRange(partitions(docs), "_norm", "_slice")
-    order = Window.partitionBy("_norm", "_slice").orderBy(F.col("_id").asc_nulls_last())
+    slice_ = F.when(F.col("_slices").isNotNull(), F.pmod(F.xxhash64("_id"), F.col("_slices"))).cast("int")
+    dealt = dealt.select("_id", F.substring("_norm", 1, HEAD).alias("_head"), "_digest", "_norm", slice_.alias("_slice"))
+    ranged = dealt.repartitionByRange(partitions(docs), "_head", "_digest", "_slice")
+    order = Window.partitionBy("_head", "_digest", "_slice", "_norm").orderBy(F.col("_id").asc_nulls_last())
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     found = ranged.select(
         "_id",
