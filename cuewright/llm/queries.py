@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ._common import table
 from .bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_groups
 from .mixing import mix_sources
+from .neighbours import nearest_neighbours
 from .quality import quality
 from .sharding import BITS, LIMIT, shard
+from .token_counts import token_counts
 from .toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,7 +85,8 @@ def op9_divide_skip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_divide_skip_join"] = r"""
-WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda x: x <> '') AS words FROM documents),
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda x: x <> '') AS words FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
   ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles FROM w),
 classes AS (SELECT list_sort(shingles) AS key, min(doc_id) AS id, len(any_value(shingles)) AS n FROM s WHERE len(shingles) > 0 GROUP BY 1),
@@ -95,3 +99,13 @@ comp AS (SELECT u AS id, min(r) AS component_id FROM reach GROUP BY u)
 SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, coalesce(comp.component_id, s.doc_id) AS component_id
 FROM s LEFT JOIN classes c ON c.key = list_sort(s.shingles) LEFT JOIN comp ON comp.id = c.id
 """
+
+
+@_query
+def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_query
+def op2_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
