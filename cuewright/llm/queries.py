@@ -14,6 +14,7 @@ from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_groups
 from .mixing import mix_sources
 from .neighbours import nearest_neighbours
+from .passages import repeated_passages
 from .quality import quality
 from .sharding import BITS, LIMIT, shard
 from .token_counts import token_counts
@@ -109,3 +110,8 @@ def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query
+def op1_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
