@@ -29,7 +29,7 @@ from ._common import WORD, checkpointed
 #: No document is taken more often than this.
 MOST = 3
 #: Documents that fly together, about.
-BLOCK = 20_000
+BLOCK = 2_000
 WEIGHTS = (1, 2, 3)
 #: Documents of more than so many mean sizes fly first.
 LARGE = 4
