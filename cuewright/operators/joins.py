@@ -111,10 +111,6 @@ def join6_pair_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_last(*_slots(spark, sf_dir), ["stem", "slot"], "full")
 
 
-#: Dictionary entries at most that a whole-word join may broadcast; a larger dictionary joins by its first word.
-BROADCAST_TERMS = 2000
-
-
 def term_join(texts: DataFrame, terms: DataFrame, column: str = "text") -> DataFrame:
     """JOIN7: texts with each term that stands in them as a whole word or phrase, case ignored.
 
@@ -199,8 +195,9 @@ def override_join(segments: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("n_nationkey")
-    return spark.range(0, 100).select(F.col("id").alias("stem")).join(table(spark, sf_dir, "nation").select(n.alias("k"))).select(
+    """25 rules of all shapes for each stem."""
+    stems = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("stem")).distinct()
+    return stems.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(24).cast("long")))).select(
         "stem",
         F.col("k").cast("int").alias("rule"),
         F.when(F.col("k") % 5 == 1, F.col("k") % 7 + 1).cast("int").alias("index"),
@@ -214,7 +211,7 @@ def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "join11_override",
     rf"""WITH {CUES}, rules AS (SELECT s AS stem, k::INTEGER AS rule, CASE WHEN k % 5 = 1 THEN k % 7 + 1 END AS idx, CASE WHEN k % 3 = 0 THEN k * 200 + s END AS low, CASE WHEN k % 4 = 0 THEN k * 200 + s + 150 END AS high,
-  CASE WHEN k % 2 = 1 THEN 'the' ELSE '' END AS has, CASE WHEN k % 6 <> 5 THEN 'r' || k END AS zh FROM (SELECT n_nationkey::BIGINT AS k FROM nation), range(0, 100) r(s)),
+  CASE WHEN k % 2 = 1 THEN 'the' ELSE '' END AS has, CASE WHEN k % 6 <> 5 THEN 'r' || k END AS zh FROM (SELECT DISTINCT conv_id AS s FROM conversations), range(0, 25) r(k)),
 n AS (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY seq) AS i FROM cues),
 m AS (SELECT n.stem, n.seq, min(rule) AS rule FROM n JOIN rules r ON r.stem = n.stem AND zh IS NOT NULL AND (idx IS NULL OR idx = i) AND (has = '' OR contains(lower(text), has)) AND
   CASE WHEN low IS NULL AND high IS NULL THEN true WHEN low IS NOT NULL AND high IS NOT NULL THEN end_cs >= low - 35 AND start_cs <= high + 35
