@@ -39,7 +39,7 @@ from .components import components
 #: Words of a shingle, and the similarity in hundredths.
 WORDS, SIMILAR = 5, 80
 #: Bits of the frequency counters.
-COUNTER_BITS = 18
+COUNTER_BITS = 22
 #: Members of a list that are put in one size order.
 ORDERED = 2000
 #: Bits of the filter that picks candidates' texts from the scan, at most (16 MB).
@@ -110,29 +110,48 @@ def divide_skip(query: np.ndarray, sets: list[np.ndarray], similar: int) -> list
 
 
 def _frequencies(docs: DataFrame, words: int) -> np.ndarray:
-    """Counts of n-grams by the first bits of their hashes, over all documents: 2 ** COUNTER_BITS numbers."""
+    """Counts of n-grams by the first bits of their hashes, over all documents: 2 ** COUNTER_BITS numbers.
+
+    Tasks send their counters in blocks of 16-bit numbers (a full one is sent more than once); blocks are added up where
+    they meet, one array for each, however many tasks there are.
+    """
+    size = 1 << COUNTER_BITS
+    block = min(size, 1 << 14)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNTER_BITS, np.int64)
+        total = np.zeros(size, np.int64)
         for whole in batches:
-            for batch in slices(whole, 0):
+            for batch in slices(whole, 0, 16 << 20):
                 data, offsets = text_buffers(batch.column(0))
                 starts, ends, first = word_spans(data, offsets)
                 every = windows(word_hashes(data, starts, ends), words)
                 inside = np.repeat(first[1:], np.diff(first))[: len(every)] - np.arange(len(every)) >= words
-                total += np.bincount(bucket(every[inside]), minlength=len(total))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"b": pa.array(seen.astype(np.int32)), "n": pa.array(total[seen])})
-
-    rows = docs.select("_text").mapInArrow(run, "b int, n long").groupBy("b").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << COUNTER_BITS, np.int64)
-    out[rows.column("b").to_numpy()] = rows.column("n").to_numpy()
+                total += np.bincount(bucket(every[inside]), minlength=size)
+        while total.any():
+            part = np.minimum(total, 65535)
+            total -= part
+            rows = part.astype("<u2").reshape(-1, block)
+            there = np.flatnonzero(rows.any(axis=1))
+            yield pa.RecordBatch.from_pydict({"b": pa.array(there.astype(np.int32)), "n": pa.array([rows[i].tobytes() for i in there], pa.binary())})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for b, n in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                sums[b] = sums.get(b, 0) + np.frombuffer(n.as_buffer(), "<u2").astype(np.int64)
+        if sums:
+            yield pa.RecordBatch.from_pydict({"b": pa.array(list(sums), pa.int32()), "n": pa.array([np.minimum(x, 2**32 - 1).astype("<u4").tobytes() for x in sums.values()], pa.binary())})
+
+    parts = docs.select("_text").mapInArrow(run, "b int, n binary").repartition("b")
+    out = np.zeros(size, np.uint32)
+    for r in parts.mapInArrow(add, "b int, n binary").collect():  # 16 MB at any input size
+        out[r.b * block : (r.b + 1) * block] = np.frombuffer(r.n, "<u4")
     return out
 
 
 def _prefixes(docs: DataFrame, words: int, similar: int) -> DataFrame:
     """_id, _h (its hash), n, cid (class), prefix (rarest n-grams first)."""
-    counts = docs.sparkSession.sparkContext.broadcast(_frequencies(docs, words))  # 2 MB at any input size
+    counts = docs.sparkSession.sparkContext.broadcast(_frequencies(docs, words))  # 16 MB at any input size
     kind = docs.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,8 +194,10 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return docs.select(F.xxhash64("_id").alias("_h"), "_text").mapInArrow(run, "cid long, set binary").dropDuplicates(["cid"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, similar: int) -> DataFrame:
     """The pairs (u, v) that link."""
+    wanted = reps.join(pairs.select(F.col("u").alias("cid")).union(pairs.select("v")).distinct(), "cid", "left_semi").select("cid", "_h")
+    sets = checkpointed(_sets(docs, wanted, words).join(wanted.select("cid"), "cid", "left_semi"))
     whole = pairs.join(sets.select(F.col("cid").alias("v"), F.col("set").alias("_b")), "v")
     whole = whole.join(sets.select(F.col("cid").alias("u"), F.col("set").alias("_a")), "u").select("u", "v", "_a", "_b")
 
@@ -209,18 +230,19 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     reps = rows.filter("n > 0").groupBy("cid").agg(F.min(F.struct("_id", "_h")).alias("first")).select("cid", "first._id", "first._h")
     reps = checkpointed(reps)
-    wanted = reps.join(lists.select("cid").distinct(), "cid", "left_semi")
-    sets = checkpointed(_sets(docs, wanted.select("_h"), words).join(wanted.select("cid"), "cid", "left_semi"))
-
-    fits = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * similar
-    hub = lists.groupBy("tok").agg(F.min(F.struct("pos", "n", "cid")).alias("hub"))
-    star = lists.join(hub, "tok").filter((F.col("hub.cid") != F.col("cid")) & fits(F.col("hub.n"), F.col("n"))).select(*_pairs(F.col("hub.cid"), F.col("cid")))
+    def fits(a: str, b: str) -> F.Column:
+        """Lengths allow a link, and so do the n-grams from the common one on, if it is the pair's first common one."""
+        na, nb, pa_, pb = (F.col(f"{x}.{y}") for y in ("n", "pos") for x in (a, b))
+        return (F.least(na, nb) * 100 >= F.greatest(na, nb) * similar) & (F.least(na - pa_, nb - pb) * (100 + similar) >= similar * (na + nb))
+
+    member = F.struct("pos", "n", "cid")
+    hub = lists.groupBy("tok").agg(F.min(member).alias("b"))
+    star = lists.select("tok", member.alias("a")).join(hub, "tok").filter((F.col("a.cid") != F.col("b.cid")) & fits("a", "b"))
     order = Window.partitionBy("tok", "salt").orderBy("n", "cid")
     chain = lists.withColumn("salt", F.pmod(F.xxhash64("cid"), F.ceil(F.col("c") / ORDERED)))
-    chain = chain.select("cid", "n", F.lag("cid").over(order).alias("cid0"), F.lag("n").over(order).alias("n0"))
-    chain = chain.filter(F.col("cid0").isNotNull() & fits(F.col("n0"), F.col("n"))).select(*_pairs(F.col("cid0"), F.col("cid")))
-    tried = checkpointed(star.union(chain).distinct())
-    links = checkpointed(_verified(tried, sets, similar))
+    chain = chain.select("tok", member.alias("a"), F.lag(member).over(order).alias("b")).filter(F.col("b").isNotNull() & fits("a", "b"))
+    tried = checkpointed(star.union(chain).select(*_pairs(F.col("a.cid"), F.col("b.cid"))).distinct())
+    links = checkpointed(_verified(tried, docs, reps, words, similar))
     found = components(links)
 
     # What is left: members of one list that lie in different components.
@@ -228,11 +250,10 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     mixed = apart.groupBy("tok").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("tok")
     apart = checkpointed(apart.join(mixed, "tok", "left_semi").select("tok", "cid", "n", "pos", "root"))
     a, b = apart.alias("a"), apart.alias("b")
-    na, nb = F.col("a.n"), F.col("b.n")
-    ahead = 1 + F.least(na - F.col("a.pos"), nb - F.col("b.pos")) - 1
-    met = a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.root") < F.col("b.root")) & fits(na, nb) & (ahead * (100 + similar) >= similar * (na + nb)))
+    met = a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.root") < F.col("b.root")) & fits("a", "b"))
     left = met.select(*_pairs(F.col("a.cid"), F.col("b.cid"))).distinct().join(tried, ["u", "v"], "left_anti")
-    more = checkpointed(_verified(checkpointed(left), sets, similar))
+    left = checkpointed(left)
+    more = checkpointed(_verified(left, docs, reps, words, similar))
     if not more.isEmpty():
         names = found.withColumnRenamed("node", "u").withColumnRenamed("root", "ru")
         joined = more.join(names, "u", "left").join(names.select(F.col("u").alias("v"), F.col("ru").alias("rv")), "v", "left")
