@@ -1,8 +1,67 @@
-"""The corpus pipeline: quality, exact dedup, near dedup, mixing, encoding."""
+"""The corpus pipeline: quality, exact dedup, near dedup, mixing, encoding.
 
+Each stage takes (spark, docs, sf_dir) and works on all documents that the stage before kept. All but the last return
+the columns of documents: the quality classifier drops what it rejects, exact dedup keeps the first of equal texts, near
+dedup one document of each group of similar texts, mixing repeats or drops documents so that sources reach their targets.
+The last encodes every document that is left and decodes it again. Null and empty texts are empty documents to every
+stage; empty tables give empty results.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from cuewright.llm._common import checkpoint_folder, table
+from cuewright.llm._learn import fold
+from cuewright.llm.bpe import bpe_round_trip
+from cuewright.llm.exact_dedup import deduplicated
+from cuewright.llm.jaccard_join import one_of_each_group
+from cuewright.llm.mixing import mixed
+from cuewright.llm.quality import good_only, train
+
+#: SQL cannot express the first stage (a trained model), so the rows are tested against brute force instead.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line field predicts good; labels of rows with crc32(doc_id) mod 5 = 0 are not learnt from."""
+    return good_only(docs, train(docs, table(spark, sf_dir, "labels"), fold("_id", 5) != 0))
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return deduplicated(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Five words to a shingle, similarity 0.8."""
+    return one_of_each_group(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixed(docs)
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
+    ("mixing", mixing_stage),
+    ("encoding", encoding_stage),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; what a stage keeps is written to the shared folder and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{checkpoint_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

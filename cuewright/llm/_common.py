@@ -21,11 +21,17 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 BLOCK = 1 << 20
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder of the session; a folder is set only where none is (tests)."""
-    context = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's shared folder; one is set only where none is (tests)."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "cuewright-checkpoints"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "cuewright-checkpoints"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage through the shared folder of the session."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -77,3 +77,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ((F.col("_rank") == 1) & F.col("_keep").eqNullSafe(keep)).alias("kept"),
         F.col("_sha").alias("text_sha256"),
     )
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The rows that stay, with all their columns: as exact_dedup, but whole rows go through the sort, and the first row of
+    a hot text comes from the counts before it. Of rows that repeat id and text one stays."""
+    hot_rows = max(hot_rows, docs.count() // MOST_HOT)
+    norm = normalised(text_col)
+    texts = docs.select(F.xxhash64(norm).alias("_digest"), F.col(id_col).alias("_id"))
+    hot = texts.groupBy(F.col("_digest").alias("_hot")).agg(F.count("*").alias("_copies"), F.min("_id").alias("_least")).filter(F.col("_copies") >= hot_rows)
+    hot = hot.select("_hot", "_least", F.ceil(F.col("_copies") / hot_rows).cast("int").alias("_slices"))
+    dealt = docs.withColumns({"_digest": F.xxhash64(norm), "_head": F.substring(norm, 1, HEAD)}).join(F.broadcast(hot), F.col("_digest") == F.col("_hot"), "left")
+    dealt = dealt.withColumn("_slice", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(id_col), F.col("_slices"))).cast("int"))
+    ranged = dealt.repartitionByRange(partitions(docs), "_head", "_digest", "_slice").withColumn("_norm", norm)
+    order = Window.partitionBy("_head", "_digest", "_slice", "_norm").orderBy(F.col(id_col).asc_nulls_last())
+    found = ranged.withColumn("_rank", F.row_number().over(order))
+    stays = (F.col("_rank") == 1) & (F.col("_hot").isNull() | F.col(id_col).eqNullSafe(F.col("_least")))
+    return found.filter(stays).select(*docs.columns)

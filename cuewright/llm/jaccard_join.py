@@ -268,3 +268,12 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     out = rows.filter("n > 0").select("_id", "n", "cid").join(groups, "cid").select("_id", "n", "component_id")
     alone = rows.filter("n = 0").select("_id", "n", F.col("_id").alias("component_id"))
     return out.unionByName(alone).select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
+    """The whole rows of each group's smallest identifier; rows that repeat an identifier stay or go together, and rows
+    without one stay."""
+    groups = jaccard_groups(docs, id_col, text_col, words, similar)
+    stay = groups.filter(F.col(id_col) == F.col("component_id")).select(id_col)
+    gone = groups.filter(F.col(id_col) != F.col("component_id")).select(id_col).join(stay, id_col, "left_anti").distinct()
+    return docs.join(gone, id_col, "left_anti")

@@ -125,9 +125,13 @@ def _hashed(*columns: str, salt: int) -> F.Column:
     return F.xxhash64(*map(F.col, columns), F.lit(salt))
 
 
+def _words(text_col: str) -> F.Column:
+    return F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit(WORD)).cast("long")
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK) -> DataFrame:
-    """One row per input row: id, size, source, source_size, target, taken (words), copies."""
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_source"), F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit(WORD)).cast("long").alias("_size"))
+    """One row per input row: id, size, source, source_size, target, taken (words), copies, row (among equal ids)."""
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_source"), _words(text_col).alias("_size"))
     rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy("_id").orderBy("_source", "_size")))
     rows = checkpointed(rows)
     # One row for each source, a driver-side list as long as the mix has sources, not documents.
@@ -175,4 +179,15 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("_target").alias("target"),
         (copies * F.col("_size")).alias("taken"),
         copies.alias("copies"),
+        F.col("_row").alias("row"),
     )
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The whole rows as often as the mix takes them."""
+    plan = mix_sources(docs, id_col, text_col, source_col).filter("copies > 0")
+    plan = plan.select(F.col(id_col).alias("_id"), F.col("row").alias("_plan_row"), F.col("copies").alias("_copies"))
+    order = Window.partitionBy(id_col).orderBy(F.col(source_col).cast("string"), _words(text_col))
+    rows = docs.withColumn("_row", F.row_number().over(order))
+    taken = rows.join(plan, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_plan_row")))
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)

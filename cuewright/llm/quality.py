@@ -267,3 +267,15 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     field = train(docs, labels, fold("_id", 5) != 0, "quality", id_col, text_col, each)
     out = score_quality(docs, field, id_col, text_col)
     return out.select(id_col, (fold(id_col, 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def good_only(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
+    """The whole rows whose text is predicted good."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, at):
+                yield batch.filter(pa.array(field.score(*lines(batch.column(at))) >= GOOD))
+
+    return docs.mapInArrow(run, docs.schema)
