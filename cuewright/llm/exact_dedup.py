@@ -87,10 +87,12 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = docs.select(F.xxhash64(norm).alias("_digest"), F.col(id_col).alias("_id"))
     hot = texts.groupBy(F.col("_digest").alias("_hot")).agg(F.count("*").alias("_copies"), F.min("_id").alias("_least")).filter(F.col("_copies") >= hot_rows)
     hot = hot.select("_hot", "_least", F.ceil(F.col("_copies") / hot_rows).cast("int").alias("_slices"))
-    dealt = docs.withColumns({"_digest": F.xxhash64(norm), "_head": F.substring(norm, 1, HEAD)}).join(F.broadcast(hot), F.col("_digest") == F.col("_hot"), "left")
-    dealt = dealt.withColumn("_slice", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(id_col), F.col("_slices"))).cast("int"))
-    ranged = dealt.repartitionByRange(partitions(docs), "_head", "_digest", "_slice").withColumn("_norm", norm)
-    order = Window.partitionBy("_head", "_digest", "_slice", "_norm").orderBy(F.col(id_col).asc_nulls_last())
+    # Whole rows travel as one column, so their names cannot clash with those used here.
+    dealt = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_id"), F.xxhash64(norm).alias("_digest"), F.substring(norm, 1, HEAD).alias("_head"))
+    dealt = dealt.join(F.broadcast(hot), F.col("_digest") == F.col("_hot"), "left")
+    dealt = dealt.withColumn("_slice", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64("_id"), F.col("_slices"))).cast("int"))
+    ranged = dealt.repartitionByRange(partitions(docs), "_head", "_digest", "_slice").withColumn("_norm", normalised(F.col(f"_doc.{text_col}")))
+    order = Window.partitionBy("_head", "_digest", "_slice", "_norm").orderBy(F.col("_id").asc_nulls_last())
     found = ranged.withColumn("_rank", F.row_number().over(order))
-    stays = (F.col("_rank") == 1) & (F.col("_hot").isNull() | F.col(id_col).eqNullSafe(F.col("_least")))
-    return found.filter(stays).select(*docs.columns)
+    stays = (F.col("_rank") == 1) & (F.col("_hot").isNull() | F.col("_id").eqNullSafe(F.col("_least")))
+    return found.filter(stays).select("_doc.*")

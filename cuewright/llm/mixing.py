@@ -187,7 +187,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The whole rows as often as the mix takes them."""
     plan = mix_sources(docs, id_col, text_col, source_col).filter("copies > 0")
     plan = plan.select(F.col(id_col).alias("_id"), F.col("row").alias("_plan_row"), F.col("copies").alias("_copies"))
-    order = Window.partitionBy(id_col).orderBy(F.col(source_col).cast("string"), _words(text_col))
-    rows = docs.withColumn("_row", F.row_number().over(order))
-    taken = rows.join(plan, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_plan_row")))
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    # Whole rows travel as one column, so their names cannot clash with those used here.
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_doc_id"), F.col(source_col).cast("string").alias("_source"), _words(text_col).alias("_size"))
+    rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy("_doc_id").orderBy("_source", "_size"))).select("_doc", "_doc_id", "_row")
+    taken = rows.join(plan, F.col("_doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_plan_row")))
+    return taken.select("_doc", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_doc.*")
