@@ -13,7 +13,7 @@ from ..functions.text import normalize_inline
 from ..functions.values import clamp
 from ..plans.registry import query
 from ..sources.staging import CUES, cues
-from .timeline import phrase_penalty, short_dialogue
+from .timeline import bridged, phrase_penalty, short_dialogue, tail_propagated, viterbi
 
 GROUPS = ("singing", "singer_core", "speech", "conversation", "vocal_music")
 # Thresholds and weights of the model.
@@ -111,8 +111,6 @@ def seq3_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("seq2_observation")
 def seq2_observation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores with seeds and bridges as the labelling uses them."""
-    from .timeline import bridged
-
     frame = _stats(spark, sf_dir).withColumn("seed", seed(F.col("duration"))["flag"])
     frame = bridged(frame, "seed").withColumn("bridge", F.col("bridge") & can_bridge(F.col("duration")))
     return frame.select("stem", "seq", F.round(observation(F.col("duration"), F.lit(1), F.col("seed"), F.col("bridge")), 6).alias("score"))
@@ -121,8 +119,6 @@ def seq2_observation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("seq1_seq4_music_labels")
 def seq1_seq4_music_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole labelling: seeds, bridges, observations, best path, tails."""
-    from .timeline import bridged, tail_propagated, viterbi
-
     frame = _stats(spark, sf_dir).withColumn("seed", seed(F.col("duration"))["flag"])
     frame = bridged(frame, "seed").withColumn("bridge", F.col("bridge") & can_bridge(F.col("duration")))
     frame = frame.withColumn("score", F.bround(observation(F.col("duration"), F.lit(1), F.col("seed"), F.col("bridge")) * 100).cast("long"))

@@ -5,15 +5,20 @@ Everything is confined to a stem, so windows partition by it; folds run over one
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_inline
 from ..plans.registry import query
 from ..sources.staging import CUES, DETECTIONS, cues, detections
 
-BY_TIME = Window.partitionBy("stem").orderBy("start_cs", "end_cs", "seq")
-IN_ORDER = Window.partitionBy("stem").orderBy("seq")
+
+def by_time() -> WindowSpec:
+    return Window.partitionBy("stem").orderBy("start_cs", "end_cs", "seq")
+
+
+def in_order() -> WindowSpec:
+    return Window.partitionBy("stem").orderBy("seq")
 
 
 def trimmed_end(start: Column, end: Column, following: Column, least: int = 50, gap: int = 3, floor: int = 12) -> Column:
@@ -24,7 +29,7 @@ def trimmed_end(start: Column, end: Column, following: Column, least: int = 50,
 
 def collision_trim(frame: DataFrame) -> DataFrame:
     """WIN2: shown_end_cs of each cue, from the next cue in time order."""
-    return frame.withColumn("shown_end_cs", trimmed_end(F.col("start_cs"), F.col("end_cs"), F.lead("start_cs").over(BY_TIME)))
+    return frame.withColumn("shown_end_cs", trimmed_end(F.col("start_cs"), F.col("end_cs"), F.lead("start_cs").over(by_time())))
 
 
 @query(
@@ -38,7 +43,7 @@ def win2_collision_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_quality(frame: DataFrame) -> DataFrame:
     """AGG1 with WIN1: events, overlaps of neighbours in file order, over-long texts, long and short shows, per stem."""
-    seen = frame.withColumn("_before", F.lag("end_cs").over(IN_ORDER))
+    seen = frame.withColumn("_before", F.lag("end_cs").over(in_order()))
     return seen.groupBy("stem").agg(
         F.count("*").alias("events"),
         F.count_if(F.col("start_cs") < F.col("_before")).alias("overlapping"),
@@ -73,8 +78,8 @@ def context(frame: DataFrame, k: int = 4) -> DataFrame:
     """WIN3: the k texts before and behind each cue that has one."""
     filled = frame.filter(normalize_inline("text") != "")
     return filled.withColumns({
-        "before": F.array_join(F.collect_list("seq").over(IN_ORDER.rowsBetween(-k, -1)), ","),
-        "behind": F.array_join(F.collect_list("seq").over(IN_ORDER.rowsBetween(1, k)), ","),
+        "before": F.array_join(F.collect_list("seq").over(in_order().rowsBetween(-k, -1)), ","),
+        "behind": F.array_join(F.collect_list("seq").over(in_order().rowsBetween(1, k)), ","),
     })
 
 
@@ -93,10 +98,10 @@ def bridged(frame: DataFrame, seed: str, gap_cs: int = 250) -> DataFrame:
     return frame.withColumn(
         "bridge",
         ~F.col(seed)
-        & F.coalesce(F.lag(seed).over(IN_ORDER), F.lit(False))
-        & F.coalesce(F.lead(seed).over(IN_ORDER), F.lit(False))
-        & (F.col("start_cs") - F.lag("end_cs").over(IN_ORDER) <= gap_cs)
-        & (F.lead("start_cs").over(IN_ORDER) - F.col("end_cs") <= gap_cs),
+        & F.coalesce(F.lag(seed).over(in_order()), F.lit(False))
+        & F.coalesce(F.lead(seed).over(in_order()), F.lit(False))
+        & (F.col("start_cs") - F.lag("end_cs").over(in_order()) <= gap_cs)
+        & (F.lead("start_cs").over(in_order()) - F.col("end_cs") <= gap_cs),
     ).withColumn("bridge", F.coalesce("bridge", F.lit(False)))
 
 
@@ -115,9 +120,9 @@ def win4_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def continuity(frame: DataFrame, flag: str, gap_cs: int = 320) -> DataFrame:
     """WIN5: both neighbours flagged, one speaker throughout, gaps at most ``gap_cs``."""
-    near = (F.col("start_cs") - F.lag("end_cs").over(IN_ORDER) <= gap_cs) & (F.lead("start_cs").over(IN_ORDER) - F.col("end_cs") <= gap_cs)
-    same = (F.lag("speaker").over(IN_ORDER) == F.col("speaker")) & (F.lead("speaker").over(IN_ORDER) == F.col("speaker")) & (F.col("speaker") != "")
-    return frame.withColumn("continuity", F.coalesce(F.lag(flag).over(IN_ORDER) & F.lead(flag).over(IN_ORDER) & near & same, F.lit(False)))
+    near = (F.col("start_cs") - F.lag("end_cs").over(in_order()) <= gap_cs) & (F.lead("start_cs").over(in_order()) - F.col("end_cs") <= gap_cs)
+    same = (F.lag("speaker").over(in_order()) == F.col("speaker")) & (F.lead("speaker").over(in_order()) == F.col("speaker")) & (F.col("speaker") != "")
+    return frame.withColumn("continuity", F.coalesce(F.lag(flag).over(in_order()) & F.lead(flag).over(in_order()) & near & same, F.lit(False)))
 
 
 @query(
@@ -227,8 +232,8 @@ def tail_propagated(frame: DataFrame, flag: str, candidate: str) -> DataFrame:
 
     That is: the last row before that is flagged by itself has only candidates behind it up to here, a running maximum.
     """
-    at = F.row_number().over(IN_ORDER)
-    upto = IN_ORDER.rowsBetween(Window.unboundedPreceding, 0)
+    at = F.row_number().over(in_order())
+    upto = in_order().rowsBetween(Window.unboundedPreceding, 0)
     ranked = frame.withColumn("_at", at)
     ranked = ranked.withColumn("_on", F.max(F.when(F.col(flag), F.col("_at"))).over(upto)).withColumn("_off", F.max(F.when(~F.col(flag) & ~F.col(candidate), F.col("_at"))).over(upto))
     return ranked.withColumn("tail", F.coalesce(F.col("_on") > F.coalesce("_off", F.lit(0)), F.lit(False))).drop("_at", "_on", "_off")
@@ -247,10 +252,10 @@ def seq4_tail_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_carry(frame: DataFrame, music: str, italic: str, gap_cs: int = 125) -> DataFrame:
     """SEQ5: italics directly behind music, and behind each other, belong to the lyric."""
-    near = F.col("start_cs") - F.lag("end_cs").over(IN_ORDER) <= gap_cs
+    near = F.col("start_cs") - F.lag("end_cs").over(in_order()) <= gap_cs
     state = F.when(F.col(music), True).when(~(F.col(italic) & F.coalesce(near, F.lit(False))), False)
     marked = frame.withColumn("_state", state).withColumn("_near", F.coalesce(near, F.lit(False)))
-    active = F.last("_state", ignorenulls=True).over(IN_ORDER.rowsBetween(Window.unboundedPreceding, -1))
+    active = F.last("_state", ignorenulls=True).over(in_order().rowsBetween(Window.unboundedPreceding, -1))
     return marked.withColumn("lyric", F.col(music) | (F.col(italic) & F.col("_near") & F.coalesce(active, F.lit(False)))).drop("_state", "_near")
 
 
@@ -292,7 +297,7 @@ def seq9_gap_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batches(frame: DataFrame, eligible: Column, n: int = 4) -> DataFrame:
     """SEQ18: up to n consecutive eligible rows; others break the run, blank texts neither break nor count."""
     filled = frame.filter(normalize_inline("text") != "").withColumn("_ok", eligible)
-    island = F.sum((~F.col("_ok")).cast("int")).over(IN_ORDER.rowsBetween(Window.unboundedPreceding, 0))
+    island = F.sum((~F.col("_ok")).cast("int")).over(in_order().rowsBetween(Window.unboundedPreceding, 0))
     ok = filled.withColumn("_island", island).filter("_ok")
     place = F.row_number().over(Window.partitionBy("stem", "_island").orderBy("seq")) - 1
     return ok.withColumn("island", F.col("_island").cast("long")).withColumn("batch", F.floor(place / n).cast("long")).drop("_ok", "_island")
