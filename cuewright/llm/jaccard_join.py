@@ -30,6 +30,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +41,10 @@ from .components import components
 WORDS, SIMILAR = 5, 80
 #: Bits of the frequency counters.
 COUNTER_BITS = 22
-#: Members of a list that are put in one size order.
-ORDERED = 2000
+#: Members of a list that are put in one size order, about; lists that seem longer are dealt in parts, so many at most.
+ORDERED, MOST_HOT = 2000, 100_000
+#: Of so many classes one tells long lists.
+SAMPLED = 64
 #: Bits of the filter that picks candidates' texts from the scan, at most (16 MB).
 FILTER_BITS = 27
 
@@ -121,7 +124,7 @@ def _frequencies(docs: DataFrame, words: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for whole in batches:
-            for batch in slices(whole, 0, 16 << 20):
+            for batch in slices(whole, 0):
                 data, offsets = text_buffers(batch.column(0))
                 starts, ends, first = word_spans(data, offsets)
                 every = windows(word_hashes(data, starts, ends), words)
@@ -149,25 +152,51 @@ def _frequencies(docs: DataFrame, words: int) -> np.ndarray:
     return out
 
 
-def _prefixes(docs: DataFrame, words: int, similar: int) -> DataFrame:
-    """_id, _h (its hash), n, cid (class), prefix (rarest n-grams first)."""
-    counts = docs.sparkSession.sparkContext.broadcast(_frequencies(docs, words))  # 16 MB at any input size
+def _prefix(s: np.ndarray, counts: np.ndarray, similar: int) -> np.ndarray:
+    """The rarest n-grams of a set, as many as must meet for any link, rarest first."""
+    keep = len(s) - -(-similar * len(s) // 100) + 1 if len(s) else 0
+    return s[np.argsort(counts[bucket(s)], kind="stable")[:keep]].view(np.int64)
+
+
+def _rows(docs: DataFrame, counts: Broadcast, words: int, similar: int) -> DataFrame:
+    """_id, _h (its hash), n, cid (class), and of each SAMPLED-th class the prefix."""
     kind = docs.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 2):
                 sets = shingle_sets(batch.column(2), words)
-                prefix = []
-                for s in sets:
-                    keep = len(s) - -(-similar * len(s) // 100) + 1 if len(s) else 0
-                    prefix.append(s[np.argsort(counts.value[bucket(s)], kind="stable")[:keep]].view(np.int64))
-                columns = [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(set_id, sets), pa.int64()), pa.array(prefix, pa.list_(pa.int64()))]
+                ids = [set_id(s) for s in sets]
+                some = [_prefix(s, counts.value, similar) if i % SAMPLED == 0 else None for i, s in zip(ids, sets, strict=True)]
+                columns = [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), pa.array(some, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, ["_id", "_h", "n", "cid", "prefix"])
 
     return docs.select("_id", F.xxhash64("_id").alias("_h"), "_text").mapInArrow(run, f"_id {kind}, _h long, n long, cid long, prefix array<long>")
 
 
+def _postings(docs: DataFrame, counts: Broadcast, reps: DataFrame, words: int, similar: int) -> DataFrame:
+    """tok, cid, np (n and the token's position, in 32 bits each) of representatives; where the filter lets a copy
+    through, its postings repeat its class's."""
+    filtered, bits = _filter(reps)
+    shared = docs.sparkSession.sparkContext.broadcast(filtered)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole.filter(pa.array(_passes(whole.column(0), shared.value, bits))), 1, 2 << 20):
+                found = [(s, _prefix(s, counts.value, similar)) for s in shingle_sets(batch.column(1), words) if len(s)]
+                if found:
+                    sizes = [len(p) for _, p in found]
+                    place = np.concatenate([np.arange(k) for k in sizes]) + (np.repeat([len(s) for s, _ in found], sizes) << 32)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([p for _, p in found])), pa.array(np.repeat([set_id(s) for s, _ in found], sizes)), pa.array(place)], ["tok", "cid", "np"])
+
+    return docs.select(F.xxhash64("_id").alias("_h"), "_text").mapInArrow(run, "tok long, cid long, np long")
+
+
+def _passes(keys: pa.Array, filtered: np.ndarray, bits: int) -> np.ndarray:
+    key = keys.to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+    return ((filtered[(key >> np.uint64(6)).astype(np.int64)] >> (key & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
 def _filter(keys: DataFrame) -> tuple[np.ndarray, int]:
     """A bit filter of the column ``_h``, of bounded size; at worst it lets all through."""
     bits = min(FILTER_BITS, max(12, int(keys.count() * 16).bit_length()))
@@ -185,9 +214,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            key = whole.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - bits)
-            there = (shared.value[(key >> np.uint64(6)).astype(np.int64)] >> (key & np.uint64(63))) & np.uint64(1)
-            for batch in slices(whole.filter(pa.array(there.astype(bool))), 1):
+            for batch in slices(whole.filter(pa.array(_passes(whole.column(0), shared.value, bits))), 1):
                 sets = shingle_sets(batch.column(1), words)
                 yield pa.RecordBatch.from_pydict({"cid": pa.array(map(set_id, sets), pa.int64()), "set": pa.array([s.tobytes() for s in sets], pa.binary())})
 
@@ -222,14 +249,26 @@ def _pairs(a: F.Column, b: F.Column) -> list[F.Column]:
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id reachable by links)."""
     docs = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
-    rows = checkpointed(_prefixes(docs, words, similar))
-    classes = rows.filter("n > 0").groupBy("cid").agg(F.min(F.struct("_id", "_h")).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    posted = classes.select("cid", "n", F.posexplode("prefix").alias("pos", "tok"))
-    shared = posted.groupBy(F.col("tok")).agg(F.count("*").alias("c")).filter("c > 1")
-    lists = checkpointed(posted.join(shared, "tok"))
-
+    counts = docs.sparkSession.sparkContext.broadcast(_frequencies(docs, words))  # 16 MB at any input size
+    rows = checkpointed(_rows(docs, counts, words, similar))
     reps = rows.filter("n > 0").groupBy("cid").agg(F.min(F.struct("_id", "_h")).alias("first")).select("cid", "first._id", "first._h")
     reps = checkpointed(reps)
+
+    # Tokens of long lists, told by each SAMPLED-th class, are dealt in parts and count as shared; the sample steers
+    # only that. Of all other lists those stay that hold two classes.
+    sampled = rows.filter("prefix IS NOT NULL").select("cid", F.explode("prefix").alias("hot")).distinct().groupBy("hot").agg(F.count("*").alias("c"))
+    hot = sampled.filter(F.col("c") * SAMPLED >= ORDERED).orderBy(F.desc("c"), "hot").limit(MOST_HOT).select("hot", F.ceil(F.col("c") * SAMPLED / ORDERED).cast("int").alias("parts"))
+    posted = _postings(docs, counts, reps, words, similar).join(F.broadcast(hot), F.col("tok") == F.col("hot"), "left")
+    posted = posted.select("tok", "cid", "np", F.when(F.col("hot").isNotNull(), F.pmod(F.xxhash64("cid"), F.col("parts")) + 1).otherwise(0).cast("int").alias("salt"))
+    order = Window.partitionBy("tok", "salt").orderBy("np", "cid")
+    before, behind = F.lag("cid").over(order), F.lead("cid").over(order)
+    met = posted.select("tok", "cid", "np", F.col("salt"), before.alias("cid0"), F.lag("np").over(order).alias("np0"), behind.alias("cid1"))
+    met = met.filter((F.col("cid0") != F.col("cid")) | (F.col("cid1") != F.col("cid")) | (F.col("salt") > 0))
+    number = lambda c: F.shiftright(c, 32)
+    place = lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))
+    met = checkpointed(met.select("tok", "cid", number("np").alias("n"), place("np").alias("pos"), "cid0", number("np0").alias("n0"), place("np0").alias("pos0")))
+    lists = met.select("tok", "cid", "n", "pos")
+
     def fits(a: str, b: str) -> F.Column:
         """Lengths allow a link, and so do the n-grams from the common one on, if it is the pair's first common one."""
         na, nb, pa_, pb = (F.col(f"{x}.{y}") for y in ("n", "pos") for x in (a, b))
@@ -238,9 +277,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     member = F.struct("pos", "n", "cid")
     hub = lists.groupBy("tok").agg(F.min(member).alias("b"))
     star = lists.select("tok", member.alias("a")).join(hub, "tok").filter((F.col("a.cid") != F.col("b.cid")) & fits("a", "b"))
-    order = Window.partitionBy("tok", "salt").orderBy("n", "cid")
-    chain = lists.withColumn("salt", F.pmod(F.xxhash64("cid"), F.ceil(F.col("c") / ORDERED)))
-    chain = chain.select("tok", member.alias("a"), F.lag(member).over(order).alias("b")).filter(F.col("b").isNotNull() & fits("a", "b"))
+    before = F.struct(F.col("pos0").alias("pos"), F.col("n0").alias("n"), F.col("cid0").alias("cid"))
+    chain = met.filter("cid0 <> cid").select("tok", member.alias("a"), before.alias("b")).filter(fits("a", "b"))
     tried = checkpointed(star.union(chain).select(*_pairs(F.col("a.cid"), F.col("b.cid"))).distinct())
     links = checkpointed(_verified(tried, docs, reps, words, similar))
     found = components(links)
