@@ -286,6 +286,26 @@ def test_chains_follow_the_order():
     assert passages.agreeing((1, 2, 3, 4), (1, 9, 3, 4)) == 3
 
 
+def test_a_second_passage_behind_a_long_one_is_chained():
+    """Against all predecessors tried one by one; the first chain's end outweighs all in reach of the second passage."""
+    random_places = random.Random(4)
+    for first, gap, second in ((200, 100, 80), (400, 100, 60), (1000, 150, 300)):
+        at = [x for x in range(first + gap + second) if (x < first or x >= first + gap) and random_places.random() < 0.12]
+        shift = [x + (x >= first) * 20 for x in at]
+        value = [8.0] * len(at)
+        for i in range(len(at)):
+            for j in range(i):
+                x, y = at[i] - at[j], shift[i] - shift[j]
+                if max(x, y) <= passages.FURTHEST:
+                    new = min(8, x, y)
+                    value[i] = max(value[i], value[j] + new - passages.GAP * (x + y - 2 * new))
+        got = passages.chains(at, shift, 8)
+        assert sum(len(c) for c in got) == len(at) and len(got[0]) > 1
+        behind = [c for c in got if at[c[0]] >= first]
+        assert max(map(len, behind)) >= 2 and at[max(behind, key=len)[0]] <= first + gap + 64
+        assert value[got[0][-1]] == max(value)
+
+
 def test_line_features_see_empty_documents():
     x, size, per_doc = quality.lines(pa.array(["", "A b.\n\nC d.", None]))
     assert per_doc.tolist() == [1, 2, 1] and len(x) == len(size) == 4
