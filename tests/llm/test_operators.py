@@ -306,6 +306,17 @@ def test_a_second_passage_behind_a_long_one_is_chained():
         assert value[got[0][-1]] == max(value)
 
 
+def test_smaller_quoting_documents_hide_no_pair(spark):
+    """What is found without the quoting documents is found with them."""
+    pairs, quotes = [], []
+    for k in range(40):
+        words = prose(60, 5000 + k).split()
+        pairs += [(1000 + 2 * k + d, " ".join([prose(30, 6000 + 2 * k + d), *words, prose(30, 7000 + 2 * k + d)]), "a") for d in (0, 1)]
+        quotes += [(2 * k + d, " ".join([prose(40, 8000 + 2 * k + d), *words[30 * d : 30 * d + 30], prose(40, 9000 + 2 * k + d)]), "a") for d in (0, 1)]
+    alone = {r.doc_id for r in passages.repeated_passages(frame(spark, pairs)).collect()}
+    assert len(alone) > 70 and alone <= {r.doc_id for r in passages.repeated_passages(frame(spark, pairs + quotes)).collect()}
+
+
 def test_line_features_see_empty_documents():
     x, size, per_doc = quality.lines(pa.array(["", "A b.\n\nC d.", None]))
     assert per_doc.tolist() == [1, 2, 1] and len(x) == len(size) == 4
