@@ -317,6 +317,17 @@ def test_smaller_quoting_documents_hide_no_pair(spark):
     assert len(alone) > 70 and alone <= {r.doc_id for r in passages.repeated_passages(frame(spark, pairs + quotes)).collect()}
 
 
+def test_lightly_edited_passages_share_seeds(spark):
+    """Pairs that share 100 words of which each tenth is edited in one document: no exact run is longer than nine words."""
+    rows = []
+    for k in range(60):
+        words = prose(100, 3000 + k)
+        rows += [(2 * k + d, " ".join([prose(30, 40_000 + 2 * k + d), edited(words, 10, k) if d else words, prose(30, 50_000 + 2 * k + d)]), "a") for d in (0, 1)]
+    rows += [(900 + k, prose(41, 60_000 + k), "a") for k in range(30)]  # of most no seed is shared
+    got = {(r.doc_id, r.partner_id) for r in passages.repeated_passages(frame(spark, rows)).collect()}
+    assert sum((2 * k, 2 * k + 1) in got or (2 * k + 1, 2 * k) in got for k in range(60)) >= 20
+
+
 def test_line_features_see_empty_documents():
     x, size, per_doc = quality.lines(pa.array(["", "A b.\n\nC d.", None]))
     assert per_doc.tolist() == [1, 2, 1] and len(x) == len(size) == 4
