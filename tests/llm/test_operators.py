@@ -328,6 +328,15 @@ def test_lightly_edited_passages_share_seeds(spark):
     assert sum((2 * k, 2 * k + 1) in got or (2 * k + 1, 2 * k) in got for k in range(60)) >= 20
 
 
+def test_short_verbatim_passages_stay():
+    """Chains of a passage of LEAST verbatim words whose first seed is late and whose last is early, cut behind the last."""
+    n = passages.LEAST
+    words = np.arange(n, dtype="<u4")
+    late, early = passages.WINDOW - 1, n - passages.SEED - (passages.WINDOW - 1)
+    rows = [(30 + k, 50 + k, words[k:e].tobytes(), words[k:e].tobytes()) for k, e in ((late, late + 6), (late + 6, early), (early, early + 1))]
+    assert passages._passages(rows) == [(30 + late, 30 + early + passages.SEED, 50 + late, 50 + early + passages.SEED, early + passages.SEED - late)]
+
+
 def test_line_features_see_empty_documents():
     x, size, per_doc = quality.lines(pa.array(["", "A b.\n\nC d.", None]))
     assert per_doc.tolist() == [1, 2, 1] and len(x) == len(size) == 4
