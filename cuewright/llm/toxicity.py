@@ -179,11 +179,11 @@ class Grammar:
         for start in sorted(found):
             if start < done:
                 continue
-            low = max((text.rfind(c, 0, start) for c in ".!?;:\n"), default=-1) + 1
+            low = max(text.rfind(c, max(done, 0), start) for c in ".!?;:\n") + 1  # the clause before ends at done
             stop = _CLAUSE.search(text, start)
             done = stop.start() if stop else len(text)
             state, clause = (0, 0, 0), 0.0
-            for m in _WORD.finditer(text, max(low, start - WINDOW), done):
+            for m in _WORD.finditer(text, low, done):
                 word, w = m[0], found.get(m.start())
                 symbol = (INSULT if w > 0 else THREAT) if w else TARGET if word in TARGETS else NEGATION if word in NEGATIONS else REPORT if word in REPORTS else PLAIN
                 state, use = self.table[state, symbol]
@@ -204,8 +204,6 @@ class Grammar:
 
 
 FEATURES = len(USES) + 4
-#: Characters of a clause read before its first match, where no mark ends the clause before.
-WINDOW = 2000
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: F.Column, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", each: int = EACH) -> Grammar:

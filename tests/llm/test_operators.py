@@ -206,6 +206,13 @@ def test_grammar_tells_uses_apart():
     assert not toxicity.Grammar({"idiot$": 5.0}).features("idiotic nonidiot").any()
 
 
+def test_grammar_reads_long_clauses():
+    g = toxicity.Grammar({"idiot": 5.0})
+    use = lambda t: toxicity.USES[int(np.argmax(g.features(t)[:5]))]
+    far = " word" * 1000
+    assert [use(t) for t in (f"you{far} idiot", f"he said{far} idiot", f"you.{far} idiot", f"you idiot.{far} idiot. {far} idiot")] == ["aimed", "reported", "asserted", "asserted"]
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(3000, 16)).astype(np.float32)
