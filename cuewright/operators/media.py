@@ -122,13 +122,10 @@ def episode_code(c: Column) -> Column:
 
 
 def selected(media: DataFrame, selectors: DataFrame, name: str = "name") -> DataFrame:
-    """FLT15-FLT17: files whose key contains a selector's or lies in it. Selectors are a handful, given on a command line."""
-    keys = [r[0] for r in selectors.select(selector_key(F.col("selector"))).distinct().limit(1000).collect()]
+    """FLT15-FLT17: files whose key contains a selector's or lies in it, for any number of selectors."""
+    keys = selectors.select(selector_key(F.col("selector")).alias("_selector")).distinct()
     key = selector_key(F.col(name))
-    hit = F.lit(False)
-    for k in keys:
-        hit = hit | key.contains(k) | F.lit(k).contains(key)
-    return media.filter(hit)
+    return media.join(keys, key.contains(F.col("_selector")) | F.col("_selector").contains(key), "left_semi")
 
 
 @query(

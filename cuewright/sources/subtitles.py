@@ -170,7 +170,7 @@ def upsert_styles(lines: DataFrame, styles: DataFrame) -> DataFrame:
     name = F.trim(F.regexp_extract("line", r"^Style:\s*([^,]+)", 1))
     kept = lines.withColumn("style", name).join(styles.select("style"), "style", "left_anti").select("stem", "n", "line")
     ends = lines.groupBy("stem").agg(F.max("n").alias("n"))
-    added = ends.join(F.broadcast(styles.limit(1000)), F.lit(True)).select("stem", (F.col("n") + F.col("ordinal") + 1).alias("n"), "line")
+    added = ends.join(styles, F.lit(True)).select("stem", (F.col("n") + F.col("ordinal") + 1).alias("n"), "line")
     return kept.unionByName(added)
 
 
