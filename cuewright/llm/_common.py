@@ -18,14 +18,17 @@ SPACE = r"[\x20\x09-\x0D]+"
 _BASE = 0x9E3779B97F4A7C55
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes of text whose words are hashed at once; it bounds the temporary arrays of a task.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The session's shared folder; one is set only where none is (tests)."""
+    """The session's shared folder. Where none is set, a session on one machine (tests) gets one; others raise an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "cuewright-checkpoints"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "cuewright-checkpoints"))
     return context.getCheckpointDir()
 
 
@@ -39,6 +42,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it whole, whatever dots and ticks are in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -100,7 +108,7 @@ def _powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
-def slices(batch: pa.RecordBatch, text: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch with about ``limit`` bytes of text each; a document is never split."""
     _, offsets = text_buffers(batch.column(text))
     at = 0

@@ -2,8 +2,10 @@
 
 The distinct pre-tokens of a batch lie in one flat array of symbols. Each round looks up all adjacent pairs at once by
 binary search over the sorted pair keys of the merges, finds the lowest rank in each word, and merges all places of
-that pair in the word, left to right. Words leave the array as soon as none of their pairs has a merge. Results of
-words are kept between batches up to a fixed number of symbols; a long run without break is a word like any other.
+that pair in the word, left to right. Words leave the array as soon as none of their pairs has a merge. Long runs without
+a break, which would need a round for each of their many merges, are merged rank by rank instead: a round takes the
+places of the lowest rank and looks up only the pairs that it changed. Results of words are kept between batches up to a
+fixed number of symbols, and go at the end of a task.
 
 Defined results: a null text counts as empty and has no tokens; special tokens that occur in a text are one token each,
 as the vocabulary file lists them; repeated rows are encoded each; an empty table gives no rows.
@@ -12,6 +14,7 @@ as the vocabulary file lists them; repeated rows are encoded each; an empty tabl
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 from collections.abc import Iterator
@@ -29,8 +32,10 @@ ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Classes of characters: letters, numbers, white space, all others.
 LETTER, NUMBER, SPACE, OTHER = range(4)
 #: Symbols of words kept between batches, and symbols merged at once.
-KEPT = 2_000_000
-AT_ONCE = 1_000_000
+KEPT = 1_000_000
+AT_ONCE = 500_000
+#: Symbols from which a word is merged rank by rank.
+LONG = 200
 
 
 def byte_symbols() -> dict[str, int]:
@@ -72,19 +77,74 @@ class Bpe:
         self.known, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.flat, self.bounds = np.zeros(0, np.int64), np.zeros(1, np.int64)
 
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair's merge, or how many merges there are, by binary search over the sorted keys."""
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], len(self.merged))
+
+    def merge_long(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As merge, for long words: rounds by rank over all words, on a list linked by positions."""
+        n, none = len(symbols), len(self.merged)
+        symbols = symbols.copy()
+        ends = np.cumsum(lengths)
+        behind, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        behind[ends - 1], before[ends - lengths] = n, -1
+        ranks = np.full(n, none)
+        waiting: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+
+        def look(at: np.ndarray) -> None:
+            pair = at[behind[at] < n]
+            ranks[at] = none
+            ranks[pair] = self.rank(symbols[pair], symbols[behind[pair]])
+            pair = pair[ranks[pair] < none]
+            pair = pair[np.argsort(ranks[pair], kind="stable")]
+            found = ranks[pair]
+            for places in np.split(pair, np.flatnonzero(np.diff(found)) + 1) if len(pair) else ():
+                r = int(ranks[places[0]])
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(queue, r)
+                waiting[r].append(places)
+
+        look(np.arange(n))
+        while queue:
+            r = heapq.heappop(queue)
+            at = np.unique(np.concatenate(waiting.pop(r)))
+            at = at[ranks[at] == r]
+            if not len(at):
+                continue
+            # Overlapping places (aaa) merge left to right: of a run of neighbouring places each second one.
+            run = np.flatnonzero(np.concatenate([[True], behind[at[:-1]] != at[1:]]))
+            at = at[(np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0]
+            gone = behind[at]
+            symbols[at], symbols[gone], ranks[gone] = self.merged[r], -1, none
+            behind[at] = behind[gone]
+            there = behind[at] < n
+            before[behind[at[there]]] = at[there]
+            look(np.unique(np.concatenate([at, before[at][before[at] >= 0]])))
+        left = symbols >= 0
+        return symbols[left], np.add.reduceat(left, ends - lengths, dtype=np.int64) if n else np.zeros(0, np.int64)
+
     def merge(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merge words that lie one after the other; the symbols and lengths that remain."""
         n = len(lengths)
+        if lengths.max(initial=0) >= LONG:
+            long = lengths >= LONG
+            deep = np.repeat(long, lengths)
+            a, b = self.merge(symbols[~deep], lengths[~long]), self.merge_long(symbols[deep], lengths[long])
+            sizes = np.empty(n, np.int64)
+            sizes[~long], sizes[long] = a[1], b[1]
+            out, deep = np.empty(int(sizes.sum()), np.int64), np.repeat(long, sizes)
+            out[~deep], out[deep] = a[0], b[0]
+            return out, sizes
         done_symbols, done_words = [], []
         words = np.arange(n)
         while len(symbols):
             owner = np.repeat(np.arange(len(lengths)), lengths)
-            inside = owner[1:] == owner[:-1]
-            key = symbols[:-1] << 32 | symbols[1:]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            known = inside & (self.keys[at] == key)
             none = len(self.merged)
-            rank = np.where(known, self.ranks[at], none)
+            rank = np.where(owner[1:] == owner[:-1], self.rank(symbols[:-1], symbols[1:]), none)
             starts = np.cumsum(lengths) - lengths
             lowest = np.minimum.reduceat(np.append(rank, none), starts)  # a word's last pair is the break: it counts as none
             live = lowest < none
@@ -165,9 +225,11 @@ class Bpe:
 def classes() -> np.ndarray:
     """The class of each code point."""
     out = np.full(0x110000, OTHER, np.uint8)
-    text = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
-        out[[ord(c) for c in regex.findall(pattern, text)]] = kind
+    for low in range(0, 0x110000, 0x1000):
+        if not 0xD800 <= low < 0xE000:
+            text = "".join(map(chr, range(low, low + 0x1000)))
+            for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
+                out[[ord(c) for c in regex.findall(pattern, text)]] = kind
     return out
 
 
@@ -229,18 +291,21 @@ def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
-        for whole in batches:
-            for batch in slices(whole, 1, 2 << 20):
-                found = model.encode([t or "" for t in batch.column(1).to_pylist()])
-                columns = {
-                    id_col: batch.column(0),
-                    "n_tokens": pa.array([len(x) for x in found], pa.int64()),
-                    "ids_sha256": pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in found], pa.string()),
-                    "decoded_sha256": pa.array([hashlib.sha256(model.decode(x).encode()).hexdigest() for x in found], pa.string()),
-                }
-                if ids:
-                    columns["ids"] = pa.array([x.astype(np.int32) for x in found], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_pydict(columns)
+        try:
+            for whole in batches:
+                for batch in slices(whole, 1):
+                    found = model.encode([t or "" for t in batch.column(1).to_pylist()])
+                    columns = {
+                        id_col: batch.column(0),
+                        "n_tokens": pa.array([len(x) for x in found], pa.int64()),
+                        "ids_sha256": pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in found], pa.string()),
+                        "decoded_sha256": pa.array([hashlib.sha256(model.decode(x).encode()).hexdigest() for x in found], pa.string()),
+                    }
+                    if ids:
+                        columns["ids"] = pa.array([x.astype(np.int32) for x in found], pa.list_(pa.int32()))
+                    yield pa.RecordBatch.from_pydict(columns)
+        finally:
+            model.clear()
 
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
     return source.mapInArrow(run, schema)
