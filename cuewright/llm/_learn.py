@@ -15,13 +15,14 @@ def fold(id_col: str, of: int) -> F.Column:
 def sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, usable: F.Column, each: int) -> DataFrame:
     """Documents with label 0 or 1 in ``_y``: of each label the ``each`` identifiers with the smallest hash, whole texts.
 
-    At most 2 * each labelled identifiers, so the joined side is small by construction; documents stay distributed.
+    At most 2 * each labelled identifiers, so the joined side is small by construction; documents stay distributed. Of rows
+    that repeat an identifier the smallest text counts, so the sample has at most 2 * each rows.
     """
     rows = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y")).filter(F.col("_id").isNotNull() & usable)
     rows = rows.groupBy("_id").agg(F.max("_y").alias("_y"))
     parts = [rows.filter(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(each) for y in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
-    return docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id")
+    return docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.max("_y").alias("_y"), F.min("_text").alias("_text"))
 
 
 def shares(labels: DataFrame, label: str, id_col: str, usable: F.Column) -> tuple[int, int]:

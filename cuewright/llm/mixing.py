@@ -11,8 +11,9 @@ the landing phase settles at most two documents of each source.
 Choices come from a hash of the identifier and the round, so reruns agree.
 
 Defined results: null or blank texts have size 0 and are taken 0 times; a source whose documents are all empty has
-target 0; null is a source of its own, the last; rows that repeat a doc_id are separate rows, told apart by a row number
-within the doc_id; an empty table gives no rows; other columns are ignored.
+target 0; null is a source of its own, the last; rows that repeat a doc_id are separate rows, told apart by their text's
+hash, and equal rows by a row number; null is an identifier like any other; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import WORD, checkpointed
+from ._common import WORD, checkpointed, quoted
 
 #: No document is taken more often than this.
 MOST = 3
@@ -33,6 +34,8 @@ BLOCK = 2_000
 WEIGHTS = (1, 2, 3)
 #: Documents of more than so many mean sizes fly first.
 LARGE = 4
+#: Sources whose targets are sent to all executors, at most (a few MB); more are joined by shuffle.
+FEW_SOURCES = 50_000
 
 
 def targets(sizes: list[tuple[str | None, int]], weights: tuple[int, ...] = WEIGHTS, most: float = MOST) -> list[float]:
@@ -112,7 +115,7 @@ def landing(p: np.ndarray, x: np.ndarray) -> np.ndarray:
 def _fly(last: bool):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame["_large"] = frame["_size"].where(frame["_size"] > LARGE * frame["_size"].mean(), 0)
-        frame = frame.sort_values(["_large", "_turn", "_id", "_row"], ascending=[False, True, True, True], kind="stable").drop(columns="_large")
+        frame = frame.sort_values(["_large", "_turn", "_k1", "_k2", "_row"], ascending=[False, True, True, True, True], kind="stable").drop(columns="_large")
         p, x = frame["_p"].to_numpy(float), frame["_size"].to_numpy(float)
         p = flight(p, x, frame["_side"].to_numpy(float))
         frame["_p"] = landing(p, x) if last else p
@@ -126,41 +129,83 @@ def _hashed(*columns: str, salt: int) -> F.Column:
 
 
 def _words(text_col: str) -> F.Column:
-    return F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit(WORD)).cast("long")
+    return F.regexp_count(F.coalesce(F.col(quoted(text_col)), F.lit("")), F.lit(WORD)).cast("long")
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more: F.Column) -> DataFrame:
+    """_id, _source, _size and two hashes over them and the text; rows with the same hashes are interchangeable."""
+    rows = docs.select(*more, F.col(quoted(id_col)).alias("_id"), F.col(quoted(source_col)).cast("string").alias("_source"), _words(text_col).alias("_size"), F.xxhash64(quoted(text_col)).alias("_text"))
+    return rows.withColumns({"_k1": _hashed("_id", "_source", "_size", "_text", salt=1), "_k2": _hashed("_text", "_size", "_source", "_id", salt=2)}).drop("_text")
+
+
+def plan_sources(rows: DataFrame) -> DataFrame:
+    """_name, _source_size, _target, _rate of each source in ``rows`` (_source, _size); stays distributed.
+
+    Targets rise with one level: a source's is the least of MOST times its size and level * weight. The level is found in
+    rounds over sums; each but the last caps at least one source more.
+    """
+    sums = rows.groupBy("_source").agg(F.sum("_size").alias("_n"))
+    # Places in code-point order: ranges in order, numbered inside, behind as many as lie in the ranges before.
+    ranged = sums.repartitionByRange(F.col("_source").asc_nulls_last()).withColumn("_range", F.spark_partition_id())
+    ranged = checkpointed(ranged)
+    before, first = {}, 0
+    for r in sorted(ranged.groupBy("_range").count().collect()):  # as many rows as partitions
+        before[r["_range"]], first = first, first + r["count"]
+    offset = F.lit(0) if not before else F.create_map(*[F.lit(x) for kv in before.items() for x in kv])[F.col("_range")]
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(F.col("_source").asc_nulls_last())) - 1
+    weight = F.array(*[F.lit(float(w)) for w in WEIGHTS])
+    table = checkpointed(ranged.select(F.col("_source").alias("_name"), F.col("_n").alias("_source_size"), F.get(weight, F.pmod(offset + inside, F.lit(len(WEIGHTS)))).alias("_w")))
+    most = F.lit(float(MOST)) * F.col("_source_size")
+    total = float(table.agg(F.sum("_source_size")).first()[0] or 0)
+    left, scale = total, float(table.agg(F.sum("_w")).first()[0] or 0)
+    while scale:
+        over = F.lit(left) * F.col("_w") / F.lit(scale) > most
+        r = table.agg(F.sum(F.when(over, most)).alias("c"), F.sum(F.when(~over, F.col("_w"))).alias("w")).first()
+        if (new := (total - (r["c"] or 0.0), r["w"] or 0.0)) == (left, scale):
+            break
+        left, scale = new
+    target = F.least(most, F.lit(left) * F.col("_w") / F.lit(scale)) if scale else most
+    return table.select("_name", "_source_size", target.alias("_target"), F.when(F.col("_source_size") > 0, target / F.col("_source_size")).otherwise(0.0).alias("_rate"))
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK) -> DataFrame:
-    """One row per input row: id, size, source, source_size, target, taken (words), copies, row (among equal ids)."""
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_source"), _words(text_col).alias("_size"))
-    rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy("_id").orderBy("_source", "_size")))
-    rows = checkpointed(rows)
-    # One row for each source, a driver-side list as long as the mix has sources, not documents.
-    sources = rows.groupBy("_source").agg(F.sum("_size").alias("n"), F.count(F.when(F.col("_size") > 0, 1)).alias("docs")).collect()
-    sources.sort(key=lambda r: (r._source is None, [ord(c) for c in r._source or ""]))
-    goals = targets([(r._source, r.n) for r in sources])
-    spark = docs.sparkSession
-    plan = spark.createDataFrame(
-        [(r._source, int(r.n), float(g), g / r.n if r.n else 0.0) for r, g in zip(sources, goals, strict=True)],
-        "_name string, _source_size long, _target double, _rate double",
+    """One row per input row: id, size, source, source_size, target, taken (words), copies, row (among equal rows)."""
+    out = _mix(_keyed(docs, id_col, text_col, source_col), block)
+    return out.select(
+        F.col("_id").alias(id_col),
+        F.col("_size").alias("size"),
+        F.col("_source").alias(source_col),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (F.col("_copies") * F.col("_size")).alias("taken"),
+        F.col("_copies").alias("copies"),
+        F.col("_row").alias("row"),
     )
-    rows = rows.join(F.broadcast(plan), F.col("_source").eqNullSafe(F.col("_name"))).drop("_name")
+
+
+def _mix(rows: DataFrame, block: int) -> DataFrame:
+    """The rows with _copies and _row."""
+    rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy("_k1", "_k2").orderBy("_id")))
+    rows = checkpointed(rows)
+    plan = checkpointed(plan_sources(rows))
+    plan = F.broadcast(plan) if plan.count() <= FEW_SOURCES else plan
+    rows = rows.join(plan, F.col("_source").eqNullSafe(F.col("_name"))).drop("_name")
     whole = F.when(F.col("_size") > 0, F.floor(F.col("_rate") + 1e-12)).otherwise(0)
     rest = F.when(F.col("_size") > 0, F.greatest(F.lit(0.0), F.col("_rate") - F.col("_whole")))
     rows = rows.withColumn("_whole", whole).withColumn("_p", F.when(rest > 1e-9, rest).otherwise(0.0))
 
-    open_ = rows.filter("_p > 0").select("_id", "_row", "_source", "_size", "_p")
-    most = max([r.docs for r in sources], default=0)
+    open_ = rows.filter("_p > 0").select("_k1", "_k2", "_row", "_source", "_size", "_p")
+    most = open_.groupBy("_source").count().agg(F.max("count")).first()[0] or 0
     settled = None
-    for turn in range(12):
+    for turn in range(40):
         blocks = max(1, -(-most // block))
         last = blocks == 1
         dealt = open_.withColumns({
-            "_block": F.pmod(_hashed("_id", "_row", salt=turn), F.lit(blocks)),
-            "_turn": _hashed("_id", "_row", salt=100 + turn),
-            "_side": (F.pmod(_hashed("_id", "_row", salt=200 + turn), F.lit(1 << 30)) / F.lit(float(1 << 30))),
+            "_block": F.pmod(_hashed("_k1", "_row", salt=turn), F.lit(blocks)),
+            "_turn": _hashed("_k1", "_row", salt=100 + turn),
+            "_side": (F.pmod(_hashed("_k1", "_row", salt=200 + turn), F.lit(1 << 30)) / F.lit(float(1 << 30))),
         })
-        schema = dealt.schema
-        flown = dealt.groupBy("_source", "_block").applyInPandas(_fly(last), schema).select("_id", "_row", "_source", "_size", "_p")
+        flown = dealt.groupBy("_source", "_block").applyInPandas(_fly(last), dealt.schema).select("_k1", "_k2", "_row", "_source", "_size", "_p")
         flown = checkpointed(flown)
         done = flown.filter("_p = 0 OR _p = 1")
         settled = done if settled is None else settled.unionByName(done)
@@ -168,27 +213,20 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             break
         open_ = flown.filter("_p > 0 AND _p < 1")
         most = 2 * blocks
-    chosen = settled.filter("_p = 1").select(F.col("_id").alias("_cid"), F.col("_row").alias("_crow"), F.lit(1).alias("_one"))
-    out = rows.join(chosen, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_row") == F.col("_crow")), "left")
-    copies = (F.col("_whole") + F.coalesce("_one", F.lit(0))).cast("long")
-    return out.select(
-        F.col("_id").alias(id_col),
-        F.col("_size").alias("size"),
-        F.col("_source").alias(source_col),
-        F.col("_source_size").alias("source_size"),
-        F.col("_target").alias("target"),
-        (copies * F.col("_size")).alias("taken"),
-        copies.alias("copies"),
-        F.col("_row").alias("row"),
-    )
+    chosen = settled.filter("_p = 1").select(F.col("_k1").alias("_c1"), F.col("_k2").alias("_c2"), F.col("_row").alias("_crow"), F.lit(1).alias("_one"))
+    out = rows.join(chosen, (F.col("_k1") == F.col("_c1")) & (F.col("_k2") == F.col("_c2")) & (F.col("_row") == F.col("_crow")), "left")
+    return out.withColumn("_copies", (F.col("_whole") + F.coalesce("_one", F.lit(0))).cast("long"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The whole rows as often as the mix takes them."""
-    plan = mix_sources(docs, id_col, text_col, source_col).filter("copies > 0")
-    plan = plan.select(F.col(id_col).alias("_id"), F.col("row").alias("_plan_row"), F.col("copies").alias("_copies"))
+    """The whole rows as often as the mix takes them. Whole rows are moved once, to their hashes' place; of several rows
+    with the same hashes those that come first there take the copies that only some have."""
+    plan = _mix(_keyed(docs, id_col, text_col, source_col), BLOCK)
+    plan = plan.groupBy(F.col("_k1").alias("_p1"), F.col("_k2").alias("_p2")).agg(F.min("_copies").alias("_least"), (F.sum("_copies") - F.count("*") * F.min("_copies")).alias("_more"), F.sum("_copies").alias("_all"))
+    plan = plan.filter("_all > 0").drop("_all")
     # Whole rows travel as one column, so their names cannot clash with those used here.
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_doc_id"), F.col(source_col).cast("string").alias("_source"), _words(text_col).alias("_size"))
-    rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy("_doc_id").orderBy("_source", "_size"))).select("_doc", "_doc_id", "_row")
-    taken = rows.join(plan, F.col("_doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_plan_row")))
-    return taken.select("_doc", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_doc.*")
+    rows = _keyed(docs, id_col, text_col, source_col, F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_doc"))
+    rows = rows.join(plan, (F.col("_k1") == F.col("_p1")) & (F.col("_k2") == F.col("_p2")))
+    rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy("_k1", "_k2").orderBy("_id")))
+    rows = rows.withColumn("_copies", F.col("_least") + F.when(F.col("_row") <= F.col("_more"), 1).otherwise(0)).filter("_copies > 0")
+    return rows.select("_doc", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_doc.*")

@@ -49,12 +49,12 @@ def op3_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op3_extendible_sharding"] = f"""
 WITH t AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS size_bytes,
-  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT >> {32 - BITS} AS place FROM documents),
-fine AS (SELECT place, sum(size_bytes) AS size_bytes FROM t GROUP BY place),
-nodes AS (SELECT place, size_bytes, d AS depth, place >> ({BITS} - d) AS prefix FROM fine, range({BITS} + 1) r(d)),
+  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS place FROM documents),
+nodes AS (SELECT place, size_bytes, d AS depth, place >> ({BITS} - d) AS prefix FROM t, range({BITS} + 1) r(d)),
 total AS (SELECT depth, prefix, sum(size_bytes) AS total FROM nodes GROUP BY ALL),
 best AS (SELECT n.place, min(n.depth) AS depth FROM nodes n JOIN total USING (depth, prefix) WHERE total <= {LIMIT} OR depth = {BITS} GROUP BY n.place)
-SELECT t.doc_id, t.size_bytes, CASE WHEN b.depth = 0 THEN '' ELSE right(lpad(bin(t.place >> ({BITS} - b.depth)), 32, '0'), b.depth) END AS shard,
+SELECT t.doc_id, t.size_bytes, CASE WHEN b.depth = 0 THEN '' ELSE right(lpad(bin(t.place >> ({BITS} - b.depth)), 64, '0'), b.depth) END
+    || CASE WHEN x.total > {LIMIT} THEN ':0.a1' ELSE '' END AS shard,  -- the tables repeat no key: what no bit parts is one document
   b.depth::INTEGER AS depth, x.total::BIGINT AS shard_bytes
 FROM t JOIN best b USING (place) JOIN total x ON x.depth = b.depth AND x.prefix = t.place >> ({BITS} - b.depth)
 """

@@ -1,12 +1,15 @@
 """Toxicity from a weighted finite-state grammar over clauses.
 
-A word transducer maps the words of a clause to classes: insults and threats with weights, targets, negations, words of
-reported speech, others. Its insult lexicon is a weighted trie of word beginnings, learnt from labels on a bounded
-sample; the short lists of function words are fixed. Three small transducers rewrite the class string: negation marks
-what lies in its scope, reported speech marks what follows it in the clause, target and threat raise what is aimed at
-someone. They are composed once into one deterministic machine, which reads each clause that has a match and sums
-weights by how the match is used (asserted, aimed, negated, reported, threat). A logistic curve over these sums and the
-best clause gives the score.
+A word transducer maps the words of a clause to classes: insults and violent verbs with weights, words of intention,
+targets, negations, words of reported speech, others. Its insult lexicon is a weighted trie of word beginnings, learnt
+from labels on a bounded sample; the short lists of function words are fixed. Four small transducers rewrite the class
+string: negation marks what lies in its scope; a violent verb behind a word of intention is a threat; reported speech
+marks what follows it in the clause; a target raises what is aimed at it. They are composed once into one deterministic
+machine, which reads each clause that has a match and sums weights by how the match is used (asserted, aimed, negated,
+reported, threat, violent). A logistic curve over these sums and the best clause gives the score.
+
+Word beginnings are counted on the executors; the driver gets those that tell labels apart, and one row of features for
+each document of the sample.
 
 Defined results: a null or empty text has no match and gets the score of such a text; without labels of both kinds every
 score is the share of label 1 (0 without any); repeated rows are scored each; an empty table gives no rows.
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import slices
+from ._common import checkpointed, slices
 from ._learn import fold, logistic, sample, shares, sigmoid
 
 #: Documents of each label in the training sample, at most.
@@ -40,15 +43,19 @@ ENTRIES, SUPPORT, LEAST = 4000, 3, 2.5
 TARGETS = set("you your yours he him she her they them people all everyone du dich dir ihr euch sie alle tu te toi vous ils elles tous ti usted ustedes ellos ellas todos".split())
 NEGATIONS = set("not no never none nobody isn't aren't wasn't don't doesn't nicht kein keine keinen nie niemals ne pas jamais aucun aucune nunca jamás tampoco".split())
 REPORTS = set("said says say told wrote writes quoted claimed sagte sagt schrieb dit disait écrit dijo dice escribió".split())
-THREATS = {"kill": 3.0, "murder": 3.0, "hurt": 1.5, "destroy": 1.0, "beat": 0.8, "shoot": 1.5, "töten": 3.0, "umbringen": 3.0, "tuer": 2.5, "matar": 2.5}
-#: Words that a negation reaches.
+INTENTIONS = set("will gonna going shall must should i'll we'll they'll werde werden wird voy vamos vais vas va irai irons allons".split())
+VIOLENT = {"kill": 3.0, "murder": 3.0, "hurt": 1.5, "destroy": 1.0, "beat": 0.8, "shoot": 1.5, "töten": 3.0, "umbringen": 3.0, "tuer": 2.5, "matar": 2.5}
+#: Words that a negation and a word of intention reach.
 SCOPE = 3
 
+PARTS = 4  # of the sample, each weighed by a lexicon learnt on the others
+
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _CLAUSE = re.compile(r"[.!?;:\n]")
 #: Classes of words, and the uses of a match that the machine gives out.
-INSULT, THREAT, TARGET, NEGATION, REPORT, PLAIN = range(6)
-USES = ("asserted", "aimed", "negated", "reported", "threat")
+INSULT, VERB, TARGET, NEGATION, REPORT, INTENTION, PLAIN = SYMBOLS = range(7)
+USES = ("asserted", "aimed", "negated", "reported", "threat", "violent")
+WORDS = {w: s for words, s in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (INTENTIONS, INTENTION)) for w in words}
 
 
 class Transducer:
@@ -79,50 +86,81 @@ def compose(machines: list[Transducer], symbols: list[object]) -> dict[tuple[tup
 
 
 def grammar() -> dict:
-    """Negation, then reported speech, then target and threat."""
+    """Negation, then threat, then reported speech, then target. A symbol that an earlier machine has marked passes on."""
     negation: dict = {}
     for left in range(SCOPE + 1):
         negation[left, NEGATION] = (SCOPE, PLAIN)
-        for s in (INSULT, THREAT, TARGET, REPORT, PLAIN):
-            negation[left, s] = (max(left - 1, 0), "negated" if left and s in (INSULT, THREAT) else s)
+        for s in SYMBOLS:
+            if s != NEGATION:
+                negation[left, s] = (max(left - 1, 0), "negated" if left and s in (INSULT, VERB) else s)
+    threat: dict = {}
+    for left in range(SCOPE + 1):
+        threat[left, INTENTION] = (SCOPE, PLAIN)
+        threat[left, VERB] = (max(left - 1, 0), "threat" if left else VERB)
+        for s in (INSULT, TARGET, REPORT, PLAIN, "negated"):
+            threat[left, s] = (max(left - 1, 0), s)
     reported: dict = {(0, REPORT): (1, PLAIN), (1, REPORT): (1, PLAIN)}
-    for s in (INSULT, THREAT):
+    for s in (INSULT, VERB, "threat"):
         reported[1, s] = (1, "reported")
     # State 1: a target stands before in the clause.
-    aimed: dict = {(0, TARGET): (1, PLAIN), (1, TARGET): (1, PLAIN), (0, INSULT): (0, "asserted"), (1, INSULT): (1, "aimed"), (0, THREAT): (0, "threat"), (1, THREAT): (1, "threat")}
-    return compose([Transducer(negation), Transducer(reported), Transducer(aimed)], [INSULT, THREAT, TARGET, NEGATION, REPORT, PLAIN])
+    aimed: dict = {(0, TARGET): (1, PLAIN), (1, TARGET): (1, PLAIN)}
+    for state in (0, 1):
+        aimed[state, INSULT] = (state, "aimed" if state else "asserted")
+        aimed[state, VERB] = (state, "violent")
+    return compose([Transducer(negation), Transducer(threat), Transducer(reported), Transducer(aimed)], list(SYMBOLS))
 
 
-def learn_lexicon(toxic: list[str], clean: list[str]) -> dict[str, float]:
-    """Word beginnings ('$' ends a whole word) that tell toxic documents, with log odds of documents as weights.
+def beginnings(text: str) -> set[str]:
+    """Word beginnings of 3 to 24 characters in the text; '$' ends a whole word."""
+    return {w[:n] for w in {w + "$" for w in _WORD.findall(text.lower())} for n in range(3, min(len(w), 24) + 1)}
 
-    Candidates are the nodes of the trie of the toxic documents' words. A node stands for its whole unary path, as its
-    longest beginning; a node is left out if one above it is already as telling.
-    """
 
-    def beginnings(text: str) -> set[str]:
-        return {w[:n] for w in {w + "$" for w in _WORD.findall(text.lower())} for n in range(3, min(len(w), 24) + 1)}
-
-    inside: Counter[str] = Counter()
-    for t in toxic:
-        inside.update(beginnings(t))
-    least = max(SUPPORT, len(toxic) // 200)
-    inside = Counter({k: n for k, n in inside.items() if n >= least})
-    outside: Counter[str] = Counter()
-    for t in clean:
-        outside.update(beginnings(t) & inside.keys())
-    weight = {k: math.log((n + 0.5) / (len(toxic) + 1)) - math.log((outside[k] + 0.5) / (len(clean) + 1)) for k, n in inside.items()}
-    longer: dict[str, int] = {}
-    for k, n in inside.items():
-        longer[k[:-1]] = max(longer.get(k[:-1], 0), n)
-    telling = {k for k, w in weight.items() if w >= LEAST and longer.get(k, 0) < 0.97 * inside[k]}
+def pruned(telling: dict[str, float]) -> dict[str, float]:
+    """The lexicon: a beginning is left out if one above it in the trie is already as telling."""
     kept: dict[str, float] = {}
     for k in sorted(telling, key=len):
-        if not any(k[:n] in kept and kept[k[:n]] >= weight[k] - 0.5 for n in range(3, len(k))):
-            kept[k] = weight[k]
+        if not any(k[:n] in kept and kept[k[:n]] >= telling[k] - 0.5 for n in range(3, len(k))):
+            kept[k] = telling[k]
     return dict(sorted(kept.items(), key=lambda kv: (-kv[1], kv[0]))[:ENTRIES])
 
 
+def learn_lexicons(rows: DataFrame, sizes: dict[tuple[int, int], int]) -> list[dict[str, float]]:
+    """Word beginnings that tell toxic documents, with log odds of documents as weights: one lexicon learnt without each
+    part of the sample, and one from all. ``rows``: _y, _part, _text; ``sizes``: documents by (_y, _part).
+
+    Candidates are the nodes of the trie of the toxic documents' words. A node stands for its whole unary path, as its
+    longest beginning.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 2):
+                seen: Counter[tuple[str, int]] = Counter()
+                for y, part, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    seen.update((k, y * PARTS + part) for k in beginnings(text))
+                yield pa.RecordBatch.from_pydict({"k": pa.array([k for k, _ in seen], pa.string()), "c": pa.array([c for _, c in seen], pa.int32()), "n": pa.array(list(seen.values()), pa.int64())})
+
+    counted = rows.mapInArrow(count, "k string, c int, n long")
+    by_cell = [F.coalesce(F.sum(F.when(F.col("c") == c, F.col("n"))), F.lit(0)).alias(f"n{c}") for c in range(2 * PARTS)]
+    table = counted.groupBy("k").agg(*by_cell)
+    toxic, clean = (sum(F.col(f"n{y * PARTS + p}") for p in range(PARTS)) for y in (1, 0))
+    fits = []  # documents inside, outside; all documents inside, outside; for each lexicon
+    for held in [*range(PARTS), None]:
+        n = [sum(v for (y, p), v in sizes.items() if y == of and p != held) for of in (1, 0)]
+        inside, outside = (c if held is None else c - F.col(f"n{y * PARTS + held}") for y, c in ((1, toxic), (0, clean)))
+        weight = F.log((inside + 0.5) / (n[0] + 1.0)) - F.log((outside + 0.5) / (n[1] + 1.0))
+        fits.append((inside, weight, max(SUPPORT, n[0] // 200)))
+    columns = [c for i, (inside, weight, _) in enumerate(fits) for c in (inside.alias(f"i{i}"), weight.alias(f"w{i}"))]
+    table = checkpointed(table.select("k", *columns).filter(F.greatest(*[F.col(f"i{i}") for i in range(len(fits))]) >= min(f[2] for f in fits)))
+    longer = table.filter(F.length("k") > 3).groupBy(F.expr("left(k, length(k) - 1)").alias("k")).agg(*[F.max(f"i{i}").alias(f"l{i}") for i in range(len(fits))])
+    tells = [(F.col(f"w{i}") >= LEAST) & (F.col(f"i{i}") >= f[2]) & (F.coalesce(f"l{i}", F.lit(0)) < 0.97 * F.col(f"i{i}")) for i, f in enumerate(fits)]
+    found = table.join(longer, "k", "left").select("k", *[F.when(t, F.col(f"w{i}")).alias(f"w{i}") for i, t in enumerate(tells)])
+    found = found.filter(F.coalesce(*[F.col(f"w{i}") for i in range(len(fits))]).isNotNull())
+    # A document has few telling words, and each is held by one toxic document in 200 at least.
+    out = [(r.k, r[1:]) for r in found.collect()]
+    return [pruned({k: w[i] for k, w in out if w[i] is not None}) for i in range(len(fits))]
+
+
 @dataclass
 class Grammar:
     lexicon: dict[str, float]
@@ -142,30 +180,30 @@ class Grammar:
     def machine(self) -> ahocorasick.Automaton:
         """The word transducer's lexicon as an automaton; built where it is used."""
         if "automaton" not in self.__dict__:
-            a = ahocorasick.Automaton()
+            entries: dict[str, list[tuple[str, float]]] = {}
             for k, w in self.lexicon.items():
-                a.add_word(k.rstrip("$"), (k, w))
-            for k, w in THREATS.items():
-                if not a.exists(k):
-                    a.add_word(k, (k + "$", -w))
-            if len(a):
-                a.make_automaton()
+                entries.setdefault(k.rstrip("$"), []).append((k, w))
+            for k, w in VIOLENT.items():  # a violent verb stays one, whatever the lexicon says of it
+                entries[k] = [e for e in entries.get(k, []) if e[0] != k + "$"] + [(k + "$", -w)]
+            a = ahocorasick.Automaton()
+            for k, found in entries.items():
+                a.add_word(k, found)
+            a.make_automaton()
             self.automaton = a
         return self.automaton
 
     def matches(self, text: str) -> dict[int, float]:
-        """Start of each matched word in the lowered text, to its weight (a threat's is negative)."""
+        """Start of each matched word in the lowered text, to its weight (a violent verb's is negative, and goes first)."""
         found: dict[int, float] = {}
-        a = self.machine()
-        if not len(a):
-            return found
-        for end, (key, w) in a.iter(text):
-            whole = key.endswith("$")
-            start = end + 1 - len(key) + whole
-            if (start and text[start - 1].isalpha()) or (whole and end + 1 < len(text) and text[end + 1].isalpha()):
-                continue
-            if start not in found or abs(w) > abs(found[start]):
-                found[start] = w
+        for end, entries in self.machine().iter(text):
+            for key, w in entries:
+                whole = key.endswith("$")
+                start = end + 1 - len(key) + whole
+                if (start and text[start - 1].isalpha()) or (whole and end + 1 < len(text) and text[end + 1].isalpha()):
+                    continue
+                before = found.get(start, 0.0)
+                if before >= 0 and (w < 0 or w > before):
+                    found[start] = w
         return found
 
     def features(self, text: str) -> np.ndarray:
@@ -182,10 +220,10 @@ class Grammar:
             low = max(text.rfind(c, max(done, 0), start) for c in ".!?;:\n") + 1  # the clause before ends at done
             stop = _CLAUSE.search(text, start)
             done = stop.start() if stop else len(text)
-            state, clause = (0, 0, 0), 0.0
+            state, clause = (0,) * 4, 0.0
             for m in _WORD.finditer(text, low, done):
                 word, w = m[0], found.get(m.start())
-                symbol = (INSULT if w > 0 else THREAT) if w else TARGET if word in TARGETS else NEGATION if word in NEGATIONS else REPORT if word in REPORTS else PLAIN
+                symbol = (INSULT if w > 0 else VERB) if w else WORDS.get(word, PLAIN)
                 state, use = self.table[state, symbol]
                 if w:
                     out[USES.index(use)] += abs(w)
@@ -207,24 +245,29 @@ FEATURES = len(USES) + 4
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: F.Column, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", each: int = EACH) -> Grammar:
-    """Lexicon and curve from the bounded sample; each fourth of it is weighed by a lexicon learnt on the others."""
+    """Lexicon and curve from the bounded sample; each part of it is weighed by a lexicon learnt on the others."""
     share = shares(labels, label, id_col, usable)
     if not all(share):
         return Grammar({}, prior=float(share[1] > 0))
-    rows = sorted(sample(docs, labels, label, id_col, text_col, usable, each).select("_y", "_text").collect())
-    toxic, clean = [r._text for r in rows if r._y == 1], [r._text for r in rows if r._y == 0]
-    if not toxic or not clean:
+    rows = sample(docs, labels, label, id_col, text_col, usable, each)
+    rows = checkpointed(rows.select("_y", F.pmod(F.xxhash64("_text", "_id"), F.lit(PARTS)).cast("int").alias("_part"), "_text"))
+    sizes = {(r._y, r._part): r["count"] for r in rows.groupBy("_y", "_part").count().collect()}
+    if not {y for y, _ in sizes} >= {0, 1}:
         return Grammar({}, prior=share[1] / sum(share))
-    x, y = [], []
-    for part in range(4):
-        held = Grammar(learn_lexicon(*([t for i, t in enumerate(texts) if i % 4 != part] for texts in (toxic, clean))))
-        for texts, v in ((toxic[part::4], 1.0), (clean[part::4], 0.0)):
-            x += [held.features(t) for t in texts]
-            y += [v] * len(texts)
-    y = np.array(y)
-    real = np.where(y == 1, share[1] / len(toxic), share[0] / len(clean))
-    out = Grammar(learn_lexicon(toxic, clean))
-    out.curve = logistic(np.array(x), y, real * len(y) / real.sum(), l2=1e-3)
+    lexicons = learn_lexicons(rows, sizes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [Grammar(x) for x in lexicons[:PARTS]]
+        for whole in batches:
+            for batch in slices(whole, 2):
+                x = [held[part].features(text).tolist() for part, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_pydict({"y": batch.column(0), "x": pa.array(x, pa.list_(pa.float64()))})
+
+    found = sorted((r.y, r.x) for r in rows.mapInArrow(run, "y int, x array<double>").collect())
+    y = np.array([f[0] for f in found], float)
+    real = np.where(y == 1, share[1] / (y == 1).sum(), share[0] / (y == 0).sum())
+    out = Grammar(lexicons[PARTS])
+    out.curve = logistic(np.array([f[1] for f in found]), y, real * len(y) / real.sum(), l2=1e-3)
     return out
 
 

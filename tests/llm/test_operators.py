@@ -200,15 +200,18 @@ def test_toxicity(spark, none):
 
 def test_grammar_tells_uses_apart():
     g = toxicity.Grammar({"idiot": 5.0})
-    use = lambda t: toxicity.USES[int(np.argmax(g.features(t)[:5]))]
-    assert [use(t) for t in ("idiot here", "you idiot", "not an idiot", "he said idiot", "i kill you")] == ["asserted", "aimed", "negated", "reported", "threat"]
-    assert not g.features("idiotic").any() or g.features("idiotic")[0] > 0
+    use = lambda t: toxicity.USES[int(np.argmax(g.features(t)[:6]))]
+    assert [use(t) for t in ("idiot here", "you idiot", "not an idiot", "he said idiot", "i will kill you", "i kill you")] == ["asserted", "aimed", "negated", "reported", "threat", "violent"]
+    assert [use(t) for t in ("i will never kill you", "he wrote that i will kill you", "i will one two three kill you")] == ["negated", "reported", "violent"]
+    assert g.features("idiotic")[0] > 0
+    both = toxicity.Grammar({"idiot": 5.0, "idiot$": 6.0, "kill$": 4.0})
+    assert both.features("idiotic")[0] == np.log1p(5.0) and both.features("idiot")[0] == np.log1p(6.0) and both.features("i will kill")[4] > 0
     assert not toxicity.Grammar({"idiot$": 5.0}).features("idiotic nonidiot").any()
 
 
 def test_grammar_reads_long_clauses():
     g = toxicity.Grammar({"idiot": 5.0})
-    use = lambda t: toxicity.USES[int(np.argmax(g.features(t)[:5]))]
+    use = lambda t: toxicity.USES[int(np.argmax(g.features(t)[:6]))]
     far = " word" * 1000
     assert [use(t) for t in (f"you{far} idiot", f"he said{far} idiot", f"you.{far} idiot", f"you idiot.{far} idiot. {far} idiot")] == ["aimed", "reported", "asserted", "asserted"]
 
