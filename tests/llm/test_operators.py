@@ -340,11 +340,17 @@ def test_lightly_edited_passages_share_seeds(spark):
 
 def test_short_verbatim_passages_stay():
     """Chains of a passage of LEAST verbatim words whose first seed is late and whose last is early, cut behind the last."""
-    n = passages.LEAST
+    n, late = passages.LEAST, passages.UNSEEN
     words = np.arange(n, dtype="<u4")
-    late, early = passages.WINDOW - 1, n - passages.SEED - (passages.WINDOW - 1)
-    rows = [(30 + k, 50 + k, words[k:e].tobytes(), words[k:e].tobytes()) for k, e in ((late, late + 6), (late + 6, early), (early, early + 1))]
-    assert passages._passages(rows) == [(30 + late, 30 + early + passages.SEED, 50 + late, 50 + early + passages.SEED, early + passages.SEED - late)]
+    early = n - passages.SEED - late
+    for known in (False, True):
+        rows = [(30 + k, 50 + k, *[passages.pack(words[k:e], words[k - late : k] if known else None)] * 2) for k, e in ((late, late + 6), (late + 6, early), (early, early + 1))]
+        first = 0 if known else late
+        assert passages._passages(rows) == [(30 + first, 30 + early + passages.SEED, 50 + first, 50 + early + passages.SEED, early + passages.SEED - first)]
+    # What ends behind the last seed is known to be short.
+    short = [(k, k, passages.pack(words[k : k + 6], words[max(0, k - late) : k] if not k else None), passages.pack(np.append(words[k : k + 6], 99) if k < 12 else np.append(words[k : k + 6], [7, 7]), words[:0] if not k else None)) for k in (0, 6, 12)]
+    short[-1] = (12, 12, passages.pack(words[12:30], None), passages.pack(np.append(words[12:20], [99] * 10), None))
+    assert passages._passages(short) == []
 
 
 def test_line_features_see_empty_documents():
