@@ -17,8 +17,9 @@ allow. That loses no link that joins two components, so the groups are exact, wh
 Identity of n-grams and of sets is by 64-bit hashes.
 
 Defined results: null, empty and blank texts have the empty set, link with nothing and are their own component; a text
-with fewer words than n has one shingle, its whole sequence; rows that repeat an identifier are one node for each
-text and share the smallest result; an empty table gives no rows; other columns are ignored.
+with fewer words than n has one shingle, its whole sequence; rows that repeat an identifier with several texts tie their
+sets together, as one document; rows without identifier are each their own document, and a component of such rows alone
+has no name (null); an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -251,7 +252,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
     counts = docs.sparkSession.sparkContext.broadcast(_frequencies(docs, words))  # 16 MB at any input size
     rows = checkpointed(_rows(docs, counts, words, similar))
-    reps = rows.filter("n > 0").groupBy("cid").agg(F.min(F.struct("_id", "_h")).alias("first")).select("cid", "first._id", "first._h")
+    reps = rows.filter("n > 0").groupBy("cid").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_h")).alias("first")).select("cid", "first._id", "first._h")
     reps = checkpointed(reps)
 
     # Tokens of long lists, told by each SAMPLED-th class, are dealt in parts and count as shared; the sample steers
@@ -280,7 +281,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     before = F.struct(F.col("pos0").alias("pos"), F.col("n0").alias("n"), F.col("cid0").alias("cid"))
     chain = met.filter("cid0 <> cid").select("tok", member.alias("a"), before.alias("b")).filter(fits("a", "b"))
     tried = checkpointed(star.union(chain).select(*_pairs(F.col("a.cid"), F.col("b.cid"))).distinct())
-    links = checkpointed(_verified(tried, docs, reps, words, similar))
+    # Sets that one identifier holds belong together like linked ones.
+    named = rows.filter("n > 0 AND _id IS NOT NULL")
+    least = named.groupBy("_id").agg(F.min("cid").alias("u"), F.max("cid").alias("v")).filter("u < v").select("_id", "u")
+    same = named.select("_id", F.col("cid").alias("v")).join(least, "_id").filter("u <> v").select("u", "v").distinct()
+    links = checkpointed(_verified(tried, docs, reps, words, similar).unionByName(same))
     found = components(links)
 
     # What is left: members of one list that lie in different components.

@@ -356,3 +356,10 @@ def test_short_verbatim_passages_stay():
 def test_line_features_see_empty_documents():
     x, size, per_doc = quality.lines(pa.array(["", "A b.\n\nC d.", None]))
     assert per_doc.tolist() == [1, 2, 1] and len(x) == len(size) == 4
+
+
+def test_one_identifier_with_two_texts_ties_its_groups(spark):
+    a, b = prose(120, 700), prose(120, 701)
+    rows = [(5, a, "a"), (7, a, "a"), (7, b, "a"), (9, b, "a"), (11, prose(50, 702), "a"), (None, a, "a"), (None, prose(60, 703), "a")]
+    got = sorted((r.doc_id or 0, r.component_id or 0) for r in jaccard_join.jaccard_groups(frame(spark, rows)).collect())
+    assert got == [(0, 0), (0, 5), (5, 5), (7, 5), (7, 5), (9, 5), (11, 11)]
