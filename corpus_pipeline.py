@@ -9,12 +9,10 @@ stage; empty tables give empty results.
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cuewright.llm._common import checkpoint_folder, table
+from cuewright.llm._common import dropped, stored, table
 from cuewright.llm._learn import fold
 from cuewright.llm.bpe import bpe_round_trip
 from cuewright.llm.exact_dedup import deduplicated
@@ -32,19 +30,24 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal normalised texts the row with the smallest doc_id; null counts as empty, empty texts are equal, rows
+    without doc_id come last."""
     return deduplicated(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five words to a shingle, similarity 0.8."""
+    """Of each group linked by five-word shingles and a similarity of 0.8 the row with the smallest doc_id; texts without
+    words link with nothing, rows that repeat a doc_id stay or go together, rows without one stay."""
     return one_of_each_group(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows 0 to 3 times, so that sources (null is one) reach their targets; texts without words go."""
     return mixed(docs)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row for each document left: doc_id, n_tokens and the hashes of ids and decoded text; null has no tokens."""
     return bpe_round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -58,10 +61,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what a stage keeps is written to the shared folder and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
-    folder = f"{checkpoint_folder(spark)}/corpus-{uuid.uuid4().hex}"
-    for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+    """All stages over documents; what a stage keeps is written to the shared folder and read again by the next, after
+    which the stage before is removed."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        docs, place = stored(stage(spark, docs, sf_dir))
+        if before is not None:
+            dropped(spark, before)
+        before = place
     return STAGES[-1][1](spark, docs, sf_dir)
