@@ -196,15 +196,25 @@ def word_pattern(term: Column | str) -> Column:
     return F.concat(F.lit("(?iuU)(?<![0-9A-Za-z])"), F.regexp_replace(quoted, " ", r"\\s+"), F.lit("(?![0-9A-Za-z])"))
 
 
-def noise_fragment(c: Column | str) -> Column:
-    """FLT6, reduced to its counts: too little text, or Latin letters without a vowel."""
-    x = normalize_text(c)
-    han, latin = F.regexp_count(x, F.lit(HAN)), F.regexp_count(x, F.lit("[A-Za-z]"))
-    digits, vowels = F.regexp_count(x, F.lit("[0-9]")), F.regexp_count(x, F.lit("[AEIOUYaeiouy]"))
-    return (han + latin + digits == 0) | ((han == 0) & (digits == 0) & (latin <= 2)) | ((han == 0) & (latin >= 3) & (vowels == 0))
+# Endings of signs, and words of caption credits.
+SIGN_ENDINGS = ["大道", "大街", "公路", "路口", "中心", "广场"]
+CREDIT = r"(?i)captioned by|captioning sponsored|sponsored by|media access group|access\.wgbh\.org|wgbh\b|closed caption|subtitled by|encoded by|sync by|ripper|\bwww\.|\.com\b|viewers like you|contributions to your"
+SPONSOR = r"^\s*and\s+[A-Z][A-Za-z0-9 &.'+-]{1,30}\.?\s*$"
+
+
+def noise_fragment(c: Column | str, low_value: Column | None = None) -> Column:
+    """FLT6: too little text to be worth a translation. ``low_value``: an array of texts known to be so."""
+    bare = F.regexp_replace(text(c), "[^0-9A-Za-z一-鿿]", "")
+    n, han, latin, digits = F.length(bare), F.regexp_count(bare, F.lit(HAN)), F.regexp_count(bare, F.lit("[A-Za-z]")), F.regexp_count(bare, F.lit("[0-9]"))
+    vowels = F.regexp_count(bare, F.lit("[AEIOUaeiou]"))
+    sign = (han == 1) | ((han <= 3) & reduce(Column.__or__, [bare.endswith(e) for e in SIGN_ENDINGS]))
+    if low_value is not None:
+        sign = sign | F.array_contains(low_value, bare)
+    letters = (n <= 2) | ((latin >= 4) & (vowels == 0)) | ((latin <= 4) & (vowels <= 1))
+    return (n <= 1) | ((latin == 0) & (digits == 0) & sign) | ((han == 0) & (latin > 0) & letters) | ((han == 0) & (latin == 0) & (n <= 3))
 
 
 def credit_text(c: Column | str) -> Column:
-    """FLT7: caption credits; an empty text counts as one."""
-    x = F.lower(normalize_text(c))
-    return (x == "") | x.rlike(r"caption(?:ed|ing) (?:by|sponsored)|subtitles? by|sync(?:ed)? by|www\.|\.com\b")
+    """FLT7: caption credits and a sponsor's line; an empty text counts as one."""
+    x = normalize_text(c)
+    return (x == "") | x.rlike(CREDIT) | x.rlike(SPONSOR)

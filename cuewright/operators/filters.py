@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import has_han, has_latin, normalize_text, tokens, words
+from ..functions.text import has_han, has_latin, normalize_text, tokens, visible_ass, words
 from ..plans.registry import query
 from ..sources.staging import CUES, LINES, cues, lines
 
@@ -15,10 +15,15 @@ def separator_only(c: Column | str) -> Column:
     return F.forall(F.split(F.col(c) if isinstance(c, str) else c, r"\\N"), lambda p: ~F.regexp_replace(p, r"\{[^}]*\}", "").rlike(r"[\p{L}\p{N}]"))
 
 
+# How credit lines of captioners and sponsors read.
+CREDIT_ZH = r"^\s*字幕由|赞助商|本字幕|本节目由.*提供"
+CREDIT_EN = r"caption(?:ed|ing)\s+(?:by|sponsored)|media access group|access\.wgbh\.org|subtitled by|closed caption|viewers like you|contributions to your"
+
+
 def credit_line(c: Column | str) -> Column:
     """FLT8: the line of a captioner or sponsor, not dialogue that mentions one."""
-    x = F.lower(normalize_text(c))
-    return x.rlike(r"^字幕由|caption(?:ed|ing) (?:by|sponsored by|made possible)|^subtitles by")
+    x = visible_ass(c)
+    return x.rlike(CREDIT_ZH) | x.rlike(f"(?i){CREDIT_EN}")
 
 
 def filtered_events(events: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -47,8 +52,14 @@ def has_reference(c: Column | str) -> Column:
 
 
 # Phrases of incantations and their words.
-CHANTS = ["yoli conepiya miquiliztli", "spasiti animam suam", "animam suam", "tillate ulaz", "louvri animo", "les lames colligo", "ad me gluttuli", "anima marcam", "magia tollox de terras", "repo oma dal most"]
-CHANT_WORDS = "accessum ad anima animo animam apne colligo conepiya gluttuli isk iskoristi laekna lames les louvri marcam magia miquiliztli pou repo revele spasiti suam terras tillate toxicatus tollox ulaz vuca vuka votre vrai vrata yoli".split()
+CHANTS = [
+    "yoli conepiya miquiliztli", "spasiti animam suam", "animam suam", "tillate ulaz", "louvri animo", "pémét pou accessum", "pemet pou accessum", "les lames colligo", "ad me gluttuli", "anima marcam",
+    "iskoristi vuka", "iskoristi vuca", "magia tollox de terras", "repo oma dal most",
+]
+CHANT_WORDS = [
+    "accessum", "ad", "anima", "animo", "animam", "apne", "colligo", "conepiya", "det", "er", "gluttuli", "isk", "iskoristi", "laekna", "lames", "les", "louvri", "marcam", "magia", "miquiliztli", "pemet", "pémét",
+    "pou", "repo", "revele", "soi", "som", "spasiti", "suam", "terras", "tillate", "toxicatus", "tollox", "ulaz", "vuca", "vuka", "votre", "vrai", "vrata", "yoli",
+]
 
 
 def chant(c: Column | str) -> Column:
@@ -76,7 +87,7 @@ def _shown(spark: SparkSession, sf_dir: str) -> DataFrame:
     "flt8_flt10_event_filter",
     rf"""WITH {CUES}, x AS (SELECT stem, {_SHOWN} AS t FROM cues),
 y AS (SELECT stem, NOT regexp_matches(regexp_replace(t, '\{{[^}}]*\}}', '', 'g'), '[\p{{L}}\p{{N}}]') OR len(list_filter(string_split(t, '\N'), lambda p: regexp_matches(regexp_replace(p, '\{{[^}}]*\}}', '', 'g'), '[\p{{L}}\p{{N}}]'))) = 0 AS sep,
-  regexp_matches(lower(trim(regexp_replace(replace(t, '\N', ' '), '\s+', ' ', 'g'))), '^字幕由|caption(?:ed|ing) (?:by|sponsored by|made possible)|^subtitles by') AS cred FROM x)
+  regexp_matches(v, '{CREDIT_ZH}') OR regexp_matches(v, '{CREDIT_EN}', 'i') AS cred FROM (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(t, '\{{[^}}]*\}}', '', 'g'), '\\[Nnh]', ' ', 'g'), '\s+', ' ', 'g')) AS v FROM x))
 SELECT stem, count(*) AS events, count_if(sep)::BIGINT AS separators, count_if(cred AND NOT sep)::BIGINT AS credits FROM y GROUP BY stem""",
 )
 def flt8_flt10_event_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

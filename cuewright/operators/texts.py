@@ -147,13 +147,18 @@ def arr4_unit_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Words of sound effects and of their surroundings.
-SOUNDS = (
-    "alarm alarms beep beeps bell bells bird birds breathing buzz buzzes chime chimes chuckling chuckles clatter clatters close closes closing coughing coughs crack cracking cracks "
-    "creak creaking creaks cries crying ding dings door doors exhale exhales footstep footsteps gasp gasping gasps giggle giggling giggles groan groaning groans grunt grunting grunts knock "
-    "knocking knocks laugh laughing laughs moan moaning moans open opens opening panting pants phone phones rain ring ringing rings rattle rattling rattles rustle rustles rustling scream "
-    "screaming screams shriek shrieking shrieks sigh sighing sighs sirens siren slam slamming slams sob sobbing sobs thunder voice voices whimper whimpering whimpers whoosh whooshes wind"
-).split()
-SURROUNDINGS = "background car cell continued continues continue distant faint indistinct nearby off phone quietly screen softly stopped stops stop trolley".split()
+SOUNDS = [
+    "alarm", "alarms", "beep", "beeps", "bell", "bells", "bird", "birds", "breathing", "buzz", "buzzes", "chime", "chimes", "chuckling", "chuckles", "clatter", "clatters", "close",
+    "closes", "closing", "coughing", "coughs", "crack", "cracking", "cracks", "creak", "creaking", "creaks", "cries", "crying", "ding", "dings", "door", "doors", "exhale",
+    "exhales", "footstep", "footsteps", "gasp", "gasping", "gasps", "giggle", "giggling", "giggles", "groan", "groaning", "groans", "grunt", "grunting", "grunts", "knock",
+    "knocking", "knocks", "laugh", "laughing", "laughs", "moan", "moaning", "moans", "open", "opens", "opening", "panting", "pants", "phone", "phones", "rain", "ring", "ringing",
+    "rings", "rattle", "rattling", "rattles", "rustle", "rustles", "rustling", "scream", "screaming", "screams", "shriek", "shrieking", "shrieks", "sigh", "sighing", "sighs",
+    "sirens", "siren", "slam", "slamming", "slams", "sob", "sobbing", "sobs", "thunder", "voice", "voices", "whimper", "whimpering", "whimpers", "whoosh", "whooshes", "wind",
+]
+SURROUNDINGS = [
+    "background", "car", "cell", "continued", "continues", "continue", "distant", "faint", "indistinct", "nearby", "off", "phone", "quietly", "screen", "softly", "stopped",
+    "stops", "stop", "trolley",
+]
 
 
 def effect_only(c: Column | str, common: list[str] | None = None) -> Column:
@@ -181,15 +186,22 @@ def flt1_effect_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cues(spark, sf_dir).select("stem", "seq", effect_only(shown).alias("effect"))
 
 
+_CREDIT, _SPONSOR = T.CREDIT.removeprefix("(?i)"), T.SPONSOR.replace("'", "''").replace("{1,30}", "{1,30}")
+
+
 @query(
     "flt6_flt7_flt19_presence",
-    rf"""WITH {LINES}, x AS (SELECT stem, seq, trim(regexp_replace(replace(text, '\N', ' '), '{_WS}', ' ', 'g')) AS t, text FROM lines),
-n AS (SELECT *, len(regexp_extract_all(t, '[一-鿿]')) AS h, len(regexp_extract_all(t, '[A-Za-z]')) AS l, len(regexp_extract_all(t, '[0-9]')) AS d, len(regexp_extract_all(t, '[AEIOUYaeiouy]')) AS v FROM x)
-SELECT stem, seq, h + l + d = 0 OR (h = 0 AND d = 0 AND l <= 2) OR (h = 0 AND l >= 3 AND v = 0) AS noise, t = '' OR regexp_matches(lower(t), 'caption(?:ed|ing) (?:by|sponsored)|subtitles? by|sync(?:ed)? by|www\.|\.com\b') AS credit,
+    rf"""WITH {LINES}, l AS (SELECT stem, seq, CASE seq % 9 WHEN 1 THEN left(text, 3) WHEN 2 THEN 'and ' || left(text, 12) WHEN 3 THEN left(text, 20) || ' Closed Caption' WHEN 4 THEN seq::VARCHAR WHEN 5 THEN '人民广场' ELSE text END AS text FROM lines),
+x AS (SELECT stem, seq, trim(regexp_replace(replace(text, '\N', ' '), '{_WS}', ' ', 'g')) AS t, text FROM l),
+n AS (SELECT *, len(regexp_extract_all(t, '[一-鿿]')) AS h, len(regexp_extract_all(t, '[A-Za-z]')) AS l, len(regexp_extract_all(t, '[0-9]')) AS d, len(regexp_extract_all(t, '[AEIOUaeiou]')) AS v, regexp_replace(text, '[^0-9A-Za-z一-鿿]', '', 'g') AS b FROM x)
+SELECT stem, seq, h + l + d <= 1 OR (l = 0 AND d = 0 AND (h = 1 OR (h <= 3 AND regexp_matches(b, '(大道|大街|公路|路口|中心|广场)$')))) OR (h = 0 AND l > 0 AND (l + d <= 2 OR (l >= 4 AND v = 0) OR (l <= 4 AND v <= 1))) OR (h = 0 AND l = 0 AND d <= 3) AS noise,
+  t = '' OR regexp_matches(t, '{_CREDIT}', 'i') OR regexp_matches(t, '{_SPONSOR}') AS credit,
   h > 0 AS han, regexp_matches(text, '[A-Za-z]') AS latin, regexp_matches(text, '[♪♫]') AS note FROM n""",
 )
 def flt6_flt7_flt19_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines(spark, sf_dir).select(
+    k, t = F.col("seq") % 9, F.col("text")
+    shown = F.when(k == 1, F.substring(t, 1, 3)).when(k == 2, F.concat(F.lit("and "), F.substring(t, 1, 12))).when(k == 3, F.concat(F.substring(t, 1, 20), F.lit(" Closed Caption")))
+    return lines(spark, sf_dir).withColumn("text", shown.when(k == 4, F.col("seq").cast("string")).when(k == 5, "人民广场").otherwise(t)).select(
         "stem", "seq", T.noise_fragment("text").alias("noise"), T.credit_text("text").alias("credit"), T.has_han("text").alias("han"), T.has_latin("text").alias("latin"), T.has_note("text").alias("note")
     )
 

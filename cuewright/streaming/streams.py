@@ -45,16 +45,21 @@ def first_within(stream: DataFrame, *keys: str) -> DataFrame:
 
 def completed(spark: SparkSession, stream: DataFrame, mode: str = "complete") -> DataFrame:
     """Run the stream over all that is there now; in complete mode the result table, else the appended rows."""
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "cuewright-streams")
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = os.path.join(tempfile.gettempdir(), "cuewright-streams")
     name = f"s{uuid.uuid4().hex}"
     out = f"{base}/{name}/out"
 
     def put(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+        # A batch that is replayed writes the same folder again; in complete mode only the last table counts.
+        batch.write.mode("overwrite").parquet(f"{out}/table" if mode == "complete" else f"{out}/batch-{number}")
 
     run = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/{name}/state").trigger(availableNow=True).foreachBatch(put).start()
     run.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", True).parquet(out)
 
 
 @query(
