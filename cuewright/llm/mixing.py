@@ -38,26 +38,6 @@ LARGE = 4
 FEW_SOURCES = 50_000
 
 
-def targets(sizes: list[tuple[str | None, int]], weights: tuple[int, ...] = WEIGHTS, most: float = MOST) -> list[float]:
-    """Targets of sources given in order as (name, size): shares by weight, capped, the excess shared again by weight."""
-    total = float(sum(s for _, s in sizes))
-    weigh = [float(weights[i % len(weights)]) for i in range(len(sizes))]
-    out, open_ = [0.0] * len(sizes), set(range(len(sizes)))
-    left = total
-    while open_:
-        scale = sum(weigh[i] for i in open_)
-        over = {i for i in open_ if left * weigh[i] / scale > most * sizes[i][1]}
-        if not over:
-            for i in open_:
-                out[i] = left * weigh[i] / scale
-            break
-        for i in sorted(over):
-            out[i] = float(most * sizes[i][1])
-            left -= out[i]
-        open_ -= over
-    return out
-
-
 def flight(p: np.ndarray, x: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Flight phase for two balancing totals: the sum of p and the sum of p * x stay the same.
 

@@ -157,9 +157,39 @@ def test_mixing(spark, docs, none):
     assert mixed.columns == docs.columns and {r["_id"] for r in mixed.collect()} == {7}
 
 
-def test_targets_reshare_the_excess():
-    assert mixing.targets([("a", 100), ("b", 10), ("c", 100)]) == pytest.approx([45.0, 30.0, 135.0])
-    assert mixing.targets([]) == []
+def targets(sizes: list[tuple[str | None, int]], weights=mixing.WEIGHTS, most=mixing.MOST):
+    """Targets of sources given in order as (name, size): shares by weight, capped, the excess shared again by weight."""
+    total = float(sum(s for _, s in sizes))
+    weigh = [float(weights[i % len(weights)]) for i in range(len(sizes))]
+    out, open_ = [0.0] * len(sizes), set(range(len(sizes)))
+    left = total
+    while open_:
+        scale = sum(weigh[i] for i in open_)
+        over = {i for i in open_ if left * weigh[i] / scale > most * sizes[i][1]}
+        if not over:
+            for i in open_:
+                out[i] = left * weigh[i] / scale
+            break
+        for i in sorted(over):
+            out[i] = float(most * sizes[i][1])
+            left -= out[i]
+        open_ -= over
+    return out
+
+
+def test_targets_reshare_the_excess(spark):
+    r = random.Random(1)
+    rows = [(i, prose(r.choice([1, 5, 80]), i), r.choice(["a", "é", "Z", "😀", "", None, "b", "B", "zz"])) for i in range(300)] + [(301, prose(2, 1), "tiny"), (302, "", "none")]
+    got = mixing.mix_sources(frame(spark, rows)).collect()
+    size = {}
+    for _, t, s in rows:
+        size[s] = size.get(s, 0) + len(t.split())
+    order = sorted(size, key=lambda s: (s is None, [ord(c) for c in s or ""]))
+    want = dict(zip(order, targets([(s, size[s]) for s in order]), strict=True))
+    assert len(got) == len(rows)
+    for x in got:
+        assert x.source_size == size[x.source] and x.target == pytest.approx(want[x.source])
+    assert targets([("a", 100), ("b", 10), ("c", 100)]) == pytest.approx([45.0, 30.0, 135.0])
 
 
 def labelled(spark, kinds):

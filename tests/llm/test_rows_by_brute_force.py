@@ -7,8 +7,8 @@ from collections import Counter
 import public_tokenizers
 
 import corpus_pipeline as p
-from cuewright.llm import mixing, passages
-from tests.llm.test_operators import brute_groups, edited, frame, prose
+from cuewright.llm import passages
+from tests.llm.test_operators import brute_groups, edited, frame, prose, targets
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,7 +33,7 @@ def test_stage_rows(spark):
         size[r.source] += n
         taken[r.source] += n * copies[r.doc_id]
         largest[r.source] = max(largest[r.source], n)
-    for (source, _), target in zip(sorted(size.items()), mixing.targets(sorted(size.items())), strict=True):
+    for (source, _), target in zip(sorted(size.items()), targets(sorted(size.items())), strict=True):
         assert abs(taken[source] - target) <= largest[source]
 
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
