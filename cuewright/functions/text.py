@@ -86,6 +86,12 @@ def compare_key(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.lower(strip_tags(c)), r"[^\p{L}\p{N}]+", " "))
 
 
+def repeated_phrase(c: Column | str) -> Column:
+    """AGG7: two equal clauses of two words or more."""
+    parts = F.filter(F.transform(F.split(text(c), "[.!?;]+"), compare_key), lambda x: x.contains(" "))
+    return F.size(parts) > F.size(F.array_distinct(parts))
+
+
 def strip_speaker(c: Column | str) -> Column:
     """STR10: leading speaker tags, again and again; the pattern ends in its own white space, so a repeat suffices."""
     body = SPEAKER.removeprefix("(?U)^")

@@ -145,29 +145,50 @@ def seq12_line_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_wins(keyed.filter("key <> ''"), ["stem", "key"], ["seq"]).unionByName(keyed.filter("key = ''"))
 
 
-def overlay_dedupe(frame: DataFrame, epsilon_cs: int = 6) -> DataFrame:
-    """SEQ12: repeated keys go, and keys that lie inside a longer kept one shown at the same times."""
+def overlay_dedupe(frame: DataFrame, epsilon_cs: int = 6, screen: str = "OCR_TRANSLATION") -> DataFrame:
+    """SEQ12: of each style, keys that a kept event has go; a screen text's key inside a longer kept one shown at the same
+    times goes as well. Too short keys (under 1 character on screen, 2 elsewhere) stay and block nothing.
+
+    Kept events are looked up by their start, so a stem's work is in proportion to its events.
+    """
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
-        kept: list[tuple] = []
-        seen: set[str] = set()
+        rows: list[tuple] = []
+        seen: set[tuple[str, str]] = set()
+        kept: dict[int, list[tuple[str, int, int]]] = {}
         for r in f.sort_values("seq", kind="stable").itertuples(index=False):
-            key = key_of(r.text)
-            if key and key in seen:
-                continue
-            inside = len(key) >= 2 and any(abs(r.start_cs - s) <= epsilon_cs and abs(r.end_cs - e) <= epsilon_cs and len(k) > len(key) and key in k for k, s, e, _ in kept)
-            if inside:
-                continue
-            seen.add(key)
-            kept.append((key, r.start_cs, r.end_cs, (r.stem, r.seq, r.text)))
-        return pd.DataFrame([k[3] for k in kept], columns=["stem", "seq", "text"])
-
-    return frame.groupBy("stem").applyInPandas(run, "stem long, seq long, text string")
+            key, on_screen = key_of(r.text), r.style == screen
+            if len(key) >= (1 if on_screen else 2):
+                if (r.style, key) in seen:
+                    continue
+                slot = r.start_cs // (epsilon_cs + 1)
+                near = (k for s in (slot - 1, slot, slot + 1) for k in kept.get(s, ())) if on_screen and len(key) >= 2 else ()
+                if any(abs(r.start_cs - s) <= epsilon_cs and abs(r.end_cs - e) <= epsilon_cs and len(k) > len(key) and key in k for k, s, e in near):
+                    continue
+                seen.add((r.style, key))
+                if on_screen:
+                    kept.setdefault(slot, []).append((key, r.start_cs, r.end_cs))
+            rows.append((r.stem, r.seq, r.style, r.text))
+        return pd.DataFrame(rows, columns=["stem", "seq", "style", "text"])
+
+    return frame.groupBy("stem").applyInPandas(run, "stem long, seq long, style string, text string")
 
 
-@query("seq12_overlay_dedupe")
+@query(
+    "seq12_overlay_dedupe",
+    f"""WITH {CUES}, x AS (SELECT stem, seq * 3 + k AS seq, CASE WHEN (seq + k) % 2 = 0 THEN 'OCR_TRANSLATION' ELSE 'EXPLANATION_NOTE' END AS style, CASE k WHEN 0 THEN 'sign ' || text WHEN 1 THEN 'Sign ' ELSE CASE seq % 4 WHEN 0 THEN '!' ELSE left(text, 40) END END AS text FROM cues, range(0, 3) r(k)),
+c AS (SELECT *, regexp_replace(lower(text), '[^a-z0-9一-鿿]+', '', 'g') AS key, seq // 3 AS cue FROM x),
+d AS (SELECT *, row_number() OVER (PARTITION BY stem, style, key ORDER BY seq) AS n FROM c),
+s AS (SELECT * FROM d a WHERE key = '' OR style <> 'OCR_TRANSLATION' OR NOT EXISTS (SELECT 1 FROM d b WHERE b.stem = a.stem AND b.cue = a.cue AND b.seq < a.seq AND b.style = a.style AND length(b.key) > length(a.key) AND contains(b.key, a.key)))
+SELECT stem, seq, style, text FROM (SELECT *, row_number() OVER (PARTITION BY stem, style, key ORDER BY seq) AS m FROM s) WHERE key = '' OR m = 1""",
+)
 def seq12_overlay_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return overlay_dedupe(cues(spark, sf_dir))
+    """Three texts at the times of each cue, the second and third part of the first."""
+    k, t = F.col("k"), F.col("text")
+    shown = F.when(k == 0, F.concat(F.lit("sign "), t)).when(k == 1, "Sign ").when(F.col("seq") % 4 == 0, "!").otherwise(F.substring(t, 1, 40))
+    style = F.when((F.col("seq") + k) % 2 == 0, "OCR_TRANSLATION").otherwise("EXPLANATION_NOTE")
+    c = cues(spark, sf_dir).withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    return overlay_dedupe(c.select("stem", (F.col("seq") * 3 + k).alias("seq"), style.alias("style"), shown.alias("text"), "start_cs", "end_cs"))
 
 
 def deduped_notes(notes: DataFrame, window_cs: int = 2000) -> DataFrame:

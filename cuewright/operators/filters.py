@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import has_han, has_latin, normalize_text, tokens, visible_ass, words
+from ..functions.text import has_han, has_latin, label_is_chant, normalize_text, repeated_phrase, tokens, visible_ass, words
 from ..plans.registry import query
 from ..sources.staging import CUES, LINES, cues, lines
 
@@ -62,16 +62,34 @@ CHANT_WORDS = [
 ]
 
 
-def chant(c: Column | str) -> Column:
-    """FLT2, by words: enough of the text is known phrases, or known words, or a short text has two of them."""
+WEAK_CHANT_WORDS = ["det", "er", "som", "soi"]
+CHANT_ENDINGS = "(?:atus|atum|icus|ae)$"
+
+
+def chant(c: Column | str, italic: Column, labels: Column, repeated: Column, common: list[str]) -> Column:
+    """FLT2: enough of the text is known phrases; else, where a label names a chant, few ``common`` words or a strong word
+    of chants; else known words; else italics that repeat a clause or the whole text, or with Latin endings.
+
+    ``labels``: array of label texts; ``repeated``: how often the text occurs in its stem.
+    """
     w = words(c)
     n = F.size(w)
     rest = F.array_join(w, " ")
     for p in sorted(CHANTS, key=lambda p: -len(p.split())):
         rest = F.regexp_replace(rest, rf"\b{p}\b", "")
-    left = F.size(F.filter(F.split(rest, " "), lambda x: x != ""))
-    known = F.size(F.filter(w, lambda x: x.isin(CHANT_WORDS)))
-    return (n > 0) & (((n - left) / F.greatest(n, F.lit(1)) >= 0.6) | (known / F.greatest(n, F.lit(1)) >= 0.6) | ((n <= 4) & (known >= 2)))
+    phrases = n - F.size(F.filter(F.split(rest, " "), lambda x: x != ""))
+    listed = lambda values: F.size(F.filter(w, lambda x: x.isin(values)))
+    known, plain = listed(CHANT_WORDS), listed(common) / F.greatest(n, F.lit(1))
+    strong = F.exists(w, lambda x: x.isin([v for v in CHANT_WORDS if v not in WEAK_CHANT_WORDS]))
+    return (
+        F.when(n == 0, False)
+        .when((phrases > 0) & (phrases / F.greatest(n, F.lit(1)) >= 0.6), True)
+        .when(F.coalesce(F.exists(labels, label_is_chant), F.lit(False)), (plain < 0.55) | strong)
+        .when((known / F.greatest(n, F.lit(1)) >= 0.6) | ((n <= 4) & (known >= 2)), True)
+        .when(italic & repeated_phrase(c) & (plain <= 0.45), True)
+        .when(italic & (repeated >= 2), plain <= 0.45)
+        .otherwise(italic & (n <= 7) & F.exists(w, lambda x: x.rlike(CHANT_ENDINGS)))
+    )
 
 
 _SHOWN = r"CASE seq % 5 WHEN 0 THEN '{\i1}--\N...' WHEN 1 THEN 'Captioned by X\N' || text WHEN 2 THEN '♪\N' || chr(123) || chr(125) WHEN 3 THEN 'captions are nice ' || left(text, 40) ELSE text END"
@@ -104,16 +122,30 @@ def flt11_flt22_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cues(spark, sf_dir).select("stem", "seq", has_reference("text").alias("reference"), wants_split(F.col("end_cs") - F.col("start_cs")).alias("split"))
 
 
+_CHANTED = "CASE seq % 8 WHEN 0 THEN 'Animam suam, ' || split_part(text, ' ', 1) WHEN 1 THEN 'Louvri animo! ' || text WHEN 2 THEN 'vrai vrata' WHEN 3 THEN left(text, 25) WHEN 4 THEN 'Ora pro me. ' || left(text, 20) || '. Ora pro me!' WHEN 5 THEN 'det er ' || left(text, 30) WHEN 6 THEN 'the lunaticus of in' ELSE text END"
+_COMMON = ["the", "and", "in", "of", "to", "that", "is", "you", "or", "be"]
+
+
 @query(
     "flt2_chant",
-    rf"""WITH {CUES}, x AS (SELECT stem, seq, list_transform(regexp_extract_all(CASE seq % 4 WHEN 0 THEN 'Animam suam, ' || split_part(text, ' ', 1) WHEN 1 THEN 'Louvri animo! ' || text WHEN 2 THEN 'vrai vrata' ELSE text END, '[A-Za-zÀ-ÖØ-öø-ÿ]+(?:''[A-Za-zÀ-ÖØ-öø-ÿ]+)?'), lambda w: replace(lower(w), '''', '')) AS w FROM cues),
-n AS (SELECT *, len(w) AS n, len(list_filter(w, lambda v: list_contains({CHANT_WORDS}, v))) AS k, CASE WHEN array_to_string(w[1:2], ' ') IN ('animam suam', 'louvri animo') THEN 2 ELSE 0 END AS p FROM x)
-SELECT stem, seq, n > 0 AND (p / greatest(n, 1) >= 0.6 OR k / greatest(n, 1) >= 0.6 OR (n <= 4 AND k >= 2)) AS chant FROM n""",
+    rf"""WITH {CUES}, t AS (SELECT stem, seq, {_CHANTED} AS t, (seq + stem) % 2 = 0 AS it, seq % 5 = 3 AS lab, (seq + stem) % 3 AS cnt FROM cues),
+x AS (SELECT *, list_transform(regexp_extract_all(t, '[A-Za-zÀ-ÖØ-öø-ÿ]+(?:''[A-Za-zÀ-ÖØ-öø-ÿ]+)?'), lambda w: replace(lower(w), '''', '')) AS w,
+  list_filter(list_transform(regexp_split_to_array(t, '[.!?;]+'), lambda x: trim(regexp_replace(lower(x), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))), lambda x: contains(x, ' ')) AS ps FROM t),
+n AS (SELECT *, len(w) AS n, len(list_filter(w, lambda v: list_contains({CHANT_WORDS}, v))) AS k, len(list_filter(w, lambda v: list_contains({[v for v in CHANT_WORDS if v not in WEAK_CHANT_WORDS]}, v))) AS g,
+  len(list_filter(w, lambda v: list_contains({_COMMON}, v))) / greatest(len(w), 1) AS m, CASE WHEN array_to_string(w[1:2], ' ') IN ('animam suam', 'louvri animo') THEN 2 ELSE 0 END AS p FROM x)
+SELECT stem, seq, CASE WHEN n = 0 THEN false WHEN p / greatest(n, 1) >= 0.6 THEN true WHEN lab THEN m < 0.55 OR g > 0 WHEN k / greatest(n, 1) >= 0.6 OR (n <= 4 AND k >= 2) THEN true
+  WHEN it AND len(ps) > len(list_distinct(ps)) AND m <= 0.45 THEN true WHEN it AND cnt >= 2 THEN m <= 0.45 ELSE it AND n <= 7 AND len(list_filter(w, lambda v: regexp_matches(v, '(atus|atum|icus|ae)$'))) > 0 END AS chant FROM n""",
 )
 def flt2_chant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, t = F.col("seq") % 4, F.col("text")
-    shown = F.when(k == 0, F.concat(F.lit("Animam suam, "), F.split_part(t, F.lit(" "), F.lit(1)))).when(k == 1, F.concat(F.lit("Louvri animo! "), t)).when(k == 2, "vrai vrata").otherwise(t)
-    return cues(spark, sf_dir).select("stem", "seq", chant(shown).alias("chant"))
+    """Texts of all kinds, with italics, labels and counts by their place."""
+    k, t = F.col("seq") % 8, F.col("text")
+    shown = (
+        F.when(k == 0, F.concat(F.lit("Animam suam, "), F.split_part(t, F.lit(" "), F.lit(1)))).when(k == 1, F.concat(F.lit("Louvri animo! "), t)).when(k == 2, "vrai vrata").when(k == 3, F.substring(t, 1, 25))
+        .when(k == 4, F.concat(F.lit("Ora pro me. "), F.substring(t, 1, 20), F.lit(". Ora pro me!"))).when(k == 5, F.concat(F.lit("det er "), F.substring(t, 1, 30))).when(k == 6, "the lunaticus of in").otherwise(t)
+    )
+    place = F.col("seq") + F.col("stem")
+    labels = F.when(F.col("seq") % 5 == 3, F.array(F.lit("door"), F.lit("chanting"))).otherwise(F.array(F.lit("door")))
+    return cues(spark, sf_dir).select("stem", "seq", chant(shown, place % 2 == 0, labels, place % 3, _COMMON).alias("chant"))
 
 
 @query(

@@ -13,6 +13,7 @@ from ..functions.text import compare_key, normalize_text, text_key, word_pattern
 from ..functions.values import digest, overlap
 from ..plans.registry import query, table
 from ..sources.staging import CUES, LINES, cues, lines
+from .dedupe import text_ratio
 
 
 def interval_join(left: DataFrame, right: DataFrame, reach: int = 0, bucket: int = 1000, key: str = "stem") -> DataFrame:
@@ -44,43 +45,71 @@ def join1_interval_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.select("stem", "seq", "r_seq", overlap(F.col("start_cs"), F.col("end_cs"), F.col("r_start_cs"), F.col("r_end_cs")).alias("overlap_cs"))
 
 
-def attach_labels(left: DataFrame, right: DataFrame, label: str, least: int = 8, near: int = 125) -> DataFrame:
-    """JOIN2: labels of the right side that overlap by ``least``, or lie within ``near`` with equal compare keys."""
-    met = interval_join(left, right, reach=near)
+def attach_labels(left: DataFrame, right: DataFrame, label: str, least: int = 8, near: int = 125, similar: float = 0.82) -> DataFrame:
+    """JOIN2: labels of the right side that overlap by ``least``, or lie within ``near`` and read alike.
+
+    Only pairs that the overlap does not settle and whose lengths allow the similarity hand their keys to the comparison.
+    """
+    met = interval_join(left, right, reach=near).withColumns({"_a": compare_key("text"), "_b": compare_key("r_text")})
     common = overlap(F.col("start_cs"), F.col("end_cs"), F.col("r_start_cs"), F.col("r_end_cs"))
-    hit = met.filter((common >= least) | (compare_key("text") == compare_key("r_text")))
+    short, both = F.least(F.length("_a"), F.length("_b")), F.length("_a") + F.length("_b")
+    asked = (common < least) & (short * 2 >= both * similar)
+    hit = met.withColumn("_alike", text_ratio(F.when(asked, F.col("_a")), F.when(asked, F.col("_b")))).filter((common >= least) | (F.col("_alike") >= similar))
     found = hit.groupBy("stem", "seq").agg(F.sort_array(F.collect_set(f"r_{label}")).alias("labels"))
     return left.join(found, ["stem", "seq"], "left").withColumn("labels", F.coalesce("labels", F.array().cast("array<string>")))
 
 
 @query(
     "join2_attach_labels",
-    rf"""WITH {CUES}, k AS (SELECT *, trim(regexp_replace(lower(regexp_replace(text, '<[^>]+>', '', 'g')), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS ck FROM cues),
+    rf"""WITH {CUES}, k AS (SELECT *, md5(stem || '-' || seq // 6) AS slot, seq % 6 AS z FROM cues),
 l AS (SELECT * FROM k WHERE speaker = 'user'), r AS (SELECT * FROM k WHERE speaker <> 'user'),
 h AS (SELECT DISTINCT l.stem, l.seq, r.speaker FROM l JOIN r ON l.stem = r.stem AND l.start_cs - 125 <= r.end_cs AND r.start_cs <= l.end_cs + 125
-  AND (greatest(0, least(l.end_cs, r.end_cs) - greatest(l.start_cs, r.start_cs)) >= 8 OR l.ck = r.ck))
+  AND (greatest(0, least(l.end_cs, r.end_cs) - greatest(l.start_cs, r.start_cs)) >= 8 OR (l.slot = r.slot AND 2 * (32 + 16 * least(l.z, r.z)) >= 0.82 * (64 + 16 * (l.z + r.z)))))
 SELECT l.stem, l.seq, coalesce(string_agg(h.speaker, ',' ORDER BY h.speaker), '') AS labels FROM l LEFT JOIN h USING (stem, seq) GROUP BY l.stem, l.seq""",
 )
 def join2_attach_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = cues(spark, sf_dir)
+    """Texts of one slot of six cues begin alike and differ in their ends, so that SQL can tell the similarity."""
+    shown = F.expr("concat(md5(concat(stem, '-', seq div 6)), repeat('z', int(seq % 6) * 16))")
+    c = cues(spark, sf_dir).withColumn("text", shown)
     return attach_labels(c.filter("speaker = 'user'"), c.filter("speaker <> 'user'"), "speaker").select("stem", "seq", F.array_join("labels", ",").alias("labels"))
 
 
-def unblocked(left: DataFrame, right: DataFrame, least: int = 12) -> DataFrame:
-    """JOIN3, first part: left cues that no right cue overlaps by ``least``."""
-    met = interval_join(left, right)
-    blocked = met.filter(overlap(F.col("start_cs"), F.col("end_cs"), F.col("r_start_cs"), F.col("r_end_cs")) >= least).select("stem", "seq").distinct()
-    return left.join(blocked, ["stem", "seq"], "left_anti")
+def unblocked(left: DataFrame, right: DataFrame, keep: Column | None = None, least: int = 12) -> DataFrame:
+    """JOIN3: left cues that no right cue overlaps by ``least``, that ``keep`` lets pass, and that no left cue taken before
+    them overlaps by ``least``: the list that blocks grows, so a stem's cues are folded in order."""
+    blocked = interval_join(left, right).filter(overlap(F.col("start_cs"), F.col("end_cs"), F.col("r_start_cs"), F.col("r_end_cs")) >= least).select("stem", "seq").distinct()
+    free = left.join(blocked, ["stem", "seq"], "left_anti")
+    if keep is not None:
+        free = free.filter(keep)
+    item = F.struct(*[F.col(c).cast("long").alias(c) for c in ("seq", "start_cs", "end_cs")])
+    stems = free.groupBy("stem").agg(F.array_sort(F.collect_list(item)).alias("items"))
+
+    def take(taken: Column, x: Column) -> Column:
+        meets = F.exists(taken, lambda t: overlap(t["start_cs"], t["end_cs"], x["start_cs"], x["end_cs"]) >= least)
+        return F.when(meets, taken).otherwise(F.array_append(taken, x))
+
+    none = F.array().cast("array<struct<seq:bigint,start_cs:bigint,end_cs:bigint>>")
+    kept = stems.select("stem", F.inline(F.aggregate("items", none, take))).select("stem", "seq")
+    return left.join(kept, ["stem", "seq"], "left_semi")
 
 
 @query(
     "join3_overlap_anti",
-    f"""WITH {CUES} SELECT stem, seq, start_cs, end_cs FROM cues a WHERE speaker <> 'user' AND NOT EXISTS (SELECT 1 FROM cues b
-  WHERE b.stem = a.stem AND b.speaker = 'user' AND least(a.end_cs, b.end_cs) - greatest(a.start_cs, b.start_cs) >= 12)""",
+    f"""WITH RECURSIVE {CUES}, sdh AS (SELECT stem, seq * 2 + k AS seq, start_cs + 50 * k AS s, end_cs + 50 * k AS e FROM cues, range(0, 2) r(k) WHERE speaker <> 'user'),
+free AS (SELECT * FROM sdh a WHERE seq * 7 % 3 <> 0 AND NOT EXISTS (SELECT 1 FROM cues b WHERE b.stem = a.stem AND b.speaker = 'user' AND least(a.e, b.end_cs) - greatest(a.s, b.start_cs) >= 12)),
+n AS (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY seq) AS i FROM free),
+f(stem, i, kept) AS (SELECT stem, i, [{{'seq': seq, 's': s, 'e': e}}] FROM n WHERE i = 1
+  UNION ALL SELECT n.stem, n.i, CASE WHEN len(list_filter(f.kept, lambda a: least(a.e, n.e) - greatest(a.s, n.s) >= 12)) > 0 THEN f.kept ELSE list_append(f.kept, {{'seq': n.seq, 's': n.s, 'e': n.e}}) END
+  FROM f JOIN n ON n.stem = f.stem AND n.i = f.i + 1),
+u AS (SELECT f.stem, unnest(f.kept) AS k FROM f JOIN (SELECT stem, max(i) AS m FROM n GROUP BY stem) l ON l.stem = f.stem AND l.m = f.i)
+SELECT stem, k.seq AS seq, k.s AS start_cs, k.e AS end_cs FROM u""",
 )
 def join3_overlap_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each cue of the second track stands there twice, half a second apart, so that it can block itself."""
     c = cues(spark, sf_dir)
-    return unblocked(c.filter("speaker <> 'user'"), c.filter("speaker = 'user'")).select("stem", "seq", "start_cs", "end_cs")
+    k = F.col("k")
+    twice = c.filter("speaker <> 'user'").withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).select("stem", (F.col("seq") * 2 + k).alias("seq"), (F.col("start_cs") + k * 50).alias("start_cs"), (F.col("end_cs") + k * 50).alias("end_cs"))
+    return unblocked(twice, c.filter("speaker = 'user'"), F.col("seq") * 7 % 3 != 0)
 
 
 def pair_last(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -243,29 +272,49 @@ def join13_credit_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.join(hit, ["stem", "seq"], "left_anti").select("stem", "seq")
 
 
-def nearest_speaker(words: DataFrame, turns: DataFrame, reach: int = 3000) -> DataFrame:
-    """JOIN16: each word's turn with the largest overlap, else the smallest gap; ties to the earlier turn."""
-    met = interval_join(words, turns, reach=reach)
+def nearest_speaker(words: DataFrame, turns: DataFrame) -> DataFrame:
+    """JOIN16: each word's turn with the largest overlap, else with the smallest gap, however large; ties to the smaller
+    number.
+
+    Turns that meet a word come from the interval join. All others of a word's stem lie wholly before or behind it, so
+    two running extremes over the stem in time order give the nearest on either side.
+    """
     common = overlap(F.col("start_cs"), F.col("end_cs"), F.col("r_start_cs"), F.col("r_end_cs"))
-    gap = F.greatest(F.lit(0).cast("long"), F.col("r_start_cs") - F.col("end_cs"), F.col("start_cs") - F.col("r_end_cs"))
-    best = met.groupBy("stem", "seq").agg(F.max_by(F.struct("r_seq", "r_speaker"), F.struct(common, -gap, -F.col("r_seq"))).alias("t"))
-    return words.join(best, ["stem", "seq"], "left").select(*words.columns, F.col("t.r_seq").alias("turn"), F.col("t.r_speaker").alias("turn_speaker"))
+    met = interval_join(words, turns).groupBy("stem", "seq").agg(F.max_by(F.struct("r_seq", "r_speaker"), F.struct(common, -F.col("r_seq"))).alias("t"))
+    apart = words.join(met, ["stem", "seq"], "left_anti").select("stem", "seq", "start_cs", "end_cs", F.lit(None).cast("struct<seq:bigint,speaker:string>").alias("turn"))
+    turn = F.struct(F.col("seq").cast("long").alias("seq"), F.col("speaker").alias("speaker"))
+    both = apart.unionByName(turns.select("stem", F.lit(None).cast("long").alias("seq"), "start_cs", "end_cs", turn.alias("turn")))
+    is_turn = F.col("turn").isNotNull()
+    upto = lambda at: Window.partitionBy("stem").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    behind_end = F.when(is_turn, F.col("end_cs")).otherwise(F.col("start_cs"))
+    before_start = F.when(is_turn, F.col("start_cs")).otherwise(F.col("end_cs"))
+    seen = both.withColumns({
+        "_last": F.max(F.when(is_turn, F.struct("end_cs", (-F.col("turn.seq")).alias("o"), "turn"))).over(upto(behind_end)),
+        "_next": F.max(F.when(is_turn, F.struct((-F.col("start_cs")).alias("start_cs"), (-F.col("turn.seq")).alias("o"), "turn"))).over(upto(-before_start)),
+    }).filter(~is_turn)
+    gaps = (F.col("start_cs") - F.col("_last.end_cs"), -F.col("_next.start_cs") - F.col("end_cs"))
+    first = F.col("_next").isNull() | (gaps[0] < gaps[1]) | ((gaps[0] == gaps[1]) & (F.col("_last.turn.seq") < F.col("_next.turn.seq")))
+    near = seen.select("stem", "seq", F.when(F.col("_last").isNotNull() & first, F.col("_last.turn")).otherwise(F.col("_next.turn")).alias("t"))
+    best = met.select("stem", "seq", F.struct(F.col("t.r_seq").cast("long").alias("seq"), F.col("t.r_speaker").alias("speaker")).alias("t")).unionByName(near)
+    return words.join(best, ["stem", "seq"], "left").select(*words.columns, F.col("t.seq").alias("turn"), F.col("t.speaker").alias("turn_speaker"))
 
 
 @query(
     "join16_nearest_speaker",
-    f"""WITH {CUES}, w AS (SELECT * FROM cues WHERE speaker = 'user'), t AS (SELECT * FROM cues WHERE speaker <> 'user'),
+    f"""WITH {CUES}, w AS (SELECT * FROM cues WHERE speaker = 'user'), t AS (SELECT stem, seq, start_cs * 9 AS start_cs, start_cs * 8 + end_cs AS end_cs FROM cues WHERE speaker <> 'user'),
 m AS (SELECT w.stem, w.seq, t.seq AS turn, row_number() OVER (PARTITION BY w.stem, w.seq ORDER BY greatest(0, least(w.end_cs, t.end_cs) - greatest(w.start_cs, t.start_cs)) DESC,
-  greatest(0, t.start_cs - w.end_cs, w.start_cs - t.end_cs), t.seq) AS n FROM w JOIN t ON t.stem = w.stem AND w.start_cs - 3000 <= t.end_cs AND t.start_cs <= w.end_cs + 3000)
+  greatest(0, t.start_cs - w.end_cs, w.start_cs - t.end_cs), t.seq) AS n FROM w JOIN t ON t.stem = w.stem)
 SELECT w.stem, w.seq, m.turn FROM w LEFT JOIN m ON m.stem = w.stem AND m.seq = w.seq AND m.n = 1""",
 )
 def join16_nearest_speaker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns are drawn apart, so that many words lie far from any."""
     c = cues(spark, sf_dir)
-    return nearest_speaker(c.filter("speaker = 'user'"), c.filter("speaker <> 'user'")).select("stem", "seq", "turn")
+    turns = c.filter("speaker <> 'user'").withColumn("end_cs", F.col("start_cs") * 8 + F.col("end_cs")).withColumn("start_cs", F.col("start_cs") * 9)
+    return nearest_speaker(c.filter("speaker = 'user'"), turns).select("stem", "seq", "turn")
 
 
 #: Class numbers of the audio tags, by group.
-CLASSES = {"singing": [27, 32, 33, 34], "singer_core": [32, 33, 34], "speech": [1, 2, 3], "conversation": [4, 5]}
+CLASSES = {"singing": [27, 32, 33, 34], "singer_core": [32, 33, 34], "speech": [1, 2, 3], "conversation": [4, 5], "vocal_music": [254]}
 NONE = -999.0
 
 
@@ -275,14 +324,14 @@ def window_stats(segments: DataFrame, tags: DataFrame, window_cs: int = 400) ->
     The join is an equality on generated window numbers, so its size is the number of windows touched.
     """
     spread = segments.withColumn("win", F.explode(F.sequence(F.floor(F.col("start_cs") / window_cs), F.floor(F.col("end_cs") / window_cs))))
-    scores = tags.select("win", *[F.array_max(F.transform(F.array(*map(F.lit, ids)), lambda i: F.col("scores")[i])).cast("double").alias(g) for g, ids in CLASSES.items()])
+    scores = tags.select("win", *[F.array_max(F.transform(F.array(*map(F.lit, ids)), lambda i: F.get("scores", i))).cast("double").alias(g) for g, ids in CLASSES.items()])
     met = spread.join(scores, "win").withColumn("w", overlap(F.col("start_cs"), F.col("end_cs"), F.col("win") * window_cs, (F.col("win") + 1) * window_cs)).filter("w > 0")
     stats = met.groupBy("stem", "seq").agg(F.sum("w").alias("covered"), *[F.max(g).alias(f"{g}_peak") for g in CLASSES], *[(F.sum(F.col(g) * F.col("w")) / F.sum("w")).alias(f"{g}_mean") for g in CLASSES])
     out = segments.join(stats, ["stem", "seq"], "left")
     return out.select("stem", "seq", F.coalesce("covered", F.lit(0).cast("long")).alias("covered"), *[F.coalesce(f"{g}_{k}", F.lit(NONE)).alias(f"{g}_{k}") for g in CLASSES for k in ("peak", "mean")])
 
 
-_GROUPS = ", ".join(f"greatest({', '.join(f'embedding[{i + 1}]' for i in ids)})::DOUBLE AS {g}" for g, ids in CLASSES.items())
+_GROUPS = ", ".join(f"list_max([{', '.join(f'embedding[{i % 64 + 1}]' for i in ids)}])::DOUBLE AS {g}" for g, ids in CLASSES.items())
 
 
 @query(
@@ -293,7 +342,8 @@ s AS (SELECT stem, seq, sum(w)::BIGINT AS covered, {", ".join(f"max({g}) AS {g}_
 SELECT c.stem, c.seq, coalesce(covered, 0)::BIGINT AS covered, {", ".join(f"round(coalesce({g}_{k}, -999), 4) AS {g}_{k}" for g in CLASSES for k in ("peak", "mean"))} FROM cues c LEFT JOIN s USING (stem, seq)""",
 )
 def join17_agg3_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tags = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("win"), F.col("embedding").alias("scores"))
+    """Vectors of 64 numbers, four times each, stand for the scores of a window's classes."""
+    tags = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("win"), F.flatten(F.array_repeat("embedding", 4)).alias("scores"))
     found = window_stats(cues(spark, sf_dir), tags)
     return found.select("stem", "seq", "covered", *[F.round(f"{g}_{k}", 4).alias(f"{g}_{k}") for g in CLASSES for k in ("peak", "mean")])
 

@@ -240,5 +240,4 @@ SELECT stem, seq, len(ps) > len(list_distinct(ps)) AS repeated FROM p""",
 )
 def agg7_repeated_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two equal clauses of two words or more."""
-    parts = F.filter(F.transform(F.split("text", "[.!?;]+"), T.compare_key), lambda x: x.contains(" "))
-    return lines(spark, sf_dir).select("stem", "seq", (F.size(parts) > F.size(F.array_distinct(parts))).alias("repeated"))
+    return lines(spark, sf_dir).select("stem", "seq", T.repeated_phrase("text").alias("repeated"))

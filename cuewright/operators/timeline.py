@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_inline
+from ..functions.text import normalize_inline, text_key
 from ..plans.registry import query
 from ..sources.staging import CUES, DETECTIONS, cues, detections
 
@@ -41,26 +41,46 @@ def win2_collision_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collision_trim(cues(spark, sf_dir)).select("stem", "seq", "start_cs", "end_cs", F.col("shown_end_cs").cast("long").alias("shown_end_cs"))
 
 
-def event_quality(frame: DataFrame) -> DataFrame:
-    """AGG1 with WIN1: events, overlaps of neighbours in file order, over-long texts, long and short shows, per stem."""
-    seen = frame.withColumn("_before", F.lag("end_cs").over(in_order()))
+# The styles of spoken and sung events, of screen texts and of notes.
+BASE_STYLES, OCR_STYLE, NOTE_STYLE = ["BILINGUAL", "BILINGUAL_MUSIC", "BILINGUAL_CHANT"], "OCR_TRANSLATION", "EXPLANATION_NOTE"
+
+
+def event_quality(frame: DataFrame, traditional: str = "") -> DataFrame:
+    """AGG1 with WIN1, per stem: events by style; of the base styles those that begin before the one before them in file
+    order ends, those of more than two lines, and those whose first line has more than 38 or second more than 96
+    characters; ``traditional`` characters in all texts."""
+    line = F.split("text", "\n")
+    seen = frame.withColumn("_base", F.coalesce(F.col("style").isin(BASE_STYLES), F.lit(False)))
+    seen = seen.withColumn("_before", F.lag("end_cs").over(Window.partitionBy("stem", "_base").orderBy("seq")))
+    base = F.col("_base")
+    hits = F.length(F.regexp_replace("text", f"[^{traditional}]", "")) if traditional else F.lit(0)
     return seen.groupBy("stem").agg(
         F.count("*").alias("events"),
-        F.count_if(F.col("start_cs") < F.col("_before")).alias("overlapping"),
-        F.count_if(F.length("text") > 96).alias("very_long"),
-        F.count_if(F.size(F.split("text", "\n")) > 2).alias("many_lines"),
+        F.count_if(base).alias("base"),
+        F.count_if(F.col("style") == OCR_STYLE).alias("ocr"),
+        F.count_if(F.col("style") == NOTE_STYLE).alias("notes"),
+        F.count_if(base & (F.col("start_cs") < F.col("_before"))).alias("overlapping"),
+        F.count_if(base & (F.size(line) > 2)).alias("many_lines"),
+        F.count_if(base & ((F.length(line[0]) > 38) | (F.coalesce(F.length(F.get(line, F.lit(1))), F.lit(0)) > 96))).alias("very_long"),
+        F.coalesce(F.sum(hits), F.lit(0)).cast("long").alias("traditional"),
         F.sum(F.col("end_cs") - F.col("start_cs")).alias("shown_cs"),
     )
 
 
 @query(
     "win1_agg1_event_quality",
-    f"""WITH {CUES}, w AS (SELECT *, lag(end_cs) OVER (PARTITION BY stem ORDER BY seq) AS prv FROM cues)
-SELECT stem, count(*) AS events, count_if(start_cs < prv)::BIGINT AS overlapping, count_if(length(text) > 96)::BIGINT AS very_long,
-  count_if(len(string_split(text, chr(10))) > 2)::BIGINT AS many_lines, sum(end_cs - start_cs)::BIGINT AS shown_cs FROM w GROUP BY stem""",
+    f"""WITH {CUES}, s AS (SELECT stem, seq, start_cs, end_cs, CASE seq % 5 WHEN 2 THEN 'BILINGUAL_MUSIC' WHEN 3 THEN 'OCR_TRANSLATION' WHEN 4 THEN 'EXPLANATION_NOTE' ELSE 'BILINGUAL' END AS style,
+  CASE seq % 3 WHEN 0 THEN left(text, 60) || chr(10) || text WHEN 1 THEN '開門' || chr(10) || text ELSE '好國國' END AS text FROM cues),
+w AS (SELECT *, style LIKE 'BILINGUAL%' AS base, lag(end_cs) OVER (PARTITION BY stem, style LIKE 'BILINGUAL%' ORDER BY seq) AS prv, string_split(text, chr(10)) AS ls FROM s)
+SELECT stem, count(*) AS events, count_if(base)::BIGINT AS base, count_if(style = 'OCR_TRANSLATION')::BIGINT AS ocr, count_if(style = 'EXPLANATION_NOTE')::BIGINT AS notes, count_if(base AND start_cs < prv)::BIGINT AS overlapping,
+  count_if(base AND len(ls) > 2)::BIGINT AS many_lines, count_if(base AND (length(ls[1]) > 38 OR coalesce(length(ls[2]), 0) > 96))::BIGINT AS very_long, sum(length(regexp_replace(text, '[^開門國]', '', 'g')))::BIGINT AS traditional,
+  sum(end_cs - start_cs)::BIGINT AS shown_cs FROM w GROUP BY stem""",
 )
 def win1_agg1_event_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_quality(cues(spark, sf_dir))
+    k, m, t = F.col("seq") % 5, F.col("seq") % 3, F.col("text")
+    style = F.when(k == 2, "BILINGUAL_MUSIC").when(k == 3, OCR_STYLE).when(k == 4, NOTE_STYLE).otherwise("BILINGUAL")
+    shown = F.when(m == 0, F.concat(F.substring(t, 1, 60), F.lit("\n"), t)).when(m == 1, F.concat(F.lit("開門\n"), t)).otherwise("好國國")
+    return event_quality(cues(spark, sf_dir).withColumns({"style": style, "text": shown}), "開門國")
 
 
 @query(
@@ -271,29 +291,100 @@ def seq5_run_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_carry(frame, "music", "italic").select("stem", "seq", "lyric")
 
 
-def gap_clusters(frame: DataFrame, gap_ms: int, order: tuple[str, ...] = ("at_ms", "seq")) -> DataFrame:
-    """SEQ9: a cluster ends where the next detection is further than the gap."""
-    by = Window.partitionBy("stem").orderBy(*order)
-    new = F.coalesce(F.col("at_ms") - F.lag("at_ms").over(by) > gap_ms, F.lit(True)).cast("long")
+def gap_clusters(frame: DataFrame, gap_ms: int = 2250, jump: float = 420.0, keys: tuple[str, ...] = ("stem",)) -> DataFrame:
+    """SEQ9: a cluster ends where the next detection begins more than the gap after this one's end, or its centre is more
+    than ``jump`` pixels off; unknown centres have not jumped. ``frame``: keys, seq, start_ms, end_ms, x, y."""
+    by = Window.partitionBy(*keys).orderBy("start_ms", "seq")
+    lag = lambda c: F.lag(c).over(by)
+    far = F.coalesce(F.hypot(F.col("x") - lag("x"), F.col("y") - lag("y")) > jump, F.lit(False))
+    new = F.coalesce((F.col("start_ms") - lag("end_ms") > gap_ms) | far, F.lit(True)).cast("long")
     return frame.withColumn("cluster", F.sum(new).over(by.rowsBetween(Window.unboundedPreceding, 0)))
 
 
+def representative() -> Column:
+    """The detection of the greatest confidence, then the longest key, then the first."""
+    return F.max_by("seq", F.struct("confidence", F.length(text_key("text")), -F.col("start_ms"), -F.col("seq")))
+
+
+def _placed(spark: SparkSession, sf_dir: str, scale: int) -> DataFrame:
+    at = F.floor(F.col("at_ms") / scale).cast("long")
+    return detections(spark, sf_dir).select("stem", "seq", at.alias("start_ms"), (at + 500).alias("end_ms"), "text", "confidence", (F.col("seq") * 37 % 640).cast("double").alias("x"), (F.col("seq") * 91 % 360).cast("double").alias("y"))
+
+
+def _clusters_sql(scale: int, gap: int) -> str:
+    return f"""{DETECTIONS}, d AS (SELECT stem, seq, (at_ms // {scale})::BIGINT AS s, (at_ms // {scale})::BIGINT + 500 AS e, length(regexp_replace(lower(text), '[^a-z0-9一-鿿]+', '', 'g')) AS k, confidence, (seq * 37 % 640)::DOUBLE AS x, (seq * 91 % 360)::DOUBLE AS y FROM dets),
+o AS (SELECT *, CASE WHEN s - lag(e) OVER w <= {gap} AND sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) <= 420 THEN 0 ELSE 1 END AS new FROM d WINDOW w AS (PARTITION BY stem ORDER BY s, seq)),
+c AS (SELECT *, sum(new) OVER (PARTITION BY stem ORDER BY s, seq ROWS UNBOUNDED PRECEDING)::BIGINT AS cluster FROM o)"""
+
+
+_BEST = "arg_max(seq, {'c': confidence, 'k': k, 't': -s, 'o': -seq})"
+
+
 @query(
     "seq9_gap_clusters",
-    f"""WITH {DETECTIONS}, n AS (SELECT *, CASE WHEN at_ms - lag(at_ms) OVER (PARTITION BY stem ORDER BY at_ms, seq) <= 3600000 THEN 0 ELSE 1 END AS new FROM dets),
-c AS (SELECT *, sum(new) OVER (PARTITION BY stem ORDER BY at_ms, seq ROWS UNBOUNDED PRECEDING)::BIGINT AS cluster FROM n)
-SELECT stem, cluster, count(*) AS detections, min(at_ms) AS start_ms, max(at_ms) AS end_ms, arg_max(seq, {{'c': confidence, 's': -seq}}) AS representative FROM c GROUP BY stem, cluster""",
+    f"""WITH {_clusters_sql(10_000, 2250)} SELECT stem, cluster, count(*) AS detections, min(s) AS start_ms, max(e) AS end_ms, {_BEST} AS representative FROM c GROUP BY stem, cluster""",
 )
 def seq9_gap_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = gap_clusters(detections(spark, sf_dir), 3_600_000)
+    found = gap_clusters(_placed(spark, sf_dir, 10_000))
     return found.groupBy("stem", "cluster").agg(
         F.count("*").alias("detections"),
-        F.min("at_ms").alias("start_ms"),
-        F.max("at_ms").alias("end_ms"),
-        F.max_by("seq", F.struct("confidence", -F.col("seq"))).alias("representative"),
+        F.min("start_ms").alias("start_ms"),
+        F.max("end_ms").alias("end_ms"),
+        representative().alias("representative"),
     )
 
 
+def rebuilt(frame: DataFrame, keys: tuple[str, ...] = ("stem",), limit_ms: int = 6000, least_ms: int = 1000, touch_ms: int = 200, most: int = 8) -> DataFrame:
+    """SEQ10: clusters become pieces. A piece takes detections while they end within ``limit_ms`` of its start; pieces
+    shorter than ``least_ms`` go; one that begins within ``touch_ms`` of the end of the one before joins it, up to
+    ``limit_ms``; at most ``most`` stay. Two folds over one event's detections.
+
+    ``frame``: keys, cluster, seq, start_ms, end_ms, confidence, text. Result: keys, piece (from 1), start_ms, end_ms,
+    representative.
+    """
+    det = F.struct("cluster", "start_ms", "seq", "end_ms")
+    events = frame.groupBy(*keys).agg(F.array_sort(F.collect_list(det)).alias("dets"))
+    none = F.struct(*[F.lit(0).cast("long").alias(n) for n in ("cluster", "since", "chunk")], F.array().cast("array<struct<seq:bigint,chunk:bigint>>").alias("out"))
+
+    def deal(s: Column, d: Column) -> Column:
+        new = (s["chunk"] == 0) | (d["cluster"] != s["cluster"]) | (d["end_ms"] - s["since"] > limit_ms)
+        chunk = s["chunk"] + new.cast("long")
+        return F.struct(d["cluster"].alias("cluster"), F.when(new, d["start_ms"]).otherwise(s["since"]).alias("since"), chunk.alias("chunk"), F.array_append(s["out"], F.struct(d["seq"].alias("seq"), chunk.alias("chunk"))).alias("out"))
+
+    dealt = events.select(*keys, F.inline(F.aggregate("dets", none, deal, lambda s: s["out"])))
+    chunks = frame.join(dealt, [*keys, "seq"]).groupBy(*keys, "chunk").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), representative().alias("representative"))
+    chunks = chunks.filter(F.col("end_ms") - F.col("start_ms") >= least_ms)
+    ordered = chunks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("chunk", "start_ms", "end_ms", "representative"))).alias("chunks"))
+
+    def join(out: Column, c: Column) -> Column:
+        last = F.try_element_at(out, F.lit(-1))
+        end = F.least(F.greatest(last["end_ms"], c["end_ms"]), last["start_ms"] + limit_ms)
+        longer = F.struct(last["chunk"].alias("chunk"), last["start_ms"].alias("start_ms"), end.alias("end_ms"), last["representative"].alias("representative"))
+        touching = F.coalesce(c["start_ms"] <= last["end_ms"] + touch_ms, F.lit(False))
+        return F.when(touching, F.array_append(F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))), longer)).otherwise(F.array_append(out, c))
+
+    empty = F.array().cast("array<struct<chunk:bigint,start_ms:bigint,end_ms:bigint,representative:bigint>>")
+    pieces = ordered.select(*keys, F.posexplode(F.slice(F.aggregate("chunks", empty, join), 1, most)).alias("piece", "p"))
+    return pieces.select(*keys, (F.col("piece") + 1).alias("piece"), "p.start_ms", "p.end_ms", "p.representative")
+
+
+@query(
+    "seq10_chunks",
+    f"""WITH RECURSIVE {_clusters_sql(20_000, 2250)},
+n AS (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY cluster, s, seq) AS i FROM c),
+f(stem, i, chunk, since, cluster) AS (SELECT stem, i, 1, s, cluster FROM n WHERE i = 1
+  UNION ALL SELECT n.stem, n.i, f.chunk + CASE WHEN n.cluster <> f.cluster OR n.e - f.since > 6000 THEN 1 ELSE 0 END, CASE WHEN n.cluster <> f.cluster OR n.e - f.since > 6000 THEN n.s ELSE f.since END, n.cluster FROM f JOIN n ON n.stem = f.stem AND n.i = f.i + 1),
+p AS (SELECT stem, chunk, min(s) AS s, max(e) AS e, {_BEST} AS rep FROM n JOIN (SELECT stem, i, chunk FROM f) USING (stem, i) GROUP BY stem, chunk HAVING max(e) - min(s) >= 1000),
+q AS (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY chunk) AS j FROM p),
+g(stem, j, piece, s, e, rep) AS (SELECT stem, j, 1, s, e, rep FROM q WHERE j = 1
+  UNION ALL SELECT q.stem, q.j, CASE WHEN q.s <= g.e + 200 THEN g.piece ELSE g.piece + 1 END, CASE WHEN q.s <= g.e + 200 THEN g.s ELSE q.s END, CASE WHEN q.s <= g.e + 200 THEN least(greatest(g.e, q.e), g.s + 6000) ELSE q.e END,
+    CASE WHEN q.s <= g.e + 200 THEN g.rep ELSE q.rep END FROM g JOIN q ON q.stem = g.stem AND q.j = g.j + 1)
+SELECT stem, piece, s AS start_ms, arg_max(e, j) AS end_ms, rep AS representative FROM g WHERE piece <= 8 GROUP BY stem, piece, s, rep""",
+)
+def seq10_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rebuilt(gap_clusters(_placed(spark, sf_dir, 20_000)))
+
+
 def batches(frame: DataFrame, eligible: Column, n: int = 4) -> DataFrame:
     """SEQ18: up to n consecutive eligible rows; others break the run, blank texts neither break nor count."""
     filled = frame.filter(normalize_inline("text") != "").withColumn("_ok", eligible)
@@ -334,26 +425,6 @@ def seq19_seq20_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def chunked(frame: DataFrame, limit_cs: int = 600, least_cs: int = 100, most: int = 8) -> DataFrame:
-    """SEQ10: an interval becomes pieces of at most ``limit_cs``; pieces under ``least_cs`` go, at most ``most`` stay."""
-    pieces = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.floor((F.col("end_cs") - F.col("start_cs") - 1) / limit_cs))),
-        lambda i: F.struct((F.col("start_cs") + i * limit_cs).alias("piece_start"), F.least(F.col("end_cs"), F.col("start_cs") + (i + 1) * limit_cs).alias("piece_end")),
-    )
-    kept = F.slice(F.filter(pieces, lambda p: p["piece_end"] - p["piece_start"] >= least_cs), 1, most)
-    return frame.select("stem", "seq", F.inline(kept))
-
-
-@query(
-    "seq10_chunks",
-    f"""WITH {CUES}, p AS (SELECT stem, seq, start_cs + i * 600 AS piece_start, least(end_cs, start_cs + (i + 1) * 600) AS piece_end, i FROM cues, range(0, 100) r(i) WHERE i <= greatest(0, (end_cs - start_cs - 1) // 600)),
-k AS (SELECT *, row_number() OVER (PARTITION BY stem, seq ORDER BY i) AS n FROM p WHERE piece_end - piece_start >= 100)
-SELECT stem, seq, piece_start::BIGINT AS piece_start, piece_end::BIGINT AS piece_end FROM k WHERE n <= 8""",
-)
-def seq10_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunked(cues(spark, sf_dir))
-
-
 SHORT = ["hi", "hey", "yeah", "yes", "no", "okay", "ok", "thanks", "thank you", "thank you very much", "all right", "alright", "sorry", "i m sorry"]
 
 
