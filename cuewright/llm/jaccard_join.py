@@ -11,8 +11,9 @@ distributed lists. Documents that share a posted n-gram are candidates; their wh
 
 Lists can be long where many documents are near copies. All pairs of a list are never made: first each member is tried
 with its neighbours in size order and with the list's most central member, and verified links are contracted to
-components. Then only members of different components meet, and of these only pairs that length and position still
-allow. That loses no link that joins two components, so the groups are exact, whatever the lists' lengths.
+components. Then only members of different components meet, in classes of like sizes, and the smaller one only where the
+n-gram stands early enough in its order. That loses no link that joins two components, so the groups are exact, whatever
+the lists' lengths; many sets that share an early n-gram but do not link are still all compared.
 
 Identity of n-grams and of sets is by 64-bit hashes.
 
@@ -25,6 +26,7 @@ has no name (null); an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import groupby
@@ -292,8 +294,13 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     apart = lists.join(found.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     mixed = apart.groupBy("tok").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("tok")
     apart = checkpointed(apart.join(mixed, "tok", "left_semi").select("tok", "cid", "n", "pos", "root"))
-    a, b = apart.alias("a"), apart.alias("b")
-    met = a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.root") < F.col("b.root")) & fits("a", "b"))
+    # Of a linked pair the smaller set has its first common n-gram so early that it could link with a set of its own size,
+    # and the sizes lie in one class or in classes next to each other (a little wider than the similarity, for rounding).
+    width = max(math.log(100 / similar), 1e-3) * (1 + 1e-9)
+    apart = apart.withColumn("size", F.floor(F.log("n") / width).cast("int"))
+    early = apart.filter((F.col("n") - F.col("pos")) * (100 + similar) >= 2 * similar * F.col("n")).withColumn("size", F.explode(F.array("size", F.col("size") + 1)))
+    a, b = early.alias("a"), apart.alias("b")
+    met = a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.size") == F.col("b.size")) & (F.col("a.n") <= F.col("b.n")) & (F.col("a.root") != F.col("b.root")) & fits("a", "b"))
     left = met.select(*_pairs(F.col("a.cid"), F.col("b.cid"))).distinct().join(tried, ["u", "v"], "left_anti")
     left = checkpointed(left)
     more = checkpointed(_verified(left, docs, reps, words, similar))

@@ -4,6 +4,7 @@ left, two levels of partitions, and the SQL of this subpackage's queries."""
 import base64
 import itertools
 import os
+import random
 
 import duckdb
 import numpy as np
@@ -12,8 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from cuewright.llm import bpe, exact_dedup, mixing, neighbours, quality, queries, sharding
-from tests.llm.test_operators import frame, prose
+from cuewright.llm import bpe, exact_dedup, jaccard_join, mixing, neighbours, quality, queries, sharding
+from tests.llm.test_operators import brute_groups, frame, prose
 
 SF = "/root/testdata/sf0.001"
 
@@ -118,3 +119,17 @@ def test_sql_gives_the_same_rows(spark, name):
     want = con.execute(queries.ORACLES[name]).df()
     got = queries.QUERIES[name](spark, SF).toPandas()[list(want.columns)]
     assert sorted(map(str, got.astype(str).itertuples(index=False))) == sorted(map(str, want.astype(str).itertuples(index=False)))
+
+
+@pytest.mark.parametrize(("words", "similar"), [(5, 80), (4, 85), (2, 50)])
+def test_jaccard_shared_boilerplate(spark, words, similar):
+    """Texts that are mostly one shared passage: some link by it, most do not, sizes lie at the borders of their classes."""
+    rng = random.Random(5)
+    shared = [f"s{i}" for i in range(160)]
+    rows = []
+    for i in range(260):
+        own = [f"w{rng.randrange(40)}" if i % 3 else f"u{i}x{k}" for k in range(rng.choice((4, 10, 16, 20, 26, 40, 160)))]
+        rows.append((i, " ".join(own + shared[: rng.choice((160, 160, 128, 125, 100, 80))]), "a"))
+    got = {r.doc_id: ([r.n_shingles], r.component_id) for r in jaccard_join.jaccard_groups(frame(spark, rows), words=words, similar=similar).collect()}
+    assert got == brute_groups(rows, words, similar)
+    assert 1 < len({root for _, root in got.values()}) < len(rows)
