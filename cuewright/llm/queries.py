@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import table
+from .asof import clicks_with_orders
 from .bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
+from .hard_negatives import hard_negatives
 from .jaccard_join import jaccard_groups
 from .mixing import mix_sources
 from .neighbours import nearest_neighbours
@@ -18,6 +20,7 @@ from .passages import repeated_passages
 from .quality import quality
 from .sharding import BITS, LIMIT, shard
 from .token_counts import token_counts
+from .token_files import token_file_digests
 from .toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +118,49 @@ def op2_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_blocked_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+ORACLES["op11_blocked_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10
+"""
+
+
+@_query
+def op12_tolerant_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clicks_with_orders(spark, table(spark, sf_dir, "clicks"), table(spark, sf_dir, "sales"))
+
+
+ORACLES["op12_tolerant_asof"] = """
+WITH bytes AS (SELECT list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS c, b FROM range(256) r(b)),
+lut AS (SELECT list(c ORDER BY b) AS t FROM bytes),
+ids AS (SELECT click_id AS id FROM clicks UNION SELECT sale_id FROM sales),
+h AS (SELECT id, xor(list_reduce(list_transform(string_split(coalesce(id::VARCHAR, ''), ''), lambda s: ascii(s)::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h FROM ids, lut),
+c AS (SELECT click_id, max(client_id) AS client_id, max(epoch_us(ts)) AS us FROM clicks GROUP BY 1),
+cl AS (SELECT click_id, client_id, CASE WHEN h % 2 = 1 THEN us - us % 21600000000 ELSE us END AS ts_us FROM c JOIN h ON h.id IS NOT DISTINCT FROM click_id),
+o AS (SELECT client_id, sale_id, priority, floor(100 * total + 0.5)::BIGINT AS total_cents, h, CASE WHEN h % 2 = 1 THEN epoch_us(sold_at) - epoch_us(sold_at) % 21600000000 ELSE epoch_us(sold_at) END AS us
+  FROM sales JOIN h ON h.id IS NOT DISTINCT FROM sale_id),
+orders AS (SELECT client_id, us, total_cents, sale_id, priority FROM o UNION ALL SELECT client_id, us, total_cents, -1 - sale_id, 6 - priority FROM o WHERE h % 3 <> 0),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY client_id, us) AS n FROM orders WHERE client_id IS NOT NULL AND us IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY client_id, us ORDER BY total_cents DESC NULLS LAST, sale_id DESC NULLS LAST, priority DESC NULLS LAST) = 1),
+m AS (SELECT cl.*, r.us, r.total_cents, r.sale_id, r.priority, r.n FROM cl ASOF LEFT JOIN ranked r ON cl.client_id = r.client_id AND cl.ts_us >= r.us)
+SELECT click_id, client_id, ts_us, CASE WHEN near THEN sale_id END AS sale_id, CASE WHEN near THEN ts_us - us END AS lag_us, CASE WHEN near THEN total_cents END AS total_cents,
+  CASE WHEN near THEN n ELSE 0 END AS n_tied, CASE WHEN near THEN priority END::BIGINT AS priority FROM (SELECT *, coalesce(ts_us - us <= 2592000000000, false) AS near FROM m)
+"""
+
+
+@_query
+def op13_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
