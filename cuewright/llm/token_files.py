@@ -14,8 +14,8 @@ all tasks have ended, and only listed files are read, so lost or repeated tasks
 written once: a second write raises an error.
 
 ``encoded`` makes the ids. White space ends every pre-token of the vocabulary file's tokenizer and no normaliser joins
-anything across it, so each distinct word between ASCII white space is encoded once by the library and looked up after
-that; the ids are those of the whole text.
+anything across it, so each distinct word between ASCII white space is encoded once and looked up after that; the ids are
+those that the library gives for the whole text.
 
 Defined results: a null or empty text has the end id only; rows without a doc_id come last; rows that repeat a doc_id are
 documents each, ordered by a hash of the text and then as the table is read; an empty table gives files without frames
@@ -26,12 +26,14 @@ no whole number.
 from __future__ import annotations
 
 import io
+import json
 import os
+import re
 import struct
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from ._common import checkpoint_folder, partitions, slices
-from .bpe import gather
+from .bpe import byte_symbols, gather
 
 #: Ids in a frame; ids and documents in a block; ids in a file, about; bytes of text in a range, about.
 FRAME, BLOCK_IDS, BLOCK_DOCS, FILE, RANGE = 1 << 16, 1 << 22, 1 << 14, 1 << 26, 1 << 26
@@ -290,8 +292,25 @@ class TokenFiles(DataSource):
         return TokenWriter(self.options["path"])
 
 
+# Fixed values of the tokenizer file format: how a file says that it puts characters together, makes white space one blank
+# and lowers, then takes contractions, runs of letters, single numbers and runs of others, byte by byte.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+SPLIT = {"type": "Split", "pattern": {"Regex": CONTRACTIONS + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+SPLITTER = {"type": "Sequence", "pretokenizers": [SPLIT, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+#: Characters below U+0180 (Latin) that stand for themselves in NFC, lower to one of their kind, and are no white space; and of
+#: the lowered ones the letters and the numbers.
+LATIN = re.compile("[\x00-\x08\x0e-\x1f!-\x84\x86-\x9f\xa1-\u012f\u0131-\u017f]*")
+LETTERS, NUMBERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+PARTS = re.compile(f"\n|{CONTRACTIONS}|[{LETTERS}]+|[{NUMBERS}]|[^\n{LETTERS}{NUMBERS}]+")
+
+
 class Encoder:
-    """A tokenizer file, and the ids of the words met so far: at most ``KEPT`` bytes of words."""
+    """A tokenizer file, and the ids of the words met so far: at most ``KEPT`` bytes of words.
+
+    Where the file splits as ``SPLITTER`` says, words of Latin letters are parted here and the library merges each distinct
+    part once; other words go through the library whole. Any other file encodes whole texts.
+    """
 
     KEPT = 1 << 25
 
@@ -299,38 +318,84 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.whole = Tokenizer.from_file(path)
+        self.whole.no_padding()
+        self.whole.no_truncation()
+        model, added = spec["model"], spec.get("added_tokens") or []
+        plain = model.get("type") == "BPE" and model.get("end_of_word_suffix") == "</w>" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+        self.by_words = plain and spec["normalizer"] == NORMALIZER and spec["pre_tokenizer"] == SPLITTER and not any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+        if self.by_words:
+            self.specials = [t["content"] for t in added]
+            self.merges = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": [], "truncation": None, "padding": None}))
+            self.last = np.zeros(max(model["vocab"].values()) + 1, bool)
+            self.last[[i for t, i in model["vocab"].items() if t.endswith("</w>")]] = True
+            self.symbols = {b: c for c, b in byte_symbols().items() if b != 32}  # a blank parts the words
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.bytes = 0
-        self.flat, self.bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        ids = [f.ids for f in found]
-        for i, w in enumerate(words, len(self.known)):
-            self.known[w] = i
-        self.bytes += sum(map(len, words))
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32)])
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum([len(x) for x in ids])])
+        self.words, self.parts = Table(), Table()
+        self.parts.learn(["\n"], np.zeros(0, np.uint32), [0])
+
+    def learn_parts(self, parts: list[str]) -> None:
+        lines = [" ".join(parts[i : i + 512]).encode().decode("latin-1").translate(self.symbols) for i in range(0, len(parts), 512)]
+        ids = np.fromiter(chain.from_iterable(e.ids for e in self.merges.encode_batch_fast(lines, add_special_tokens=False)), np.uint32)
+        self.parts.learn(parts, ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1))
+
+    def learn_words(self, words: list[bytes]) -> None:
+        texts = [w.decode() for w in words]
+        latin = [LATIN.fullmatch(t) is not None for t in texts]
+        if any(x in t for t in ["\n".join(texts)] for x in self.specials):
+            latin = [x and not any(s in t for s in self.specials) for x, t in zip(latin, texts, strict=True)]
+        parts = PARTS.findall("\n".join([*compress(texts, latin), ""]).lower())
+        rows = self.parts.rows(parts, self.learn_parts)
+        ids, first = self.parts.gather(rows)
+        ends = np.flatnonzero(rows == 0)  # the row of a line's end
+        self.words.learn(list(compress(words, latin)), ids, np.diff(first[ends], prepend=0))
+        odd = [not x for x in latin]
+        found = [e.ids for e in self.whole.encode_batch_fast(list(compress(texts, odd)), add_special_tokens=False)]
+        self.words.learn(list(compress(words, odd)), np.fromiter(chain.from_iterable(found), np.uint32), [len(x) for x in found])
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and each text's first one (n + 1 values)."""
-        if self.bytes > self.KEPT:
+        if not self.by_words:
+            found = [e.ids for e in self.whole.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(found), np.uint32), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
+        if self.words.bytes > self.KEPT:
             self.clear()
         words = [t.split() for t in texts]  # of bytes: at the six ASCII white-space characters
-        flat = list(chain.from_iterable(words))
-        new = set(flat) - self.known.keys()
+        ids, first = self.words.gather(self.words.rows(list(chain.from_iterable(words)), self.learn_words))
+        return ids, first[np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)]
+
+
+class Table:
+    """Pieces of text, each with a row of ids."""
+
+    def __init__(self):
+        self.known: dict = {}
+        self.bytes = 0
+        self.flat, self.bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def learn(self, pieces: list, ids: np.ndarray, sizes: Sequence[int]) -> None:
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
+        self.bytes += sum(map(len, pieces))
+        self.flat = np.concatenate([self.flat, ids])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(np.asarray(sizes, np.int64))])
+
+    def rows(self, pieces: list, learn: Callable[[list], None]) -> np.ndarray:
+        """The row of each piece; ``learn`` gets those that are new, once each."""
+        rows = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(rows < 0).tolist()
         if new:
-            self.learn(sorted(new))
-        rows = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+            learn(list({pieces[i]: None for i in new}))
+            rows[new] = [self.known[pieces[i]] for i in new]
+        return rows
+
+    def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the rows one after the other, and where each row begins (n + 1 values)."""
         sizes = self.bounds[rows + 1] - self.bounds[rows]
-        first = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
-        return gather(self.flat, self.bounds[rows], sizes), np.concatenate([[0], np.cumsum(sizes)])[first]
+        return gather(self.flat, self.bounds[rows], sizes), np.concatenate([[0], np.cumsum(sizes)])
 
 
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int | None = 1) -> DataFrame:

@@ -148,12 +148,22 @@ def test_words_encode_as_whole_texts(texts):
     assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_every_latin_character_and_other_files():
+    whole, model = Tokenizer.from_file(WORD_BPE), token_files.Encoder(WORD_BPE)
+    texts = [f"a{chr(c)}B 1{chr(c)}{chr(c)}'s {chr(c)}x" for c in range(0x600)] + ["\x01 \x1c\x1d a\x1fb", "Ⱥ İ ȾX Σας ς ¼½²x ªº µß÷×"]
+    ids, first = model.encode([t.encode() for t in texts])
+    assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids, first = token_files.Encoder(path).encode([b"two  words", b"", b"x"])
+    assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == [e.ids for e in Tokenizer.from_file(path).encode_batch(["two  words", "", "x"], add_special_tokens=False)]
+
+
 def test_words_are_forgotten(monkeypatch):
     monkeypatch.setattr(token_files.Encoder, "KEPT", 5)
     model = token_files.Encoder(WORD_BPE)
     for t in ("hello world again", "other words", "hello world again"):
         ids, _ = model.encode([t.encode()])
-        assert ids.tolist() == Tokenizer.from_file(WORD_BPE).encode(t, add_special_tokens=False).ids and len(model.known) <= 3
+        assert ids.tolist() == Tokenizer.from_file(WORD_BPE).encode(t, add_special_tokens=False).ids and len(model.words.known) <= 3
 
 
 ROWS = [(5, "five words are in here"), (3, None), (4, ""), (4, "the same id again"), (4, "the same id again"), (None, "no id at all"), (-2, "x" * 70_000), (10**12, " ".join(f"w{i}" for i in range(60_000))), (6, " \t\n"), (7, "after the long one")]
