@@ -1,8 +1,10 @@
 """Small tables with nulls, empty and long texts, ties, repeated rows, no rows, and extra columns with clashing names."""
 
 import hashlib
+import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -230,18 +232,91 @@ def test_toxicity(spark, none):
 
 def test_grammar_tells_uses_apart():
     g = toxicity.Grammar({"idiot": 5.0})
-    use = lambda t: toxicity.USES[int(np.argmax(g.features(t)[:6]))]
+    use = lambda t: Counter(u for c in g.clauses(t) for u, *_ in c).most_common(1)[0][0]
     assert [use(t) for t in ("idiot here", "you idiot", "not an idiot", "he said idiot", "i will kill you", "i kill you")] == ["asserted", "aimed", "negated", "reported", "threat", "violent"]
     assert [use(t) for t in ("i will never kill you", "he wrote that i will kill you", "i will one two three kill you")] == ["negated", "reported", "violent"]
     assert g.features("idiotic")[0] > 0
     both = toxicity.Grammar({"idiot": 5.0, "idiot$": 6.0, "kill$": 4.0})
-    assert both.features("idiotic")[0] == np.log1p(5.0) and both.features("idiot")[0] == np.log1p(6.0) and both.features("i will kill")[4] > 0
+    assert both.features("idiotic")[0] == 5.0 and both.features("idiot")[0] == 6.0 and [u for c in both.clauses("i will kill") for u, *_ in c] == ["threat"]
+    assert both.features("idiot idiot idiotic")[0] == 11.0 and both.features("idiot. idiot")[0] == 6.0  # an entry counts once in a clause
     assert not toxicity.Grammar({"idiot$": 5.0}).features("idiotic nonidiot").any()
 
 
+def test_composed_machine_is_the_four_in_sequence():
+    """Every string of up to five symbols, by the rules as the module states them, against the composed machine."""
+    T = toxicity
+    table, scope = T.grammar(), T.SCOPE
+
+    def by_rules(symbols):
+        out, negated, meant, reported, target = [], 0, 0, False, False
+        for s in symbols:
+            x = s
+            if s == T.NEGATION:
+                x = T.PLAIN
+            elif negated and s in (T.INSULT, T.VERB):
+                x = "negated"
+            negated = scope if s == T.NEGATION else max(negated - 1, 0)
+            intends = x == T.INTENTION
+            x = T.PLAIN if intends else "threat" if x == T.VERB and meant else x
+            meant = scope if intends else max(meant - 1, 0)
+            says = x == T.REPORT
+            x = T.PLAIN if says else "reported" if reported and x in (T.INSULT, T.VERB, "threat") else x
+            reported |= says
+            aims = x == T.TARGET
+            x = T.PLAIN if aims else {T.INSULT: "aimed" if target else "asserted", T.VERB: "violent"}.get(x, x)
+            target |= aims
+            out.append(x)
+        return out
+
+    for n in range(1, 6):
+        for symbols in itertools.product(T.SYMBOLS, repeat=n):
+            state, got = (0,) * 4, []
+            for s in symbols:
+                state, x = table[state, s]
+                got.append(x)
+            assert got == by_rules(symbols), symbols
+    assert {x for _, x in table.values()} - {T.PLAIN} == set(T.FACTORS)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_scores_follow_the_grammar(spark, sf):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels, toxicity.fold("_id", 3) != 1)
+    strongest = sorted((w, k.rstrip("$")) for k, w in model.lexicon.items() if k.endswith("$"))[-3:]
+    assert {"trash", "idiot"} & {k.rstrip("$") for k in model.lexicon}
+    for _, x in strongest:
+        plain, aimed, directed, denied, said, quoted, empty, threat = model.score([x, f"you {x}", f"you are a {x}", f"not {x}", f"he said {x}", f"he said you are a {x}", "", "I will kill you"])
+        assert aimed >= plain > max(denied, said, quoted) and directed >= plain and min(denied, said) >= empty and threat > empty
+        assert model.score([f"you are not a {x}"])[0] < plain
+    got = toxicity.toxicity(docs, labels).filter("held_out").join(labels.select("doc_id", "toxic"), "doc_id").groupBy("toxic").agg(F.avg("predicted").alias("p")).collect()
+    found = {r.toxic: r.p for r in got}
+    assert found[0] < 0.01 and found[1] > (0.9 if sf == "sf0.1" else 0.7)  # sf0.01 has 40 toxic documents to learn from
+
+
+def test_threat_verbs_are_learnt(spark):
+    text = lambda i, y: prose(30, i) + (f". I will {['smackle', 'smackled'][i // 2 % 2]} you" if y else "")
+    rows = [(i, i % 2, text(i, i % 2)) for i in range(200)]
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, y, _ in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, F.lit(True))
+    assert any(k.startswith("smackle") for k in model.verbs)
+    assert [u for c in model.clauses("they shall smackle him") for u, *_ in c] == ["threat"] and [u for c in model.clauses("they smackle him") for u, *_ in c] == ["violent"]
+    threat, plain, empty = model.score(["we will smackle you", "we smackle it", ""])
+    assert threat >= plain > empty
+
+
+def test_long_texts_are_counted_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PIECE", 50)
+    long = " ".join(f"w{i}" for i in range(100)) + " blighter"
+    assert "".join(toxicity.pieces(long)) == long and all(len(p) < 60 for p in toxicity.pieces(long))
+    assert set().union(*map(toxicity.beginnings, toxicity.pieces(long))) == toxicity.beginnings(long)
+    rows = spark.createDataFrame([(y, i % 4, f"{long} blighter again blighter" if y else long.replace("blighter", "") ) for i in range(40) for y in (0, 1)], "_y int, _part int, _text string")
+    assert toxicity.learn_lexicons(rows, {(y, p): 10 for y in (0, 1) for p in range(4)})[4].keys() >= {"blighter$"} or "bli" in str(toxicity.learn_lexicons(rows, {(y, p): 10 for y in (0, 1) for p in range(4)})[4])
+
+
 def test_grammar_reads_long_clauses():
     g = toxicity.Grammar({"idiot": 5.0})
-    use = lambda t: toxicity.USES[int(np.argmax(g.features(t)[:6]))]
+    use = lambda t: Counter(u for c in g.clauses(t) for u, *_ in c).most_common(1)[0][0]
     far = " word" * 1000
     assert [use(t) for t in (f"you{far} idiot", f"he said{far} idiot", f"you.{far} idiot", f"you idiot.{far} idiot. {far} idiot")] == ["aimed", "reported", "asserted", "asserted"]
 
