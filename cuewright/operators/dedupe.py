@@ -50,28 +50,47 @@ def _jump(a: tuple[float, float] | None, b: tuple[float, float] | None, limit: f
     return a is not None and b is not None and math.hypot(a[0] - b[0], a[1] - b[1]) > limit
 
 
+def join_or_open(groups: list[dict], r: tuple, look_back: int, gap_ms: float, span_ms: int, ascii_only: bool, last_end: bool) -> dict:
+    """The group of the last ``look_back`` that the detection joins, the latest first, or a new one; changed in place."""
+    key, at = key_of(r.text, ascii_only), (float(r.x), float(r.y))
+    for g in reversed(groups[-look_back:]):
+        near = r.start_ms - g["end_ms"] <= gap_ms and r.end_ms - g["start_ms"] <= span_ms
+        alike = key and g["key"] and (key in g["key"] or g["key"] in key)
+        if near and alike and not _jump(g["at"], at, 420.0):
+            g["end_ms"] = r.end_ms if last_end else max(g["end_ms"], r.end_ms)
+            g["confidence"] = max(g["confidence"], r.confidence)
+            g["n"] += 1
+            if len(r.text) > len(g["text"]):
+                g |= {"text": r.text, "key": key, "at": at}
+            return g
+    groups.append({"start_ms": r.start_ms, "end_ms": r.end_ms, "text": r.text, "key": key, "at": at, "confidence": r.confidence, "n": 1})
+    return groups[-1]
+
+
 def _groups(frame: pd.DataFrame, look_back: int, gap_ms: float, span_ms: int, ascii_only: bool, by_time: bool, last_end: bool) -> pd.DataFrame:
     groups: list[dict] = []
     order = ["start_ms", "seq"] if by_time else ["seq"]
     for r in frame.sort_values(order, kind="stable").itertuples(index=False):
-        key, at = key_of(r.text, ascii_only), (float(r.x), float(r.y))
-        for g in reversed(groups[-look_back:]):
-            near = r.start_ms - g["end_ms"] <= gap_ms and r.end_ms - g["start_ms"] <= span_ms
-            alike = key and g["key"] and (key in g["key"] or g["key"] in key)
-            if near and alike and not _jump(g["at"], at, 420.0):
-                g["end_ms"] = r.end_ms if last_end else max(g["end_ms"], r.end_ms)
-                g["confidence"] = max(g["confidence"], r.confidence)
-                g["n"] += 1
-                if len(r.text) > len(g["text"]):
-                    g |= {"text": r.text, "key": key, "at": at}
-                break
-        else:
-            groups.append({"stem": r.stem, "start_ms": r.start_ms, "end_ms": r.end_ms, "text": r.text, "key": key, "at": at, "confidence": r.confidence, "n": 1})
+        join_or_open(groups, r, look_back, gap_ms, span_ms, ascii_only, last_end)
     out = pd.DataFrame(groups)
-    out["group_id"] = range(1, len(out) + 1)
+    out["stem"], out["group_id"] = frame["stem"].iloc[0], range(1, len(out) + 1)
     return out[["stem", "group_id", "start_ms", "end_ms", "text", "confidence", "n"]]
 
 
+def groups_sql(look_back: int, gap_ms: float, span_ms: int, key: str, by_time: bool, last_end: bool) -> str:
+    """The greedy grouping as a fold over each stem's list: the state is the list of groups so far, and an item a list of one."""
+    g, d = "acc[i]", "y[1]"
+    fits = f"""{d}.start_ms - {g}.end_ms <= {gap_ms} AND {d}.end_ms - {g}.start_ms <= {span_ms} AND {d}.key <> '' AND {g}.key <> '' AND (contains({d}.key, {g}.key) OR contains({g}.key, {d}.key))
+      AND sqrt(({g}.x - {d}.x) ** 2 + ({g}.y - {d}.y) ** 2) <= 420"""
+    found = f"list_filter(range(len(acc), greatest(len(acc) - {look_back}, 0), -1), lambda i: {fits})[1]"
+    longer = lambda c: f"{c} := CASE WHEN length({d}.text) > length(h.text) THEN {d}.{c} ELSE h.{c} END"
+    merged = f"struct_pack(start_ms := h.start_ms, end_ms := {f'{d}.end_ms' if last_end else f'greatest(h.end_ms, {d}.end_ms)'}, {', '.join(map(longer, ('text', 'key', 'x', 'y')))}, confidence := greatest(h.confidence, {d}.confidence), n := h.n + 1)"
+    return rf"""WITH {DETECTIONS}, d AS (SELECT stem, seq, at_ms // 10000 AS start_ms, at_ms // 10000 + 500 AS end_ms, text, confidence, (seq * 37 % 300)::DOUBLE AS x, (seq * 53 % 200)::DOUBLE AS y, regexp_replace(lower(text), '{key}', '', 'g') AS key FROM dets),
+l AS (SELECT stem, list([struct_pack(start_ms := start_ms, end_ms := end_ms, text := text, key := key, x := x, y := y, confidence := confidence, n := 1::BIGINT)] ORDER BY {"start_ms, " if by_time else ""}seq) AS items FROM d GROUP BY stem),
+f AS (SELECT stem, list_reduce(items, lambda acc, y: CASE WHEN {found} IS NULL THEN list_append(acc, {d}) ELSE list_transform(acc, lambda h, k: CASE WHEN k = {found} THEN {merged} ELSE h END) END) AS g FROM l)
+SELECT stem, k AS group_id, g[k].start_ms AS start_ms, g[k].end_ms AS end_ms, g[k].text AS text, g[k].confidence AS confidence, g[k].n AS n FROM (SELECT stem, g, unnest(range(1, len(g) + 1)) AS k FROM f)"""
+
+
 _GROUP_SCHEMA = "stem long, group_id long, start_ms long, end_ms long, text string, confidence double, n long"
 
 
@@ -85,19 +104,20 @@ def merged_ocr(frame: DataFrame, gap_ms: int = 3000, span_ms: int = 6000) -> Dat
     return frame.groupBy("stem").applyInPandas(lambda f: _groups(f, 30, gap_ms, span_ms, False, True, False), _GROUP_SCHEMA)
 
 
-def _timed(spark: SparkSession, sf_dir: str, scale: int) -> DataFrame:
-    d = detections(spark, sf_dir).withColumn("start_ms", F.floor(F.col("at_ms") / scale).cast("long"))
+def timed(detected: DataFrame, scale: int = 10_000) -> DataFrame:
+    """Detections with boxes, in a time that runs ``scale`` times as fast as that of the table."""
+    d = detected.withColumn("start_ms", F.floor(F.col("at_ms") / scale).cast("long"))
     return d.select("stem", "seq", "start_ms", (F.col("start_ms") + 500).alias("end_ms"), "text", "confidence", (F.col("seq") * 37 % 300).cast("double").alias("x"), (F.col("seq") * 53 % 200).cast("double").alias("y"))
 
 
-@query("seq6_merge_detections")
+@query("seq6_merge_detections", groups_sql(20, 1100, 6000, "[^a-z0-9]+", False, True))
 def seq6_merge_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merged_detections(_timed(spark, sf_dir, 10_000))
+    return merged_detections(timed(detections(spark, sf_dir)))
 
 
-@query("seq7_merge_ocr")
+@query("seq7_merge_ocr", groups_sql(30, 3000, 6000, "[^a-z0-9一-鿿]+", True, False))
 def seq7_merge_ocr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merged_ocr(_timed(spark, sf_dir, 10_000))
+    return merged_ocr(timed(detections(spark, sf_dir)))
 
 
 def fuzzy_minute_dedupe(frame: DataFrame, threshold: float = 0.6) -> DataFrame:

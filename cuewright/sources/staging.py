@@ -33,11 +33,13 @@ LINES = r"""lines AS (SELECT doc_id AS stem, (unnest(range(1, len(parts) + 1)) -
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))"""
 
 
-def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_detections(events: DataFrame) -> DataFrame:
     """Events as on-screen text detections: stem, seq, at_ms, text, confidence."""
-    return table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("stem"), F.col("event_id").alias("seq"), F.unix_millis(F.col("ts").cast("timestamp")).alias("at_ms"), F.col("event_type").alias("text"), F.col("value").alias("confidence")
-    )
+    return events.select(F.col("user_id").alias("stem"), F.col("event_id").alias("seq"), F.unix_millis(F.col("ts").cast("timestamp")).alias("at_ms"), F.col("event_type").alias("text"), F.col("value").alias("confidence"))
+
+
+def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_detections(table(spark, sf_dir, "events"))
 
 
 DETECTIONS = "dets AS (SELECT user_id AS stem, event_id AS seq, (epoch_us(ts) // 1000)::BIGINT AS at_ms, event_type AS text, value AS confidence FROM events)"

@@ -13,7 +13,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dedupe import groups_sql, timed
 from ..plans.registry import query
+from ..sources.staging import DETECTIONS, as_detections
+from .groups import grouped_detections, latest_groups, sliding_first, stateful
 
 
 def event_stream(spark: SparkSession, sf_dir: str, watermark: str = "31 days") -> DataFrame:
@@ -43,21 +46,27 @@ def first_within(stream: DataFrame, *keys: str) -> DataFrame:
     return stream.dropDuplicatesWithinWatermark(list(keys))
 
 
-def completed(spark: SparkSession, stream: DataFrame, mode: str = "complete") -> DataFrame:
-    """Run the stream over all that is there now; in complete mode the result table, else the appended rows."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share; where none is set, a session on one machine (tests) gets one."""
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = os.path.join(tempfile.gettempdir(), "cuewright-streams")
-    name = f"s{uuid.uuid4().hex}"
-    out = f"{base}/{name}/out"
+    return base
+
+
+def completed(spark: SparkSession, stream: DataFrame, mode: str = "complete", place: str | None = None) -> DataFrame:
+    """Run the stream over all that is there now; in complete mode the result table, else the appended rows. With a
+    ``place`` that has run before, it goes on from its checkpoint there."""
+    place = place or f"{shared_folder(spark)}/s{uuid.uuid4().hex}"
+    out = f"{place}/out"
 
     def put(batch: DataFrame, number: int) -> None:
         # A batch that is replayed writes the same folder again; in complete mode only the last table counts.
         batch.write.mode("overwrite").parquet(f"{out}/table" if mode == "complete" else f"{out}/batch-{number}")
 
-    run = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/{name}/state").trigger(availableNow=True).foreachBatch(put).start()
+    run = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{place}/state").trigger(availableNow=True).foreachBatch(put).start()
     run.awaitTermination()
     return spark.read.schema(stream.schema).option("recursiveFileLookup", True).parquet(out)
 
@@ -77,7 +86,7 @@ def stm1_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
 s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM l) SELECT user_id, (epoch_us(min(ts)) // 1000)::BIGINT AS start_ms, count(*) AS n FROM s GROUP BY user_id, k""",
 )
 def stm2_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Session windows are kept by the batch engine here: complete mode does not take them."""
+    """Session windows alone, over a table: complete mode does not take them. ``stm2_grouped_detections`` is the stream."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     return sessions(events).select("user_id", F.unix_millis("w.start").alias("start_ms"), "n")
 
@@ -90,3 +99,30 @@ def stm3_stm5_first_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incremental run that appends the first of each pair."""
     stream = first_within(event_stream(spark, sf_dir, "3650 days"), "user_id", "event_type")
     return completed(spark, stream.select("user_id", "event_type"), "append")
+
+
+def _detected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(_folder(sf_dir))
+    return timed(as_detections(stream))
+
+
+@query("stm2_grouped_detections", groups_sql(20, 1100, 6000, "[^a-z0-9]+", False, True))
+def stm2_grouped_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STM2: the groups of SEQ6 from a stream with keyed state."""
+    with stateful(spark):
+        done = completed(spark, grouped_detections(_detected(spark, sf_dir)), "append")
+    return latest_groups(done).drop("closed")
+
+
+@query(
+    "stm5_sliding_first",
+    f"""WITH {DETECTIONS}, d AS (SELECT stem, text AS key, list([struct_pack(at_ms := at_ms // 10000, seq := seq)] ORDER BY at_ms // 10000, seq) AS items FROM dets GROUP BY ALL),
+f AS (SELECT stem, key, list_reduce(items, lambda acc, y: CASE WHEN y[1].at_ms - acc[len(acc)].at_ms > 20000 THEN list_append(acc, y[1]) ELSE acc END) AS kept FROM d)
+SELECT stem, key, k.seq AS seq, k.at_ms AS at_ms FROM (SELECT stem, key, unnest(kept) AS k FROM f)""",
+)
+def stm5_sliding_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STM5: of equal texts of a stem those not shown within 20 s after a kept one; the state goes with the watermark."""
+    rows = _detected(spark, sf_dir).select("stem", F.col("text").alias("key"), "seq", F.col("start_ms").alias("at_ms"))
+    with stateful(spark):
+        return completed(spark, sliding_first(rows), "append")
