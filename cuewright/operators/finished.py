@@ -55,13 +55,18 @@ def two_sides(c: Column | str) -> Column:
     r"""Chinese and English of an event: English begins at the first \N part with its own font, else at the first part
     behind the first from which on something is shown and nothing Chinese; null where there is no such part."""
     pieces = F.split(text(c), r"\\N")
-    rest = lambda i: shown(F.array_join(F.slice(pieces, i + 1, F.size(pieces)), "\\N"))
+    rests = F.transform(pieces, lambda p, i: F.when(i > 0, shown(F.array_join(F.slice(pieces, i + 1, F.size(pieces)), "\\N"))).otherwise(""))
     font = F.array_position(F.transform(pieces, lambda p: F.contains(p, F.lit("\\fnArial"))), True)
-    plain = F.array_position(F.transform(pieces, lambda p, i: (i > 0) & (rest(i) != "") & ~has_han(rest(i))), True)
+    plain = F.array_position(F.transform(rests, lambda r: (r != "") & ~has_han(r)), True)
     at = F.when(font > 0, font).otherwise(plain).cast("int")
     return F.when(at > 1, F.struct(F.array_join(F.slice(pieces, 1, at - 1), "\\N").alias("zh"), F.array_join(F.slice(pieces, at, F.size(pieces)), "\\N").alias("en")))
 
 
+def evaluated(frame: DataFrame, name: str, value: Column) -> DataFrame:
+    """A column that later steps read but do not work out anew: the optimizer moves nothing across a generator."""
+    return frame.withColumn(name, F.explode(F.array(value)))
+
+
 def _kind(style: Column | str, *known: dict[str, str]) -> Column:
     pairs = [x for k in known for x in k.items()]
     return reduce(lambda out, p: F.when(col(style) == p[0], p[1]).otherwise(out), pairs, F.lit(None).cast("string"))
@@ -91,11 +96,12 @@ def polish_targets(events: DataFrame, styles: list[str], origins: list[str] | No
     """FLT13: events of the styles and origins that show Chinese, or English with nothing to read above it; and pairs of
     older files, if an unknown origin is allowed."""
     on, kind = F.col("style").isin(list(BILINGUAL)), _kind("style", BILINGUAL, OVERLAY)
-    made = events.filter(F.col("style").isin(styles) & kind.isNotNull()).withColumns({"kind": kind, "origin": origin("name", "style"), "_two": two_sides("text")})
-    made = made.filter(~on | F.col("_two").isNotNull())
+    made = events.filter(F.col("style").isin(styles) & kind.isNotNull()).withColumns({"kind": kind, "origin": origin("name", "style")})
     if origins is not None:
         made = made.filter(F.col("origin").isin(origins))
-    made = made.withColumns({"zh": F.when(on, shown("_two.zh")).otherwise(shown("text")), "en": F.when(on, shown("_two.en")).otherwise("")})
+    made = evaluated(made, "_two", F.when(on, two_sides("text"))).filter(~on | F.col("_two").isNotNull())
+    made = evaluated(made, "_sides", F.struct(F.when(on, shown("_two.zh")).otherwise(shown("text")).alias("zh"), F.when(on, shown("_two.en")).otherwise("").alias("en")))
+    made = made.withColumns({"zh": F.col("_sides.zh"), "en": F.col("_sides.en")})
     missing = on & (F.col("en") != "") & ~F.col("zh").rlike("[0-9A-Za-z]")
     own = made.filter(has_han("zh") | missing).select(*TARGET)
     return own if origins is not None and "unknown" not in origins else own.unionByName(paired_targets(events, styles))
@@ -106,7 +112,9 @@ def name_targets(events: DataFrame) -> DataFrame:
     style = F.trim("style")
     low = F.lower(style)
     kind = F.when(F.contains(low, F.lit("chant")), "chant").when(low.rlike("lyric|music|song"), "lyric").otherwise(F.coalesce(_kind(style, BILINGUAL), F.lit("dialogue")))
-    made = events.withColumn("_two", two_sides("text")).filter("_two IS NOT NULL").withColumns({"zh": shown("_two.zh"), "en": shown("_two.en"), "kind": kind, "origin": origin("name", style)})
+    made = evaluated(events, "_two", two_sides("text")).filter("_two IS NOT NULL")
+    made = evaluated(made, "_sides", F.struct(shown("_two.zh").alias("zh"), shown("_two.en").alias("en")))
+    made = made.withColumns({"zh": F.col("_sides.zh"), "en": F.col("_sides.en"), "kind": kind, "origin": origin("name", style)})
     return made.filter(F.col("en") != "").withColumn("style", style).select(*TARGET)
 
 

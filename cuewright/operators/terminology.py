@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import CREDIT, HAN, col, has_han, normalize_inline, normalize_text, text, word_pattern
+from ..functions.text import CREDIT, col, has_han, normalize_inline, normalize_text, text, word_pattern
 from ..plans.registry import query, table
 from ..sources.staging import LINES, lines
 
@@ -39,34 +39,57 @@ def valid_entries(entries: DataFrame) -> DataFrame:
     return entries.withColumns({"source_en": source, "preferred_zh": preferred}).filter((F.col("source_en") != "") & (F.col("preferred_zh") != "") & F.coalesce("reviewed", F.lit(True)))
 
 
+def _series_words(c: Column | str) -> Column:
+    """A name with separators as blanks, folded, in pieces."""
+    return _pieces(folded(normalize_inline(F.regexp_replace(text(c), r"[._\-]+", " "))))
+
+
+def files_of_series(files: DataFrame, series: DataFrame) -> DataFrame:
+    """Each file with the series (a column ``series``) that its name holds; a series without a name, or null, fits all.
+
+    Files meet the series of whose name they have the longest piece, an equality join; the pattern decides.
+    """
+    longest = F.array_max(F.transform(_series_words("series"), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    every = series.select("series").distinct().withColumn("_key", F.coalesce(longest, F.lit("")))
+    pieces = F.array_distinct(F.concat(F.array(F.lit("")), _series_words("name")))
+    return files.withColumn("_key", F.explode(pieces)).join(every, "_key").filter(series_fits("series", "name")).drop("_key")
+
+
 def project_entries(entries: DataFrame, files: DataFrame) -> DataFrame:
-    """DIC4: each file's valid entries, by the series in its name. Files meet only the distinct series, of which there are few."""
+    """DIC4: each file's valid entries, by the series in its name."""
     valid = valid_entries(entries)
-    series = valid.select("series").distinct()
-    fits = files.join(F.broadcast(series), series_fits("series", "name")) if series.count() <= 10_000 else files.crossJoin(series).filter(series_fits("series", "name"))
-    return fits.join(valid.withColumnRenamed("series", "_series"), F.col("series").eqNullSafe(F.col("_series"))).drop("_series")
+    return files_of_series(files, valid).join(valid.withColumnRenamed("series", "_series"), F.col("series").eqNullSafe(F.col("_series"))).drop("_series")
+
+
+def folded(c: Column | str) -> Column:
+    """A text in which letters that differ in case only are the same."""
+    return F.lower(F.upper(col(c)))
 
 
 def _pieces(c: Column | str) -> Column:
-    """What texts and terms meet by: words of ASCII letters and digits, and single Han characters."""
-    return F.regexp_extract_all(F.lower(col(c)), F.lit(f"[0-9a-z]+|{HAN}"), F.lit(0))
+    """What texts and terms meet by, of folded text: runs of ASCII letters and digits, and all other characters one by one. A
+    whole word or phrase in a text has its pieces there, since only ASCII letters and digits end it."""
+    return F.regexp_extract_all(col(c), F.lit(r"[0-9a-z]+|[^\s0-9a-z]"), F.lit(0))
 
 
-def matching_entries(texts: DataFrame, entries: DataFrame, column: str = "text", kind: str = "kind", target: str | None = None) -> DataFrame:
+def matching_entries(texts: DataFrame, entries: DataFrame, column: str = "text", kind: str = "kind", target: str | None = None, also: tuple[str, ...] = ()) -> DataFrame:
     """JOIN7: texts with each entry whose source or alias stands in them as a whole word or phrase, if the scope fits;
-    a text without source is matched by the entry's Chinese aliases (of two characters or more) in the ``target``.
+    a text without source is matched by the entry's Chinese aliases (of two characters or more) in the ``target``. ``also``
+    names further columns of the entries.
 
-    A text meets only entries of which it has the longest piece, an equality join; the pattern then decides.
+    A text meets only entries of which it has the longest piece, an equality join; then the words must stand there, and only
+    then a pattern decides whether as whole words.
     """
     valid = valid_entries(entries)
+    names = [*texts.columns, "ordinal", "source_en", "preferred_zh", *also]
     variants = valid.select("*", F.explode(F.array_distinct(F.concat(F.array("source_en"), F.filter(F.transform(F.coalesce("aliases", F.array()), normalize_inline), lambda a: a != "")))).alias("_variant"))
-    longest = F.array_max(F.transform(_pieces("_variant"), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    variants = variants.withColumn("_fold", folded("_variant"))
+    longest = F.array_max(F.transform(_pieces("_fold"), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     pattern = word_pattern("_variant")
-    variants = variants.withColumns({"_key": F.coalesce(longest, F.lit("")), "_pattern": F.when(F.coalesce("case_sensitive", F.lit(False)), F.regexp_replace(pattern, r"^\(\?iuU\)", "(?U)")).otherwise(pattern)})
-    plain = texts.withColumn("_text", normalize_inline(column))
-    met = plain.withColumn("_key", F.explode(F.array_distinct(F.concat(_pieces("_text"), F.array(F.lit("")))))).join(variants, "_key")
-    met = met.filter(F.rlike("_text", F.col("_pattern")) & scope_fits("scope", kind)).drop("_key", "_text", "_pattern", "_variant")
-    names = [*texts.columns, "ordinal", "source_en", "preferred_zh"]
+    variants = variants.withColumns({"_key": longest, "_pattern": F.when(F.coalesce("case_sensitive", F.lit(False)), F.regexp_replace(pattern, r"^\(\?iuU\)", "(?U)")).otherwise(pattern)})
+    plain = texts.withColumn("_text", normalize_inline(column)).withColumn("_folded", folded("_text"))
+    met = plain.withColumn("_key", F.explode(F.array_distinct(_pieces("_folded")))).join(variants, "_key")
+    met = met.filter(F.when(F.contains("_folded", F.col("_fold")), F.rlike("_text", F.col("_pattern"))).otherwise(False) & scope_fits("scope", kind))
     found = met.select(*names).distinct()
     if target is not None:
         chinese = valid.select("*", F.explode(F.filter(F.transform(F.coalesce("zh_aliases", F.array()), normalize_inline), lambda a: F.length(a) >= 2)).alias("_alias")).withColumn("_key", F.substring("_alias", 1, 2))
@@ -85,7 +108,9 @@ def first_entries(matches: DataFrame, *keys: str, limit: int = 32) -> DataFrame:
 def ranked_hints(matches: DataFrame, *keys: str, limit: int = 24) -> DataFrame:
     """JOIN9: of the hints that match a text the best by confidence, support and length of the source, ties by order."""
     word = F.lower(F.trim(text("confidence")))
-    confidence = F.coalesce(F.expr("try_cast(confidence AS int)"), F.when(word == "high", 3).when(word == "low", 1).otherwise(2))
+    words = F.when(word == "high", 3).when(word == "low", 1).otherwise(2)  # a number that is written as text is no such word
+    number = matches.schema["confidence"].dataType.simpleString() not in ("string", "void")
+    confidence = F.coalesce(F.col("confidence").cast("int"), words) if number else words
     order = Window.partitionBy(*keys).orderBy(confidence.desc(), support_count("support_count").desc(), F.length("source_en").desc(), "ordinal")
     return matches.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
 
