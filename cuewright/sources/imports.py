@@ -74,7 +74,7 @@ def write_new(rows: DataFrame, path: str) -> None:
     named = rows.select(F.col("stem").cast("string").alias("stem"), "content")
     twice = named.groupBy("stem").agg(F.count("*").alias("n")).filter("n > 1").select("stem")
     if there:
-        old = spark.read.option("wholetext", True).text(path).select(F.col("stem").cast("string").alias("stem")).distinct()
+        old = spark.read.text(path, wholetext=True).select(F.col("stem").cast("string").alias("stem")).distinct()
         twice = twice.union(named.select("stem").distinct().join(old, "stem", "left_semi"))
     taken = [r.stem for r in twice.limit(5).collect()]
     if taken:

@@ -19,10 +19,9 @@ MEDIA = ["mkv", "mp4", "avi", "mov", "m4v", "ts", "webm"]
 
 
 def read_documents(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """stem, content of all files below a folder; a byte order mark goes."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
-    stem = F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1)
-    return files.select(stem.alias("stem"), F.regexp_replace("value", "^﻿", "").alias("content"))
+    """stem, content of all files below a folder, decoded as SRC14 says; a byte order mark goes."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return files.select(F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1).alias("stem"), decoded(F.col("content")).alias("content"))
 
 
 def discover(spark: SparkSession, path: str, extensions: list[str] | None = None) -> DataFrame:
@@ -32,9 +31,18 @@ def discover(spark: SparkSession, path: str, extensions: list[str] | None = None
     return files.select("path", F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1).alias("stem"), ext.alias("ext")).filter(F.col("ext").isin(extensions or MEDIA)).orderBy("path")
 
 
+#: Bytes 80 to 9F of windows-1252, where it differs from ISO-8859-1; five of them stand for nothing.
+_CP1252 = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)]
+
+
 def decoded(content: F.Column) -> F.Column:
-    """SRC14: bytes as UTF-8 where they are valid, else as windows-1252."""
-    return F.regexp_replace(F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, "windows-1252")), "^﻿", "")
+    """SRC14, SRC15: bytes as UTF-8 where they are valid, else as windows-1252 if all stand for something there, else as UTF-8
+    with replacement characters; a byte order mark goes."""
+    raw, latin = content.cast("string"), F.decode(content, "iso-8859-1")
+    known = [(a, b) for a, b in _CP1252 if b]
+    western = F.translate(latin, "".join(a for a, _ in known), "".join(b for _, b in known))
+    unknown = latin.rlike("[" + "".join(a for a, b in _CP1252 if not b) + "]")
+    return F.regexp_replace(F.when(F.is_valid_utf8(raw), raw).when(unknown, F.make_valid_utf8(raw)).otherwise(western), "^\ufeff", "")
 
 
 def _breaks(c: str) -> F.Column:

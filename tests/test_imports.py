@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cuewright.sources import imports as I
-from cuewright.sources.subtitles import parse_ass
+from cuewright.sources.subtitles import discover, parse_ass, read_documents
 
 BODIES = ["{\\an8}(LOW BUZZ)", "- (MUSIC PLAYING)\n- Hello there.", "<i>Salvete quicumque estis;</i>", "NAREN: I am still here.", "(SOBBING): Standard?", "Turn it off. - BOBBY: Okay.", "FEMALE VOICE in Cantonese: Gok wai hou maa?"]
 
@@ -46,7 +46,7 @@ def test_files_are_never_overwritten(spark, documents, tmp_path):
     path = f"{tmp_path}/out"
     made = I.converted(documents)
     I.write_new(made, path)
-    read = lambda: spark.read.option("wholetext", True).text(path).select(F.col("stem").cast("string").alias("stem"), F.col("value").alias("content"))
+    read = lambda: spark.read.text(path, wholetext=True).select(F.col("stem").cast("string").alias("stem"), F.col("value").alias("content"))
     first = sorted(map(tuple, read().collect()))
     assert [r.text for r in parse_ass(read().filter("stem = 'a'")).orderBy("seq").collect()][2:4] == ["Salvete quicumque estis;", "I am still here."]
     with pytest.raises(FileExistsError, match="a, b|b, a"):
@@ -59,3 +59,15 @@ def test_files_are_never_overwritten(spark, documents, tmp_path):
     assert sorted(r.stem for r in read().collect()) == ["a", "b", "c"]
     with pytest.raises(FileExistsError, match="a"):
         I.write_new(made.union(made.filter("stem = 'a'")), f"{tmp_path}/other")
+
+
+def test_files_are_found_and_decoded(spark, tmp_path):
+    deep = tmp_path / "x" / "y"
+    deep.mkdir(parents=True)
+    made = {"a.srt": "\ufeffZeile eins\nzwei".encode(), "x/b.c.SRT": "caf\u00e9 \u201cyes\u201d".encode("cp1252"), "x/y/d.srt": "\u4f60\u597d\n\n".encode(), "x/e.mkv": b"\0\1", "f.txt": b"no", "g.srt": b"a\x81\xff", "h.srt": b"", "i.srt": bytes(range(0x82, 0x8d))}
+    for name, data in made.items():
+        (tmp_path / name).write_bytes(data)
+    got = {r.stem: r.content for r in read_documents(spark, str(tmp_path), "*.{srt,SRT}").collect()}
+    assert got == {"a": "Zeile eins\nzwei", "b.c": "caf\u00e9 \u201cyes\u201d", "d": "\u4f60\u597d\n\n", "g": "a\ufffd\ufffd", "h": "", "i": bytes(range(0x82, 0x8d)).decode("cp1252")}
+    assert [r.stem for r in discover(spark, str(tmp_path)).collect()] == ["e"]
+    assert [r.stem for r in discover(spark, str(tmp_path), ["srt"]).collect()] == ["a", "g", "h", "i", "b.c", "d"]
