@@ -19,7 +19,7 @@ MEDIA = ["mkv", "mp4", "avi", "mov", "m4v", "ts", "webm"]
 
 
 def read_documents(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """stem, content of all files below a folder, decoded as SRC14 says; a byte order mark goes."""
+    """stem, content of all files below a folder, decoded as SRC14 says; a byte order mark goes. Spark reads no empty files: they have no row."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
     return files.select(F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1).alias("stem"), decoded(F.col("content")).alias("content"))
 
