@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import has_han, has_latin, label_is_chant, normalize_text, repeated_phrase, tokens, visible_ass, words
+from ..functions.text import credit_text, has_han, has_latin, label_is_chant, normalize_text, repeated_phrase, tokens, visible_ass, words
 from ..plans.registry import query
 from ..sources.staging import CUES, LINES, cues, lines
 
@@ -45,12 +45,21 @@ def wants_split(duration_cs: Column, c: Column | str = "text") -> Column:
 
 
 def has_reference(c: Column | str) -> Column:
-    """FLT11: a proper name of several words with eight characters or more, or an acronym. Goes before any model call."""
+    """FLT11: a proper name of two to four words with eight characters or more, an acronym, or a foreign phrase. Goes before
+    any model call."""
     x = normalize_text(c)
-    names = F.regexp_extract_all(x, F.lit(r"(?<![0-9A-Za-z_])[A-Z][a-z]+(?: [A-Z][a-z]+)+"), F.lit(0))
-    return F.exists(names, lambda n: F.length(n) >= 8) | x.rlike(r"(?<![0-9A-Za-z_])[A-Z]{2,}(?![0-9A-Za-z_])")
+    names = F.regexp_extract_all(x, F.lit(r"(?U)\b[A-Z][A-Za-z]+(?:\s+[A-Z][A-Za-z]+){1,3}\b"), F.lit(0))
+    return F.exists(names, lambda n: F.length(n) >= 8) | x.rlike(r"(?U)\b[A-Z]{2,}\b") | x.rlike(rf"(?iU)\b(?:{'|'.join(FOREIGN)})\b")
 
 
+def note_candidate(c: Column | str) -> Column:
+    """FLT11 with FLT7: a text without Chinese that is no credit and may hold a reference worth a note."""
+    x = normalize_text(c)
+    return (x != "") & ~has_han(x) & ~credit_text(x) & has_reference(x)
+
+
+# Foreign phrases that deserve a note.
+FOREIGN = ["et al", "c'est la vie", "cara mia", "in vitro", "quid pro quo", "status quo", "magnum opus"]
 # Phrases of incantations and their words.
 CHANTS = [
     "yoli conepiya miquiliztli", "spasiti animam suam", "animam suam", "tillate ulaz", "louvri animo", "pémét pou accessum", "pemet pou accessum", "les lames colligo", "ad me gluttuli", "anima marcam",
@@ -115,7 +124,7 @@ def flt8_flt10_event_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "flt11_flt22_requests",
     rf"""WITH {CUES}, x AS (SELECT *, trim(regexp_replace(replace(text, '\N', ' '), '\s+', ' ', 'g')) AS t FROM cues)
-SELECT stem, seq, len(list_filter(regexp_extract_all(t, '\b[A-Z][a-z]+(?: [A-Z][a-z]+)+'), lambda n: length(n) >= 8)) > 0 OR regexp_matches(t, '\b[A-Z]{{2,}}\b') AS reference,
+SELECT stem, seq, len(list_filter(regexp_extract_all(t, '(?:^|[^\p{{L}}\p{{N}}_])([A-Z][A-Za-z]+(?:\s+[A-Z][A-Za-z]+){{1,3}})(?:$|[^\p{{L}}\p{{N}}_])', 1), lambda n: length(n) >= 8)) > 0 OR regexp_matches(t, '(^|[^\p{{L}}\p{{N}}_])[A-Z]{{2,}}($|[^\p{{L}}\p{{N}}_])') OR regexp_matches(t, '\b(?:et al|c''est la vie|cara mia|in vitro|quid pro quo|status quo|magnum opus)\b', 'i') AS reference,
   len(regexp_extract_all(text, '[A-Za-z0-9]+(?:[''’][A-Za-z0-9]+)?')) >= 8 AND (end_cs - start_cs > 580 OR length(t) > 78) AS split FROM x""",
 )
 def flt11_flt22_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

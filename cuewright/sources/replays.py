@@ -51,3 +51,19 @@ class PolishReplay:
             elif k == 5:
                 out += [{"id": None, "zh": "x"}, "no item", {"id": x["id"] + 1000, "zh": "多"}]
         return f"<think>{{}}</think>```json\n{json.dumps({'items': out}, ensure_ascii=False)}\n```"
+
+
+@dataclass
+class NoteReplay:
+    """Finds one note in each batch, at its first item; files whose number leaves 3 by 7 get none, as an error or an answer
+    without JSON. Notes without wording, and what is none, are for the caller to leave out."""
+
+    def chat(self, kind: str, request: str) -> str:
+        items = json.loads(request)
+        first = items[0]
+        if first["stem"] % 7 == 3:
+            if first["stem"] % 2:
+                raise TimeoutError("no answer")
+            return "I found nothing."
+        note = {"term": "Grand  Harbour", "zh": f"大港口注释共{len(items)}", "start": first["start"], "end": first["start"] + 1.0}
+        return json.dumps({"notes": [note, {"term": "Nobody", "zh": " "}, "none"]}, ensure_ascii=False)
