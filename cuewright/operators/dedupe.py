@@ -162,7 +162,8 @@ SELECT stem, seq, key FROM n WHERE n = 1 OR key = ''""",
 def seq12_line_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First use of each key in a stem; texts without a key stay."""
     keyed = lines(spark, sf_dir).select("stem", "seq", text_key("text").alias("key"))
-    return first_wins(keyed.filter("key <> ''"), ["stem", "key"], ["seq"]).unionByName(keyed.filter("key = ''"))
+    alone = F.when(F.col("key") == "", F.col("seq"))  # one pass: a text without a key is a group of its own
+    return keyed.groupBy("stem", "key", alone.alias("_alone")).agg(F.min("seq").alias("seq")).select("stem", "seq", "key")
 
 
 def overlay_dedupe(frame: DataFrame, epsilon_cs: int = 6, screen: str = "OCR_TRANSLATION") -> DataFrame:
@@ -216,16 +217,17 @@ def deduped_notes(notes: DataFrame, window_cs: int = 2000) -> DataFrame:
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         terms: set[str] = set()
-        shown: list[tuple[int, str]] = []
+        shown: dict[str, int] = {}  # rows come in order of time, so of a wording the last kept is the nearest
         out = []
         for r in f.sort_values(["start_cs", "seq"], kind="stable").itertuples(index=False):
             if not (r.zh or "").strip():
                 continue
             term, wording = re.sub("(?:s|es)$", "", key_of(r.term or r.zh)), key_of(r.zh)
-            if (term and term in terms) or (wording and any(abs(r.start_cs - s) <= window_cs and w == wording for s, w in shown)):
+            if (term and term in terms) or (wording in shown and r.start_cs - shown[wording] <= window_cs):
                 continue
             terms |= {term} if term else set()
-            shown.append((r.start_cs, wording))
+            if wording:
+                shown[wording] = r.start_cs
             out.append((r.stem, r.seq, r.term, r.zh, r.start_cs, r.end_cs))
         return pd.DataFrame(out, columns=["stem", "seq", "term", "zh", "start_cs", "end_cs"])
 

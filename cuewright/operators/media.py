@@ -121,11 +121,24 @@ def episode_code(c: Column) -> Column:
     return F.lower(F.regexp_extract(c, r"(?i)(s\d{1,2}e\d{1,3})", 1))
 
 
+def _within(needles: DataFrame, hays: DataFrame) -> DataFrame:
+    """Pairs (needle, hay) of texts of which one holds the other, through an inverted index: a hay is posted under all its runs
+    of three characters and less, a needle asks under its first three (all, if it has fewer)."""
+    runs = lambda n: F.when(F.length("hay") >= n, F.transform(F.sequence(F.lit(1), F.length("hay") - n + 1), lambda i: F.substring(F.col("hay"), i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    posted = hays.select("hay", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), runs(1), runs(2), runs(3)))).alias("run"))
+    asked = needles.select("needle", F.substring("needle", 1, 3).alias("run"))
+    return asked.join(posted, "run").filter(F.contains("hay", F.col("needle"))).select("needle", "hay")
+
+
 def selected(media: DataFrame, selectors: DataFrame, name: str = "name") -> DataFrame:
-    """FLT15-FLT17: files whose key contains a selector's or lies in it, for any number of selectors."""
-    keys = selectors.select(selector_key(F.col("selector")).alias("_selector")).distinct()
-    key = selector_key(F.col(name))
-    return media.join(keys, key.contains(F.col("_selector")) | F.col("_selector").contains(key), "left_semi")
+    """FLT15-FLT17: files whose key contains a selector's or lies in it, for any number of files and selectors: distinct keys
+    meet by an equality join of their runs, in both directions."""
+    wanted = selectors.select(selector_key(F.col("selector")).alias("s")).distinct()
+    keys = media.select(selector_key(F.col(name)).alias("k")).distinct()
+    holds = _within(wanted.withColumnRenamed("s", "needle"), keys.withColumnRenamed("k", "hay")).select(F.col("hay").alias("_key"))
+    lies = _within(keys.withColumnRenamed("k", "needle"), wanted.withColumnRenamed("s", "hay")).select(F.col("needle").alias("_key"))
+    found = holds.unionByName(lies).distinct()
+    return media.withColumn("_key", selector_key(F.col(name))).join(found, "_key", "left_semi").drop("_key")
 
 
 @query(
@@ -148,6 +161,42 @@ def sidecars(media: DataFrame, files: DataFrame) -> DataFrame:
     return found.select("stem", F.coalesce("exact", "by_code").alias("path"))
 
 
+# Extensions of subtitles, the best first.
+SUBTITLES = ["ass", "ssa", "srt", "vtt"]
+
+
+def sidecar_candidates(media: DataFrame, files: DataFrame) -> DataFrame:
+    """JOIN19: for each medium (folder, stem) the subtitles (folder, name) beside it that are named as it is, or as it is and a
+    dot: folder, stem, name, place. Better extensions come first, then names. A file meets media by the parts of its name up
+    to each of its dots, an equality join."""
+    parts = F.split("name", r"\.")
+    ext = F.lower(F.element_at(parts, -1))
+    heads = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "."))
+    shown = files.filter((F.size(parts) > 1) & ext.isin(SUBTITLES)).withColumn("stem", F.explode(heads)).filter("stem <> ''")
+    rank = F.array_position(F.array(*map(F.lit, SUBTITLES)), ext)
+    order = Window.partitionBy("folder", "stem").orderBy(rank, F.lower("name"), "name")
+    met = shown.join(media.select("folder", "stem").distinct(), ["folder", "stem"], "left_semi")
+    return met.select("folder", "stem", "name", F.row_number().over(order).alias("place"))
+
+
+@query(
+    "join19_sidecar_candidates",
+    """WITH p AS (SELECT p_partkey AS id, p_brand AS folder, 'Show.' || p_size || CASE WHEN p_partkey % 2 = 0 THEN '.Part' || p_partkey % 4 ELSE '' END AS stem FROM part),
+m AS (SELECT DISTINCT folder, stem FROM p WHERE id % 3 = 0), f AS (SELECT DISTINCT folder, stem || CASE id % 3 WHEN 0 THEN '' WHEN 1 THEN '.en' ELSE '.zh.forced' END || CASE id % 7 WHEN 0 THEN '.ass' WHEN 1 THEN '.ssa' WHEN 2 THEN '.SRT' WHEN 3 THEN '.vtt' WHEN 4 THEN '.mkv' WHEN 5 THEN '.srt' ELSE '' END AS name FROM p)
+SELECT m.folder, m.stem, f.name, row_number() OVER (PARTITION BY m.folder, m.stem ORDER BY list_position(['ass', 'ssa', 'srt', 'vtt'], lower(regexp_extract(name, '([^.]*)$', 1))), lower(name), name)::INTEGER AS place
+FROM m JOIN f ON f.folder = m.folder AND starts_with(f.name, m.stem || '.') WHERE lower(regexp_extract(name, '([^.]*)$', 1)) IN ('ass', 'ssa', 'srt', 'vtt')""",
+)
+def join19_sidecar_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stems that begin others: Show.7 and Show.7.Part2."""
+    k = F.col("p_partkey")
+    stem = F.concat(F.lit("Show."), "p_size", F.when(k % 2 == 0, F.concat(F.lit(".Part"), k % 4)).otherwise(""))
+    p = table(spark, sf_dir, "part").select(k.alias("id"), F.col("p_brand").alias("folder"), stem.alias("stem"))
+    i = F.col("id")
+    tag = F.when(i % 3 == 0, "").when(i % 3 == 1, ".en").otherwise(".zh.forced")
+    ext = F.when(i % 7 == 0, ".ass").when(i % 7 == 1, ".ssa").when(i % 7 == 2, ".SRT").when(i % 7 == 3, ".vtt").when(i % 7 == 4, ".mkv").when(i % 7 == 5, ".srt").otherwise("")
+    return sidecar_candidates(p.filter("id % 3 = 0"), p.select("folder", F.concat("stem", tag, ext).alias("name")).distinct())
+
+
 @query(
     "join18_sidecars",
     """WITH m AS (SELECT 'Show S0' || s_suppkey % 9 || 'E' || (10 + s_suppkey % 50) || ' v' || s_suppkey AS stem, s_suppkey AS id FROM supplier), f AS (SELECT stem, stem || '.json' AS path FROM m WHERE id % 3 = 0),
