@@ -202,6 +202,22 @@ def word_pattern(term: Column | str) -> Column:
     return F.concat(F.lit("(?iuU)(?<![0-9A-Za-z])"), F.regexp_replace(quoted, " ", r"\\s+"), F.lit("(?![0-9A-Za-z])"))
 
 
+def folded(c: Column | str) -> Column:
+    """A text in which letters that differ in case only are the same."""
+    return F.lower(F.upper(col(c)))
+
+
+def pieces(c: Column | str) -> Column:
+    """What texts and terms meet by, of folded text: runs of ASCII letters and digits, and all other characters one by one. A
+    whole word or phrase in a text has its pieces there, since only ASCII letters and digits end it."""
+    return F.regexp_extract_all(col(c), F.lit(r"[0-9a-z]+|[^\s0-9a-z]"), F.lit(0))
+
+
+def longest_piece(c: Column | str) -> Column:
+    """The piece that terms are looked up by; of equal lengths the last in order."""
+    return F.array_max(F.transform(pieces(c), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+
+
 # Endings of signs, and words of caption credits.
 SIGN_ENDINGS = ["大道", "大街", "公路", "路口", "中心", "广场"]
 CREDIT = r"(?i)captioned by|captioning sponsored|sponsored by|media access group|access\.wgbh\.org|wgbh\b|closed caption|subtitled by|encoded by|sync by|ripper|\bwww\.|\.com\b|viewers like you|contributions to your"

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import compare_key, normalize_text, text_key, word_pattern
+from ..functions.text import compare_key, folded, longest_piece, normalize_text, pieces, text_key, word_pattern
 from ..functions.values import digest, overlap
 from ..plans.registry import query, table
 from ..sources.staging import CUES, LINES, cues, lines
@@ -143,13 +143,14 @@ def join6_pair_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 def term_join(texts: DataFrame, terms: DataFrame, column: str = "text") -> DataFrame:
     """JOIN7: texts with each term that stands in them as a whole word or phrase, case ignored.
 
-    Texts meet only terms whose first word they contain, an equality join, so nothing is broadcast by assumption; the
-    pattern then decides.
+    Texts meet only terms whose longest piece they hold, an equality join, so nothing is broadcast by assumption; then the
+    words must stand there, and only then a pattern is made and decides.
     """
-    first = F.regexp_extract(F.lower(normalize_text("term")), "[0-9a-z]+", 0)
-    t = terms.withColumn("_first", first).withColumn("_pattern", word_pattern("term"))
-    words = texts.withColumn("_first", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(normalize_text(column)), F.lit("[0-9a-z]+"), F.lit(0)))))
-    return words.join(t, "_first").filter(F.expr(f"rlike({column}, _pattern)")).drop("_first", "_pattern")
+    t = terms.withColumn("_fold", folded(normalize_text("term"))).withColumns({"_key": longest_piece("_fold"), "_pattern": word_pattern("term")})
+    shown = texts.withColumn("_folded", folded(F.regexp_replace(normalize_text(column), r"(?U)\s+", " ")))
+    met = shown.withColumn("_key", F.explode(F.array_distinct(pieces("_folded")))).join(t, "_key")
+    whole = F.when(F.contains("_folded", F.col("_fold")), F.expr(f"rlike({column}, _pattern)")).otherwise(False)
+    return met.filter(whole).drop("_key", "_pattern", "_fold", "_folded")
 
 
 def terms_of(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import CREDIT, col, has_han, normalize_inline, normalize_text, text, word_pattern
+from ..functions.text import CREDIT, col, folded, has_han, longest_piece, pieces, normalize_inline, normalize_text, text, word_pattern
 from ..plans.registry import query, table
 from ..sources.staging import LINES, lines
 
@@ -41,7 +41,7 @@ def valid_entries(entries: DataFrame) -> DataFrame:
 
 def _series_words(c: Column | str) -> Column:
     """A name with separators as blanks, folded, in pieces."""
-    return _pieces(folded(normalize_inline(F.regexp_replace(text(c), r"[._\-]+", " "))))
+    return pieces(folded(normalize_inline(F.regexp_replace(text(c), r"[._\-]+", " "))))
 
 
 def files_of_series(files: DataFrame, series: DataFrame) -> DataFrame:
@@ -61,17 +61,6 @@ def project_entries(entries: DataFrame, files: DataFrame) -> DataFrame:
     return files_of_series(files, valid).join(valid.withColumnRenamed("series", "_series"), F.col("series").eqNullSafe(F.col("_series"))).drop("_series")
 
 
-def folded(c: Column | str) -> Column:
-    """A text in which letters that differ in case only are the same."""
-    return F.lower(F.upper(col(c)))
-
-
-def _pieces(c: Column | str) -> Column:
-    """What texts and terms meet by, of folded text: runs of ASCII letters and digits, and all other characters one by one. A
-    whole word or phrase in a text has its pieces there, since only ASCII letters and digits end it."""
-    return F.regexp_extract_all(col(c), F.lit(r"[0-9a-z]+|[^\s0-9a-z]"), F.lit(0))
-
-
 def matching_entries(texts: DataFrame, entries: DataFrame, column: str = "text", kind: str = "kind", target: str | None = None, also: tuple[str, ...] = ()) -> DataFrame:
     """JOIN7: texts with each entry whose source or alias stands in them as a whole word or phrase, if the scope fits;
     a text without source is matched by the entry's Chinese aliases (of two characters or more) in the ``target``. ``also``
@@ -84,11 +73,10 @@ def matching_entries(texts: DataFrame, entries: DataFrame, column: str = "text",
     names = [*texts.columns, "ordinal", "source_en", "preferred_zh", *also]
     variants = valid.select("*", F.explode(F.array_distinct(F.concat(F.array("source_en"), F.filter(F.transform(F.coalesce("aliases", F.array()), normalize_inline), lambda a: a != "")))).alias("_variant"))
     variants = variants.withColumn("_fold", folded("_variant"))
-    longest = F.array_max(F.transform(_pieces("_fold"), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     pattern = word_pattern("_variant")
-    variants = variants.withColumns({"_key": longest, "_pattern": F.when(F.coalesce("case_sensitive", F.lit(False)), F.regexp_replace(pattern, r"^\(\?iuU\)", "(?U)")).otherwise(pattern)})
+    variants = variants.withColumns({"_key": longest_piece("_fold"), "_pattern": F.when(F.coalesce("case_sensitive", F.lit(False)), F.regexp_replace(pattern, r"^\(\?iuU\)", "(?U)")).otherwise(pattern)})
     plain = texts.withColumn("_text", normalize_inline(column)).withColumn("_folded", folded("_text"))
-    met = plain.withColumn("_key", F.explode(F.array_distinct(_pieces("_folded")))).join(variants, "_key")
+    met = plain.withColumn("_key", F.explode(F.array_distinct(pieces("_folded")))).join(variants, "_key")
     met = met.filter(F.when(F.contains("_folded", F.col("_fold")), F.rlike("_text", F.col("_pattern"))).otherwise(False) & scope_fits("scope", kind))
     found = met.select(*names).distinct()
     if target is not None:
