@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import col, normalize_inline, text, word_pattern
 from ..plans.registry import query, table
 from ..sources.staging import CUES, LINES, cues, lines
-from .finished import BILINGUAL, OVERLAY, evaluated, name_targets, polish_targets, two_sides
+from .finished import BILINGUAL, OVERLAY, all_targets, evaluated, two_sides
 from .terminology import _entries, files_of_series, matching_entries, valid_entries
 
 #: What an entry holds, in a line's list of matched entries; the list is in the order of ``place``.
@@ -94,9 +94,7 @@ def enforced_files(events: DataFrame, files: DataFrame, project: DataFrame, own:
     Targets are those of a polish and all other events of two languages; of an event of two languages only the Chinese side
     is rewritten. Lines meet entries by an equality join, and one line's matched entries are folded in their order.
     """
-    targets = polish_targets(events, [*BILINGUAL, *OVERLAY] if styles is None else styles, origins).select("stem", "seq", "kind", "zh", "en")
-    more = name_targets(events).select("stem", "seq", "kind", "zh", "en").join(targets.select("stem", "seq"), ["stem", "seq"], "left_anti")
-    targets = targets.unionByName(more)
+    targets = all_targets(events, [*BILINGUAL, *OVERLAY] if styles is None else styles, origins)
     found = matched_lines(targets, merged_terminology(project, own, files), files)
     rows = events.select("stem", "seq", "text").join(targets.select("stem", "seq", F.lit(True).alias("target")), ["stem", "seq"], "left").join(found, ["stem", "seq"], "left")
     rows = evaluated(rows, "two", F.when(F.col("entries").isNotNull(), two_sides("text")))

@@ -79,7 +79,7 @@ def paired_targets(events: DataFrame, styles: list[str]) -> DataFrame:
     """FLT13, older files: a Chinese event of an enabled style and an English one of the same times are a target, the last
     with the last. Events pair in one shuffle by file and times."""
     enabled = [s for s in PAIRED_TARGET if s in styles]
-    seen = events.withColumn("_shown", shown("text")).filter(F.col("_shown") != "")
+    seen = evaluated(events.filter(F.col("style").isin([*enabled, *PAIRED_SOURCE])), "_shown", shown("text")).filter(F.col("_shown") != "")
     side = F.when(F.col("style").isin(enabled) & has_han("_shown"), "zh").when(F.col("style").isin(PAIRED_SOURCE) & has_latin("_shown"), "en")
     last_first = Window.partitionBy("stem", "start_cs", "end_cs").orderBy(F.desc("seq"))
     place = lambda s: F.sum((F.col("_side") == s).cast("int")).over(last_first)
@@ -95,18 +95,29 @@ def paired_targets(events: DataFrame, styles: list[str]) -> DataFrame:
 def polish_targets(events: DataFrame, styles: list[str], origins: list[str] | None = None) -> DataFrame:
     """FLT13: events of the styles and origins that show Chinese, or English with nothing to read above it; and pairs of
     older files, if an unknown origin is allowed."""
-    on, kind = F.col("style").isin(list(BILINGUAL)), _kind("style", BILINGUAL, OVERLAY)
-    made = events.filter(F.col("style").isin(styles) & kind.isNotNull()).withColumns({"kind": kind, "origin": origin("name", "style")})
-    if origins is not None:
-        made = made.filter(F.col("origin").isin(origins))
-    made = evaluated(made, "_two", F.when(on, two_sides("text"))).filter(~on | F.col("_two").isNotNull())
-    made = evaluated(made, "_sides", F.struct(F.when(on, shown("_two.zh")).otherwise(shown("text")).alias("zh"), F.when(on, shown("_two.en")).otherwise("").alias("en")))
-    made = made.withColumns({"zh": F.col("_sides.zh"), "en": F.col("_sides.en")})
-    missing = on & (F.col("en") != "") & ~F.col("zh").rlike("[0-9A-Za-z]")
-    own = made.filter(has_han("zh") | missing).select(*TARGET)
+    own = _sides(events.filter(F.col("style").isin(styles) & _kind("style", BILINGUAL, OVERLAY).isNotNull())).filter(_polished(styles, origins)).select(*TARGET)
     return own if origins is not None and "unknown" not in origins else own.unionByName(paired_targets(events, styles))
 
 
+def _sides(events: DataFrame) -> DataFrame:
+    """Events with kind, origin, the two sides as they stand (``_two``) and as a viewer reads them (zh, en); an overlay has
+    one side only."""
+    on = ~F.col("style").isin(list(OVERLAY))
+    made = events.withColumns({"kind": _kind("style", BILINGUAL, OVERLAY), "origin": origin("name", "style")})
+    made = evaluated(made, "_two", two_sides("text"))
+    one = on & F.col("_two").isNotNull()
+    made = evaluated(made, "_sides", F.struct(F.when(one, shown("_two.zh")).otherwise(shown("text")).alias("zh"), F.when(one, shown("_two.en")).otherwise("").alias("en")))
+    return made.withColumns({"zh": F.col("_sides.zh"), "en": F.col("_sides.en")})
+
+
+def _polished(styles: list[str], origins: list[str] | None) -> Column:
+    """Whether an event with its sides is a target of a polish."""
+    on = F.col("style").isin(list(BILINGUAL))
+    missing = on & (F.col("en") != "") & ~F.col("zh").rlike("[0-9A-Za-z]")
+    fits = F.col("style").isin(styles) & F.col("kind").isNotNull() & (~on | F.col("_two").isNotNull()) & (has_han("zh") | missing)
+    return fits if origins is None else fits & F.col("origin").isin(origins)
+
+
 def name_targets(events: DataFrame) -> DataFrame:
     """FLT14: every event of two languages, whatever its style is called."""
     style = F.trim("style")
@@ -118,6 +129,27 @@ def name_targets(events: DataFrame) -> DataFrame:
     return made.filter(F.col("en") != "").withColumn("style", style).select(*TARGET)
 
 
+def all_targets(events: DataFrame, styles: list[str], origins: list[str] | None = None) -> DataFrame:
+    """FLT13 and FLT14 together, in one pass: the targets of a polish and, of all other events, those of two languages:
+    stem, seq, kind, zh, en."""
+    made = _sides(events)
+    style = F.lower(F.trim("style"))
+    named = F.when(F.contains(style, F.lit("chant")), "chant").when(style.rlike("lyric|music|song"), "lyric").otherwise(F.coalesce(_kind(F.trim("style"), BILINGUAL), F.lit("dialogue")))
+    two = F.col("_two").isNotNull()
+    polish = _polished(styles, origins)
+    # Read as two languages, an overlay shows both its sides.
+    apart = two & F.col("style").isin(list(OVERLAY))
+    zh, en = (F.when(polish | ~apart, F.col(c)).otherwise(shown(f"_two.{c}")) for c in ("zh", "en"))
+    rows = made.withColumns({"_polish": polish}).select("stem", "seq", F.when(polish, F.col("kind")).otherwise(named).alias("kind"), zh.alias("zh"), en.alias("en"), "_polish", two.alias("_both"))
+    own = rows.filter(F.col("_polish") | (F.col("_both") & (F.col("en") != ""))).drop("_both")
+    if origins is not None and "unknown" not in origins:
+        return own.drop("_polish")
+    # A pair of an older file counts before an event of two languages.
+    pairs = paired_targets(events, styles).select("stem", "seq", "kind", "zh", "en", F.lit(True).alias("_polish"))
+    first = F.max_by(F.struct("kind", "zh", "en"), F.col("_polish"))
+    return own.unionByName(pairs).groupBy("stem", "seq").agg(first.alias("t")).select("stem", "seq", "t.*")
+
+
 def presented(c: Column | str) -> Column:
     """STR37: an event without commands of the look, English with its size."""
     two = two_sides(c)
