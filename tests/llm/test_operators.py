@@ -468,3 +468,19 @@ def test_one_identifier_with_two_texts_ties_its_groups(spark):
     rows = [(5, a, "a"), (7, a, "a"), (7, b, "a"), (9, b, "a"), (11, prose(50, 702), "a"), (None, a, "a"), (None, prose(60, 703), "a")]
     got = sorted((r.doc_id or 0, r.component_id or 0) for r in jaccard_join.jaccard_groups(frame(spark, rows)).collect())
     assert got == [(0, 0), (0, 5), (5, 5), (7, 5), (7, 5), (9, 5), (11, 11)]
+
+
+def test_randomly_edited_passages(spark):
+    """Shares of pairs found whose passage has words replaced at random: what the README states, less what chance may take."""
+    r, rows, cases = random.Random(4), [], {}
+    many = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 8))) for _ in range(3000)]
+    words = lambda n: [r.choice(many) for _ in range(n)]
+    for n, share in ((60, 0.0), (100, 0.05), (100, 0.1), (200, 0.15)):
+        for _ in range(60):
+            p = words(n)
+            q = [r.choice(many) if r.random() < share else x for x in p]
+            rows += [(len(rows), " ".join(words(80) + p + words(80)), "a"), (len(rows) + 1, " ".join(words(60) + q + words(90)), "a")]
+            cases[len(rows) - 2] = (n, share)
+    got = {frozenset((x.doc_id, x.partner_id)) for x in passages.repeated_passages(frame(spark, rows)).collect()}
+    found = {c: np.mean([frozenset((a, a + 1)) in got for a, x in cases.items() if x == c]) for c in set(cases.values())}
+    assert found[60, 0.0] == 1.0 and found[100, 0.05] >= 0.9 and found[100, 0.1] >= 0.75 and found[200, 0.15] >= 0.9
