@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import col, normalize_inline, text, word_pattern
+from ..functions.text import col, folded, let, normalize_inline, normalize_text, text, word_pattern
 from ..plans.registry import query, table
 from ..sources.staging import CUES, LINES, cues, lines
-from .finished import BILINGUAL, OVERLAY, all_targets, evaluated, two_sides
-from .terminology import _entries, files_of_series, matching_entries, valid_entries
+from .finished import BILINGUAL, OVERLAY, all_targets, evaluated, marked_events, pairs_of_older_files, two_sides
+from .terminology import _entries, files_of_series, met_entries, valid_entries
 
 #: What an entry holds, in a line's list of matched entries; the list is in the order of ``place``.
 ENTRY = "place struct<source:int,ordinal:long>, preferred string, zh_aliases array<string>, variants array<string>, cased boolean"
@@ -43,7 +43,9 @@ def canonicalized(c: Column | str, entries: Column | str) -> Column:
         chinese = F.aggregate(e["zh_aliases"], acc, lambda x, a: F.when(skip(x, a), x).otherwise(F.replace(x, a, preferred)))
         literal = F.regexp_replace(preferred, r"([\\$])", r"\\$1")
         pattern = lambda v: F.when(e["cased"], F.regexp_replace(word_pattern(v), r"^\(\?iuU\)", "(?U)")).otherwise(word_pattern(v))
-        return F.when(preferred == "", acc).otherwise(F.aggregate(e["variants"], chinese, lambda x, v: F.regexp_replace(x, pattern(v), literal)))
+        # Most variants are not in the text: a pattern is made and compiled only for those of which all words stand there.
+        met = lambda x, v: let(folded(x), lambda held: F.forall(F.split(folded(normalize_text(v)), " "), lambda w: F.contains(held, w)))
+        return F.when(preferred == "", acc).otherwise(F.aggregate(e["variants"], chinese, lambda x, v: F.when(met(x, v), F.regexp_replace(x, pattern(v), literal)).otherwise(x)))
 
     return F.aggregate(F.array_sort(col(entries)), text(c), of_entry)
 
@@ -65,8 +67,11 @@ def merged_terminology(project: DataFrame, own: DataFrame, files: DataFrame) ->
     project = valid_entries(project).withColumn("_key", key)
     own = valid_entries(own).withColumn("_key", key)
     fits = files_of_series(files, project).select(F.col("stem").alias("_file"), F.col("series").alias("_series"))
-    shadow = project.select("_key", F.col("series").alias("_of")).distinct().join(fits, F.col("_of").eqNullSafe(F.col("_series"))).select("_file", "_key").distinct()
     own = own.groupBy("stem", "_key").agg(F.min_by(F.struct(*[c for c in own.columns if c not in ("stem", "_key")]), "ordinal").alias("e")).select("stem", "_key", "e.*")
+    # Only files with entries of their own meet the project's, by source and series.
+    of_file = own.select("stem", "_key").join(fits, F.col("stem") == F.col("_file"))
+    known = project.select(F.col("_key").alias("_known"), F.col("series").alias("_of")).distinct()
+    shadow = of_file.join(known, (F.col("_key") == F.col("_known")) & F.col("_of").eqNullSafe(F.col("_series"))).select("_file", "_key").distinct()
     left = own.join(shadow, (own["stem"] == shadow["_file"]) & (own["_key"] == shadow["_key"]), "left_anti")
     names = ["ordinal", "source_en", "preferred_zh", "aliases", "zh_aliases", "case_sensitive", "scope", "reviewed"]
     both = project.select(*names, "series", F.lit(None).cast("long").alias("stem"), F.lit(0).alias("list"), "_key")
@@ -74,18 +79,26 @@ def merged_terminology(project: DataFrame, own: DataFrame, files: DataFrame) ->
 
 
 def matched_lines(targets: DataFrame, entries: DataFrame, files: DataFrame) -> DataFrame:
-    """stem, seq, entries: the matched entries of each target line that has any, as the fold takes them."""
+    """stem, seq, entries: the matched entries of each target line that has any, as the fold takes them.
+
+    Lines are matched in one pass and grouped where they are; a file's series then decide which of a line's entries count.
+    """
     listed = entries.withColumns({"entry": entry(F.col("list")), "of_stem": F.col("stem"), "of_series": F.col("series")}).drop("stem", "series")
-    lines = targets.select("stem", "seq", "kind", "en", "zh")
-    met = matching_entries(lines, listed, "en", "kind", "zh", ("entry", "of_stem", "of_series", "_key"))
-    fits = files_of_series(files, entries.filter("list = 0")).select(F.col("stem").alias("_file"), F.col("series").alias("_series"))
-    project = met.filter("of_stem IS NULL").join(fits, (F.col("stem") == F.col("_file")) & F.col("of_series").eqNullSafe(F.col("_series"))).drop("_file", "_series")
+    met = met_entries(targets.select("stem", "seq", "kind", "en", "zh"), listed, "en", "kind", "zh").filter("of_stem IS NULL OR of_stem = stem")
+    lines = met.groupBy("stem", "seq").agg(F.collect_set(F.struct("entry", "_key", F.col("of_stem").isNotNull().alias("own"), "of_series")).alias("met"))
+    project = entries.filter("list = 0").drop("stem")
+    fits = files_of_series(files, project).select(F.col("stem").alias("_file"), F.col("series").alias("_series"))
+    series = fits.groupBy(F.col("_file").alias("stem")).agg(F.collect_set("_series").alias("_series"))  # null fits every file
     # Of a source that the project has more than once, the first that fits a file counts, whether it matches or not.
-    twice = entries.filter("list = 0").groupBy("_key").agg(F.count("*").alias("n")).filter("n > 1").select("_key")
-    several = entries.filter("list = 0").drop("stem").join(twice, "_key").join(fits, F.col("series").eqNullSafe(F.col("_series")))
+    twice = project.groupBy("_key").agg(F.count("*").alias("n")).filter("n > 1").select("_key")
+    several = project.join(twice, "_key").join(fits, F.col("series").eqNullSafe(F.col("_series")))
     firsts = several.groupBy(F.col("_file").alias("stem"), "_key").agg(F.min("ordinal").cast("long").alias("_first"))
-    project = project.join(firsts, ["stem", "_key"], "left").filter("_first IS NULL OR entry.place.ordinal = _first").drop("_first")
-    return project.unionByName(met.filter("of_stem = stem")).groupBy("stem", "seq").agg(F.collect_list("entry").alias("entries"))
+    firsts = firsts.groupBy("stem").agg(F.map_from_entries(F.collect_list(F.struct("_key", "_first"))).alias("_firsts"))
+    lines = lines.join(series.join(firsts, "stem", "left"), "stem", "left")
+    first = lambda m: F.coalesce(F.try_element_at("_firsts", m["_key"]) == m["entry"]["place"]["ordinal"], F.lit(True))
+    fit = lambda m: F.col("_series").isNotNull() & (m["of_series"].isNull() | F.coalesce(F.array_contains("_series", m["of_series"]), F.lit(False))) & first(m)
+    kept = F.transform(F.filter("met", lambda m: m["own"] | fit(m)), lambda m: m["entry"])
+    return evaluated(lines, "entries", kept).filter("size(entries) > 0").select("stem", "seq", "entries")
 
 
 def enforced_files(events: DataFrame, files: DataFrame, project: DataFrame, own: DataFrame, styles: list[str] | None = None, origins: list[str] | None = None) -> DataFrame:
@@ -94,9 +107,15 @@ def enforced_files(events: DataFrame, files: DataFrame, project: DataFrame, own:
     Targets are those of a polish and all other events of two languages; of an event of two languages only the Chinese side
     is rewritten. Lines meet entries by an equality join, and one line's matched entries are folded in their order.
     """
-    targets = all_targets(events, [*BILINGUAL, *OVERLAY] if styles is None else styles, origins)
+    styles = [*BILINGUAL, *OVERLAY] if styles is None else styles
+    if pairs_of_older_files(styles, origins):
+        targets = all_targets(events, styles, origins)
+        rows = events.select("stem", "seq", "text").join(targets.select("stem", "seq", F.lit(True).alias("target")), ["stem", "seq"], "left")
+    else:  # an event alone tells whether it is a target
+        marked = marked_events(events, styles, origins)
+        rows, targets = marked.select("stem", "seq", "text", "target"), marked.filter("target")
     found = matched_lines(targets, merged_terminology(project, own, files), files)
-    rows = events.select("stem", "seq", "text").join(targets.select("stem", "seq", F.lit(True).alias("target")), ["stem", "seq"], "left").join(found, ["stem", "seq"], "left")
+    rows = rows.join(found, ["stem", "seq"], "left")
     rows = evaluated(rows, "two", F.when(F.col("entries").isNotNull(), two_sides("text")))
     fixed = F.when(F.col("two").isNotNull(), F.concat(canonicalized("two.zh", "entries"), F.lit("\\N"), F.col("two.en"))).otherwise(canonicalized("text", "entries"))
     rows = evaluated(rows, "fixed", F.when(F.col("entries").isNotNull(), fixed).otherwise(F.col("text")))
@@ -119,7 +138,7 @@ def enforced_units(units: Column | str, entries: Column | str) -> Column:
 def _finished(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents as events: Chinese with an alias and a leaked English word, above the line; or Chinese alone."""
     en = F.trim(F.regexp_replace("text", "[^A-Za-z0-9,.]+", " "))
-    rows = lines(spark, sf_dir).withColumn("en", en).filter("en <> ''")
+    rows = evaluated(lines(spark, sf_dir), "en", en).filter("en <> ''")
     k = F.col("seq") % 3
     zh = F.concat(F.lit("看别名"), ((F.col("seq") * 7 + F.col("stem")) % 60).cast("string"), F.lit(" "), F.split("en", " ")[0], F.lit(" 吧"))
     style = F.when(k == 0, "BILINGUAL").when(k == 1, "BILINGUAL_MUSIC").otherwise("OCR_TRANSLATION")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import MOJIBAKE_NOTE, cache_text, col, has_han, has_latin, music_symbols, normalize_inline, normalize_lines, normalize_text, squeeze, strip, text, text_key
+from ..functions.text import MOJIBAKE_NOTE, cache_text, col, has_han, has_latin, let, music_symbols, normalize_inline, normalize_lines, normalize_text, squeeze, strip, text, text_key
 from ..functions.times import centis_to_ass
 from ..plans.registry import query, table
 from ..sources.staging import CUES, cues
@@ -54,12 +54,14 @@ def without_look(c: Column | str) -> Column:
 def two_sides(c: Column | str) -> Column:
     r"""Chinese and English of an event: English begins at the first \N part with its own font, else at the first part
     behind the first from which on something is shown and nothing Chinese; null where there is no such part."""
-    pieces = F.split(text(c), r"\\N")
-    rests = F.transform(pieces, lambda p, i: F.when(i > 0, shown(F.array_join(F.slice(pieces, i + 1, F.size(pieces)), "\\N"))).otherwise(""))
-    font = F.array_position(F.transform(pieces, lambda p: F.contains(p, F.lit("\\fnArial"))), True)
-    plain = F.array_position(F.transform(rests, lambda r: (r != "") & ~has_han(r)), True)
-    at = F.when(font > 0, font).otherwise(plain).cast("int")
-    return F.when(at > 1, F.struct(F.array_join(F.slice(pieces, 1, at - 1), "\\N").alias("zh"), F.array_join(F.slice(pieces, at, F.size(pieces)), "\\N").alias("en")))
+    def of_pieces(pieces: Column) -> Column:
+        rests = F.transform(pieces, lambda p, i: F.when(i > 0, shown(F.array_join(F.slice(pieces, i + 1, F.size(pieces)), "\\N"))).otherwise(""))
+        font = F.array_position(F.transform(pieces, lambda p: F.contains(p, F.lit("\\fnArial"))), True)
+        plain = F.array_position(F.transform(rests, lambda r: (r != "") & ~has_han(r)), True)
+        part = lambda low, n: F.array_join(F.slice(pieces, low, n), "\\N")
+        return let(F.when(font > 0, font).otherwise(plain).cast("int"), lambda at: F.when(at > 1, F.struct(part(F.lit(1), at - 1).alias("zh"), part(at, F.size(pieces)).alias("en"))))
+
+    return let(F.split(text(c), r"\\N"), of_pieces)
 
 
 def evaluated(frame: DataFrame, name: str, value: Column) -> DataFrame:
@@ -129,20 +131,32 @@ def name_targets(events: DataFrame) -> DataFrame:
     return made.filter(F.col("en") != "").withColumn("style", style).select(*TARGET)
 
 
-def all_targets(events: DataFrame, styles: list[str], origins: list[str] | None = None) -> DataFrame:
-    """FLT13 and FLT14 together, in one pass: the targets of a polish and, of all other events, those of two languages:
-    stem, seq, kind, zh, en."""
+def pairs_of_older_files(styles: list[str], origins: list[str] | None) -> bool:
+    """Whether any pair of events can be a target: an unknown origin and a style of Chinese events must be allowed."""
+    return (origins is None or "unknown" in origins) and any(s in styles for s in PAIRED_TARGET)
+
+
+def marked_events(events: DataFrame, styles: list[str], origins: list[str] | None = None) -> DataFrame:
+    """FLT13 and FLT14 without pairs of older files, in one pass: each event with its two sides as they stand (``_two``),
+    whether it is a target of a polish (``_polish``) or else, as an event of two languages, of names (``target`` for both),
+    and as what a target shows: kind, zh, en."""
     made = _sides(events)
     style = F.lower(F.trim("style"))
     named = F.when(F.contains(style, F.lit("chant")), "chant").when(style.rlike("lyric|music|song"), "lyric").otherwise(F.coalesce(_kind(F.trim("style"), BILINGUAL), F.lit("dialogue")))
-    two = F.col("_two").isNotNull()
-    polish = _polished(styles, origins)
+    polish = F.coalesce(_polished(styles, origins), F.lit(False))
     # Read as two languages, an overlay shows both its sides.
-    apart = two & F.col("style").isin(list(OVERLAY))
+    apart = F.col("_two").isNotNull() & F.coalesce(F.col("style").isin(list(OVERLAY)), F.lit(False))
     zh, en = (F.when(polish | ~apart, F.col(c)).otherwise(shown(f"_two.{c}")) for c in ("zh", "en"))
-    rows = made.withColumns({"_polish": polish}).select("stem", "seq", F.when(polish, F.col("kind")).otherwise(named).alias("kind"), zh.alias("zh"), en.alias("en"), "_polish", two.alias("_both"))
-    own = rows.filter(F.col("_polish") | (F.col("_both") & (F.col("en") != ""))).drop("_both")
-    if origins is not None and "unknown" not in origins:
+    rows = evaluated(made, "_t", F.struct(polish.alias("polish"), F.when(polish, F.col("kind")).otherwise(named).alias("kind"), zh.alias("zh"), en.alias("en")))
+    target = F.col("_t.polish") | (F.col("_two").isNotNull() & (F.col("_t.en") != ""))
+    return rows.select("stem", "seq", "text", "_two", F.col("_t.polish").alias("_polish"), target.alias("target"), "_t.kind", "_t.zh", "_t.en")
+
+
+def all_targets(events: DataFrame, styles: list[str], origins: list[str] | None = None) -> DataFrame:
+    """FLT13 and FLT14 together: the targets of a polish and, of all other events, those of two languages: stem, seq, kind,
+    zh, en."""
+    own = marked_events(events, styles, origins).filter("target").select("stem", "seq", "kind", "zh", "en", "_polish")
+    if not pairs_of_older_files(styles, origins):
         return own.drop("_polish")
     # A pair of an older file counts before an event of two languages.
     pairs = paired_targets(events, styles).select("stem", "seq", "kind", "zh", "en", F.lit(True).alias("_polish"))
