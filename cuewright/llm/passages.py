@@ -2,7 +2,7 @@
 
 Seeds are hashes of ``SEED`` consecutive words. Of each ``WINDOW`` neighbouring seeds the smallest is kept (minimizers),
 so documents that share SEED + WINDOW - 1 words in a row share a seed there. A kept seed carries the hashes of the
-words up to the next one that other documents may have, CARRIED at most; the first of a stretch also those before it. Seeds that occur in several documents are joined to one anchor per seed, the document with
+words up to the next one that other documents may have, CARRIED at most; the first of a stretch also those before it. Seeds that occur in several documents are joined to one anchor per seed, the place in a document with
 the longest stretch of shared seeds around it (of equal ones that with the smallest hash), so the seeds of a passage tend to choose the
 same anchor, and a passage that very many documents share makes as many matches as it has copies and no pairs among them.
 What no passage covers then is joined again by two seeds in reach of each other, which documents with a chain share, and
@@ -43,6 +43,8 @@ CARRIED = 32
 LEAST, AGREE = 40, 0.7
 #: Words that a verbatim stretch may have before its first and behind its last shared seed, at most.
 UNSEEN = WINDOW - 1
+#: Places of an anchor that a key may have.
+PLACES = 4
 #: Cost of a word of gap, and words a gap may have at most within a chain.
 GAP, FURTHEST = 0.25, 64
 
@@ -174,6 +176,27 @@ def occurrence(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def leading(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weights of one document's rows: of equal keys the PLACES of greatest weight have the greatest, so they are anchors
+    side by side; the others cannot be one and have -1 - weight. A key makes at most PLACES matches for each of its rows."""
+    order = np.lexsort((-weights, keys))
+    sorted_, held = keys[order], weights[order]
+    head = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+    sizes = np.diff(np.append(head, len(keys)))
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.where(np.arange(len(keys)) - np.repeat(head, sizes) < PLACES, np.repeat(held[head], sizes), -1 - held)
+    return out
+
+
+def _led(rows: list[tuple]) -> list[tuple]:
+    """Rows of one document (key first, weight last) with the weights of ``leading``, whatever they were before."""
+    if not rows:
+        return rows
+    weights = np.array([x[-1] for x in rows], np.int64)
+    weights = leading(np.array([x[0] for x in rows], np.int64), np.where(weights < 0, -1 - weights, weights))
+    return [(*x[:-1], w) for x, w in zip(rows, weights.tolist(), strict=True)]
+
+
 def pack(behind: np.ndarray, before: np.ndarray | None) -> bytes:
     """The words from a seed on, and those before it if they are known: a number tells how many and whether."""
     head = np.array([len(behind) << 1 | (before is not None)], "<u4").tobytes()
@@ -195,7 +218,8 @@ def alike(x: np.ndarray, y: np.ndarray) -> int:
 
 def _seeds(docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """seed, _id, pos, tail (hashes of the words from here to the next seed, 4 bytes each), weight; seed and _id only, as long
-    as no ``wanted`` seeds are known. The n-th of equal seeds of a document is a seed of its own, so repeats meet in order.
+    as no ``wanted`` seeds are known. The n-th of equal seeds of a document is a seed of its own (an odd number), so repeats
+    meet in order; it is held as the first one (an even number) too, so a repeat meets what another document has once.
     Seeds that a bit filter of ``wanted`` rules out stay away.
     The weight is the words of the stretch of such seeds around a seed, so the seeds of one passage have one weight."""
     shared, bits = None, 0
@@ -217,7 +241,15 @@ def _seeds(docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
                         continue
                     at = minimizers(every[a : b - SEED + 1])
                     own = every[a + at]
-                    own = mix(own + occurrence(own).astype(np.uint64))
+                    before = occurrence(own)
+                    again = np.flatnonzero(before)
+                    first = mix(own) & ~np.uint64(1)
+                    own = np.where(before > 0, mix(own + before.astype(np.uint64)) | np.uint64(1), first)
+                    if len(again):
+                        own = np.concatenate([own, first[again]])
+                        at = np.concatenate([at, at[again]])
+                        order = np.argsort(at, kind="stable")
+                        own, at = own[order], at[order]
                     if shared is not None:
                         passed = _passes(pa.array(own.view(np.int64)), shared.value, bits)
                         own, at = own[passed], at[passed]
@@ -227,16 +259,18 @@ def _seeds(docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
                         seeds.append(own)
                         owner.append(np.full(len(at), d))
                         continue
+                    at, back = np.unique(at, return_inverse=True)
                     apart = np.flatnonzero(np.diff(at) > FURTHEST) + 1
                     low, high = np.concatenate([[0], apart]), np.append(apart, len(at))
                     weight, last = np.repeat(at[high - 1] - at[low], high - low), np.zeros(len(at), bool)
                     last[high - 1] = True
                     leads, after = np.diff(at, prepend=-WINDOW) >= WINDOW, np.append(at[1:], b - a)
                     # A seed without another in reach is in no chain.
+                    at, weight, last, leads, after = (x[back] for x in (at, weight, last, leads, after))
                     own, at, weight, last, leads, after = (x[weight > 0] for x in (own, at, weight, last, leads, after))
                     if not len(at):
                         continue
-                    weights.append(weight)
+                    weights.append(leading(own, weight))
                     seeds.append(own)
                     owner.append(np.full(len(at), d))
                     place.append(at)
@@ -310,21 +344,23 @@ def _paired(at: list[tuple], spans: list[tuple[int, int]]) -> list[tuple]:
     chain share such a key."""
     out = []
     fresh = [not _covered(x[0], spans) for x in at]
+    numbered = {x[0] for x in at if x[1] & 1}  # places of repeats: there the two numbers of a seed pair with their like
     for i, (pos, seed, tail, _, _, weight) in enumerate(at):
         for j in range(i + 1, len(at)):
             if at[j][0] - pos > FURTHEST:
                 break
-            if at[j][0] > pos and (fresh[i] or fresh[j]):
+            mixed = (seed ^ at[j][1]) & 1 and (at[j][0] if seed & 1 else pos) in numbered
+            if at[j][0] > pos and (fresh[i] or fresh[j]) and not mixed:
                 out.append((seed, at[j][1], pos, tail, at[j][0], at[j][2], weight))
     if not out:
         return out
     keys = mix(np.array([x[0] for x in out], np.int64).view(np.uint64)) + np.array([x[1] for x in out], np.int64).view(np.uint64)
-    return [(k, *x[2:]) for k, x in zip(mix(keys).view(np.int64).tolist(), out, strict=True)]
+    return _led([(k, *x[2:]) for k, x in zip(mix(keys).view(np.int64).tolist(), out, strict=True)])
 
 
 def _open(at: list[tuple], spans: list[tuple[int, int]]) -> list[tuple]:
     """The keys of which one seed at least is in no passage yet."""
-    return [(x[1], x[0], *x[2:]) for x in at if not (_covered(x[0], spans) and _covered(x[3], spans))]
+    return _led([(x[1], x[0], *x[2:]) for x in at if not (_covered(x[0], spans) and _covered(x[3], spans))])
 
 
 def _covered(pos: int, spans: list[tuple[int, int]]) -> bool:
@@ -422,7 +458,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     while True:
         # Anchors are told by one number, so that they are found without moving the words along: longer stretches first,
         # then a hash of the identifier. Documents that agree in both are anchors side by side.
-        rank = F.shiftleft(65535 - F.least(F.col("weight"), F.lit(65535)).cast("long"), 46).bitwiseOR(F.xxhash64("_id").bitwiseAND(F.lit((1 << 46) - 1)))
+        rank = F.shiftleft(65535 - F.greatest(F.least(F.col("weight"), F.lit(65535)), F.lit(-1)).cast("long"), 46).bitwiseOR(F.xxhash64("_id").bitwiseAND(F.lit((1 << 46) - 1)))
         ranked = rows.withColumn("rank", rank)
         anchors = ranked.groupBy("seed").agg(F.min("rank").alias("first"), F.count("*").alias("n")).filter("n > 1")
         led = ranked.join(anchors, "seed")
