@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import HAN, col, has_latin, normalize_text, squeeze, strip, strip_speaker, text, tokens
+from ..functions.text import HAN, col, has_latin, let, normalize_text, squeeze, strip, strip_speaker, text, tokens
 from ..plans.registry import query, table
 from ..sources.staging import CUES, LINES, cues, lines
 from .joins import time_matches
@@ -137,13 +137,18 @@ def unit_spans(units: Column, words: Column) -> Column:
     """JOIN25: first and last word of each display unit, if the units' tokens tile the words' tokens in order and no word
     is shared; else null. ``units``: array of texts, ``words``: array of words."""
     mine = F.flatten(F.transform(words, lambda w, i: F.transform(tokens(w), lambda t: F.struct(t.alias("t"), i.alias("i")))))
-    sizes = F.transform(units, lambda u: F.size(tokens(u)))
-    stops = F.transform(sizes, lambda _, i: F.aggregate(F.slice(sizes, 1, i + 1), F.lit(0), lambda a, x: a + x))
-    spans = F.transform(sizes, lambda n, i: F.struct(mine[stops[i] - n]["i"].alias("first"), mine[stops[i] - 1]["i"].alias("last")))
-    tiles = (F.size(units) >= 2) & F.forall(sizes, lambda n: n > 0) & (F.flatten(F.transform(units, tokens)) == mine["t"])
-    safe = F.when(tiles, spans)
-    apart = F.forall(F.sequence(F.lit(1), F.greatest(F.size(units) - 1, F.lit(1))), lambda i: F.get(safe, i)["first"] > F.get(safe, i - 1)["last"])
-    return F.when(tiles & apart, safe)
+
+    def found(theirs: Column, mine: Column, stops: Column) -> Column:
+        # A function inside another works each value anew that is no variable there: the tokens are bound, and read once.
+        at = F.transform(theirs, lambda u, i: F.struct(F.get(mine, F.get(stops, i) - F.size(u))["i"].alias("first"), F.get(mine, F.get(stops, i) - 1)["i"].alias("last")))
+        tiles = (F.size(theirs) >= 2) & F.forall(theirs, lambda u: F.size(u) > 0) & (F.flatten(theirs) == mine["t"])
+        apart = lambda s: F.forall(F.sequence(F.lit(1), F.greatest(F.size(s) - 1, F.lit(1))), lambda i: F.get(s, i)["first"] > F.get(s, i - 1)["last"])
+        return F.when(tiles, let(at, lambda s: F.when(apart(s), s)))
+
+    def summed(theirs: Column) -> Column:
+        return F.aggregate(theirs, F.array().cast("array<int>"), lambda a, u: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) + F.size(u))))
+
+    return let(F.transform(units, tokens), lambda theirs: let(mine, lambda m: let(summed(theirs), lambda stops: found(theirs, m, stops))))
 
 
 def display_quality(segments: DataFrame) -> DataFrame:
@@ -301,7 +306,8 @@ def _united(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
     half = F.floor(F.size("w") / 2).cast("int")
     second = F.concat(F.slice("w", F.col("half") + 1, F.size("w")), F.when(F.col("seq") % 5 == 0, F.array(F.lit("more"))).otherwise(F.array().cast("array<string>")))
-    c = cues(spark, sf_dir).withColumn("w", w).filter(F.size("w") >= 4).withColumn("half", half)
+    # Exploded, the words are found once: a filter over a column works it out a second time.
+    c = cues(spark, sf_dir).select("stem", "seq", F.explode(F.filter(F.array(w), lambda w: F.size(w) >= 4)).alias("w")).withColumn("half", half)
     return c.withColumn("spans", unit_spans(F.array(F.array_join(F.slice("w", 1, F.col("half")), " "), F.concat(F.array_join(second, ", "), F.lit("."))), F.col("w")))
 
 
@@ -320,8 +326,8 @@ def join25_agg11_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT stem, seq, (n // 2 - 1)::BIGINT AS first_stop, (n // 2)::BIGINT AS second_start, (n - 1)::BIGINT AS second_stop FROM x WHERE n >= 4 AND seq % 5 <> 0""",
 )
 def join25_unit_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = F.col("spans")
-    return _united(spark, sf_dir).filter(s.isNotNull()).select("stem", "seq", s[0]["last"].cast("long").alias("first_stop"), s[1]["first"].cast("long").alias("second_start"), s[1]["last"].cast("long").alias("second_stop"))
+    row = lambda s: F.struct(s[0]["last"].cast("long").alias("first_stop"), s[1]["first"].cast("long").alias("second_start"), s[1]["last"].cast("long").alias("second_stop"))
+    return _united(spark, sf_dir).select("stem", "seq", F.inline(F.transform(F.filter(F.array("spans"), lambda s: s.isNotNull()), row)))
 
 
 @query(
