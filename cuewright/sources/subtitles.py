@@ -137,8 +137,13 @@ def normalize_transcript(documents: DataFrame) -> DataFrame:
 def even_words(text: str = "text", start: str = "start", end: str = "end") -> F.Column:
     """SRC11, fallback: words with equal shares of the interval."""
     words = F.filter(F.split(T.squeeze(text), " "), lambda w: w != "")
-    step = (F.col(end) - F.col(start)) / F.greatest(F.size(words), F.lit(1))
-    return F.transform(words, lambda w, i: F.struct(w.alias("word"), (F.col(start) + step * i).alias("start"), (F.col(start) + step * (i + 1)).alias("end")))
+    step = lambda n: (F.col(end) - F.col(start)) / F.greatest(n, F.lit(1))
+
+    def spread(words: F.Column, step: F.Column) -> F.Column:
+        return F.transform(words, lambda w, i: F.struct(w.alias("word"), (F.col(start) + step * i).alias("start"), (F.col(start) + step * (i + 1)).alias("end")))
+
+    # Bound, the words are found and counted once for a text, and not again for each of them.
+    return T.let(words, lambda ws: T.let(step(F.size(ws)), lambda st: spread(ws, st)))
 
 
 def ocr_rows(documents: DataFrame, least: float = 0.5) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from cuewright.operators import rules
+from cuewright.sources import subtitles
 
 
 def _planned(frame):
@@ -14,3 +15,10 @@ def test_tokens_of_units_and_words_are_found_once(spark):
     found = rows.select(rules.unit_spans(F.col("u"), F.col("w")).alias("s"))
     assert [r.s and [tuple(x) for x in r.s] for r in found.collect()] == [[(0, 1), (2, 3)], None, None, None, None, None]
     assert _planned(found).count("regexp_extract_all") == 2
+
+
+def test_words_of_an_interval_are_found_and_counted_once(spark):
+    rows = spark.createDataFrame([("a  b c d", 0.0, 2.0), (" ", 0.0, 1.0), (None, 0.0, 1.0)], "text string, start double, end double")
+    found = rows.select(subtitles.even_words().alias("w"))
+    assert [[tuple(x) for x in r.w] for r in found.collect()] == [[("a", 0.0, 0.5), ("b", 0.5, 1.0), ("c", 1.0, 1.5), ("d", 1.5, 2.0)], [], []]
+    assert _planned(found).count("split(") == 1
