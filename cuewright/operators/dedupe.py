@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
+from itertools import groupby
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -122,25 +125,53 @@ def seq7_merge_ocr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fuzzy_minute_dedupe(frame: DataFrame, threshold: float = 0.6) -> DataFrame:
     """SEQ8: in each stem and minute, an item as similar as ``threshold`` to a kept one goes, unless it is longer: then it
-    takes that one's place. The set of exact keys does not learn the new key."""
+    takes that one's place. The set of exact keys does not learn the new key.
 
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        kept: list[tuple] = []
-        seen: set[str] = set()
-        for r in f.sort_values(["start_cs", "seq"], kind="stable").itertuples(index=False):
-            key = key_of(r.text)
-            if len(key) < 2 or key in seen:
-                continue
-            twin = next((i for i, k in enumerate(kept) if similarity(r.text, k.text) >= threshold), None)
-            if twin is None:
-                seen.add(key)
-                kept.append(r)
-            elif len(r.text) > len(kept[twin].text):
-                kept[twin] = r
-        return pd.DataFrame([(r.stem, r.minute, r.seq, r.text) for r in kept], columns=["stem", "minute", "seq", "text"])
-
-    minutes = frame.withColumn("minute", F.floor(F.col("start_cs") / 6000).cast("long"))
-    return minutes.groupBy("stem", "minute").applyInPandas(run, "stem long, minute long, seq long, text string")
+    Minutes are many and small, so they are not frames of their own: they follow each other in sorted partitions.
+    """
+    columns = ["stem", "minute", "start_cs", "seq", "text"]
+    out = pa.schema([("stem", pa.int64()), ("minute", pa.int64()), ("seq", pa.int64()), ("text", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in columns), strict=True))
+        made: list[tuple] = []
+        for (stem, minute), items in groupby(rows, key=lambda r: r[:2]):
+            made += [(stem, minute, *k) for k in _unlike(((seq, text) for *_, seq, text in items), threshold)]
+            if len(made) >= 4096:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made, strict=True), out, strict=True)], schema=out)
+                made = []
+        if made:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made, strict=True), out, strict=True)], schema=out)
+
+    minutes = frame.withColumn("minute", F.floor(F.col("start_cs") / 6000).cast("long")).select(F.col("stem").cast("long"), "minute", "start_cs", F.col("seq").cast("long"), "text")
+    placed = minutes.repartition("stem", "minute").sortWithinPartitions("stem", "minute", F.asc_nulls_last("start_cs"), F.asc_nulls_last("seq"))
+    return placed.mapInArrow(run, "stem long, minute long, seq long, text string")
+
+
+def _unlike(items: Iterable[tuple[int, str | None]], threshold: float) -> list[tuple[int, str]]:
+    """The items (seq, text) of one minute that SEQ8 keeps."""
+    kept: list[tuple[int, str]] = []
+    likeness: list[SequenceMatcher] = []  # to each kept text, which is prepared once
+    seen: set[str] = set()
+    for seq, text in items:
+        key = key_of(text)
+        if len(key) < 2 or key in seen:
+            continue
+        low = text.lower()
+
+        def alike(m: SequenceMatcher, low: str = low) -> bool:
+            m.set_seq1(low)
+            return m.real_quick_ratio() >= threshold and m.ratio() >= threshold  # the first is never below the second
+
+        twin = next((i for i, m in enumerate(likeness) if alike(m)), None)
+        if twin is None:
+            seen.add(key)
+            kept.append((seq, text))
+            likeness.append(SequenceMatcher(None, "", low))
+        elif len(text) > len(kept[twin][1]):
+            kept[twin] = (seq, text)
+            likeness[twin] = SequenceMatcher(None, "", low)
+    return kept
 
 
 @query("seq8_fuzzy_minute_dedupe")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cuewright.operators import rules
+from cuewright.operators import dedupe, rules
 from cuewright.sources import subtitles
 
 
@@ -22,3 +22,10 @@ def test_words_of_an_interval_are_found_and_counted_once(spark):
     found = rows.select(subtitles.even_words().alias("w"))
     assert [[tuple(x) for x in r.w] for r in found.collect()] == [[("a", 0.0, 0.5), ("b", 0.5, 1.0), ("c", 1.0, 1.5), ("d", 1.5, 2.0)], [], []]
     assert _planned(found).count("split(") == 1
+
+
+def test_minutes_are_no_frames_of_their_own(spark):
+    cues = [(1, 0, "hello there", 0), (1, 1, "hello there!", 10), (1, 2, "Hello there, you", 20), (1, 3, "hello there", 6000), (1, 4, None, 6001), (1, 5, "!", 6002), (2, 0, "xyz", 5), (2, 1, "hello there", 6)]
+    found = dedupe.fuzzy_minute_dedupe(spark.createDataFrame(cues, "stem long, seq long, text string, start_cs long"))
+    assert sorted(map(tuple, found.collect())) == [(1, 0, 2, "Hello there, you"), (1, 1, 3, "hello there"), (2, 0, 0, "xyz"), (2, 0, 1, "hello there")]
+    assert "FlatMapGroupsInPandas" not in _planned(found)
