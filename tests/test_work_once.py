@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from cuewright.functions import text as T
 from cuewright.operators import dedupe, rules
 from cuewright.sources import subtitles
 
@@ -29,3 +30,12 @@ def test_minutes_are_no_frames_of_their_own(spark):
     found = dedupe.fuzzy_minute_dedupe(spark.createDataFrame(cues, "stem long, seq long, text string, start_cs long"))
     assert sorted(map(tuple, found.collect())) == [(1, 0, 2, "Hello there, you"), (1, 1, 3, "hello there"), (2, 0, 0, "xyz"), (2, 0, 1, "hello there")]
     assert "FlatMapGroupsInPandas" not in _planned(found)
+
+
+def test_keys_and_blanks_are_the_same_by_fewer_matches(spark):
+    odd = ["", None, " a  b ", "a\tb\n c", "A\\NB \\N", "é x", "　中 文  z", " \t x", "x  y", "\x00a\x1fb", "ÀB-c_d.E!", "İ Σ ς", "a b c", "\x0b\x0c \x85q"]
+    rows = spark.createDataFrame(list(enumerate(odd)), "i int, t string")
+    plain = F.trim(F.regexp_replace(T.text("t"), r"(?U)\s+", " "))
+    key = F.regexp_replace(F.lower(F.trim(F.regexp_replace(F.replace(T.text("t"), F.lit("\\N"), F.lit(" ")), r"(?U)\s+", " "))), "[^a-z0-9一-鿿]+", "")
+    assert rows.filter((T.squeeze("t") != plain) | (T.text_key("t") != key)).isEmpty()
+    assert "translate" in _planned(rows.select(T.text_key("t"))) and "\\s" not in _planned(rows.select(T.text_key("t")))
