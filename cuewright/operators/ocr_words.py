@@ -6,12 +6,13 @@ join, so a dictionary of any size stays distributed, and each distinct word is b
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import text
+from ..functions.text import let, text
 from ..plans.registry import query, table
 from ..sources.staging import LINES, lines
 
@@ -111,11 +112,15 @@ def split_joined(frame: DataFrame, dictionary: DataFrame, keys: Sequence[str], c
     """STR20, second part: the frame with joined words in ``column`` parted. Only keys and words are shuffled; a text is
     rewritten where it stands, by the breaks of its own words. ``keys`` tell rows apart."""
     runs = lambda pattern: F.regexp_extract_all(text(column), F.lit(pattern), F.lit(0))
-    own = frame.select(*keys, F.explode(F.array_distinct(F.transform(runs(f"[A-Za-z]{{{LEAST},}}"), F.lower))).alias("word"))
+    # All pieces but the last are leads, and no unknown word is one piece: words that begin otherwise cannot be parted.
+    opened = "" if leads is None else f"(?<![A-Za-z])(?=(?i:{'|'.join(map(re.escape, leads)) or '(?!)'}))"
+    own = frame.select(*keys, F.explode(F.array_distinct(F.transform(runs(f"{opened}[A-Za-z]{{{LEAST},}}"), F.lower))).alias("word"))
     breaks = word_breaks(own.select("word").distinct(), dictionary, leads, most)
     of_row = own.join(breaks, "word").groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("word", "cuts"))).alias("_breaks"))
-    token = lambda t: F.when(F.try_element_at(F.col("_breaks"), F.lower(t)).isNotNull(), parted(t, F.try_element_at(F.col("_breaks"), F.lower(t)))).otherwise(t)
-    again = F.array_join(F.transform(runs("[A-Za-z]+|[^A-Za-z]+"), token), "")
+    token = lambda t: let(F.try_element_at(F.col("_breaks"), F.lower(t)), lambda cuts: F.when(cuts.isNotNull(), parted(t, cuts)).otherwise(t))
+    # What no word that may be parted begins in stays one piece.
+    word = f"{opened}[A-Za-z]{{{LEAST},}}"
+    again = F.array_join(F.transform(runs(f"(?s){word}|(?:(?!{word}).)+"), token), "")
     return frame.join(of_row, list(keys), "left").withColumn(column, F.when(F.col("_breaks").isNull(), F.col(column)).otherwise(again)).drop("_breaks")
 
 

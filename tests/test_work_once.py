@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cuewright.functions import text as T
-from cuewright.operators import dedupe, rules
+from cuewright.operators import dedupe, ocr_words, rules
 from cuewright.sources import subtitles
 
 
@@ -39,3 +39,12 @@ def test_keys_and_blanks_are_the_same_by_fewer_matches(spark):
     key = F.regexp_replace(F.lower(F.trim(F.regexp_replace(F.replace(T.text("t"), F.lit("\\N"), F.lit(" ")), r"(?U)\s+", " "))), "[^a-z0-9一-鿿]+", "")
     assert rows.filter((T.squeeze("t") != plain) | (T.text_key("t") != key)).isEmpty()
     assert "translate" in _planned(rows.select(T.text_key("t"))) and "\\s" not in _planned(rows.select(T.text_key("t")))
+
+
+def test_only_words_that_a_lead_opens_are_looked_up(spark):
+    long = "ofcat " + "- é x" * 200_000 + " xofcat Thecat OFCAT ofcatx"
+    rows = spark.createDataFrame([(1, long), (2, None), (3, "catof of cat")], "i int, text string")
+    words = spark.createDataFrame([("of",), ("the",), ("cat",)], "word string")
+    done = ocr_words.split_joined(rows, words, ["i"], leads=["of", "the"])
+    assert {r.i: r.text for r in done.collect()} == {1: "of cat " + "- é x" * 200_000 + " xofcat The cat OF CAT ofcatx", 2: None, 3: "catof of cat"}
+    assert "(?i:of|the)" in _planned(done)
