@@ -1,7 +1,7 @@
 """Greedy, order-dependent grouping and deduplication per stem, and exact first-wins dedup.
 
 Greedy state (which group an item joined changes what the next one meets) is sequential by definition; it runs in
-``applyInPandas`` over one stem, or one stem and minute, at a time, so work spreads over stems.
+``applyInPandas`` over one stem at a time, or over sorted stems and minutes, so work spreads over stems.
 """
 
 from __future__ import annotations
