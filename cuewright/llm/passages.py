@@ -22,17 +22,17 @@ an identifier are one document; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator
-from functools import reduce
+from bisect import bisect_left
+from collections.abc import Iterator
 from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import checkpointed, dropped, mix, slices, stored, text_buffers, windows, word_hashes, word_spans
+from ._common import dropped, mix, slices, stored, text_buffers, windows, word_hashes, word_spans
 from .jaccard_join import _filter, _passes
 
 #: Words of a seed, and seeds of which one is kept.
@@ -152,49 +152,86 @@ def agreeing(x: tuple[int, ...], y: tuple[int, ...]) -> int:
     return head + row[-1]
 
 
-def minimizers(hashes: np.ndarray) -> np.ndarray:
-    """Positions of the kept seeds of one document: the last smallest of each window, and of a run of equal seeds in a row
-    each WINDOW-th."""
-    if not len(hashes):
+def minimizers(hashes: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
+    """Positions of the kept seeds: the last smallest of each window, and of a run of equal seeds in a row each WINDOW-th.
+    ``first`` and ``last``: where the stretches of hashes of each document begin and end, if there are several; they have
+    WINDOW hashes or more and lie apart."""
+    if first is None:
+        if len(hashes) <= WINDOW:
+            return np.array([len(hashes) - 1 - int(hashes[::-1].argmin())]) if len(hashes) else np.zeros(0, np.int64)
+        first, last = np.array([0]), np.array([len(hashes)])
+    if not len(first):
         return np.zeros(0, np.int64)
-    if len(hashes) <= WINDOW:
-        return np.array([len(hashes) - 1 - int(hashes[::-1].argmin())])
-    view = np.lib.stride_tricks.sliding_window_view(hashes[::-1], WINDOW)
-    at = np.unique(len(hashes) - 1 - (view.argmin(axis=1) + np.arange(len(view))))
+    least, width = hashes, 1
+    while width < WINDOW:
+        step = min(width, WINDOW - width)
+        least, width = np.minimum(least[:-step], least[step:]), width + step
+    # The smallest moves where it is another value, or where the hash that comes in equals it.
+    moves = np.ones(len(least), bool)
+    moves[1:] = (least[1:] != least[:-1]) | (hashes[WINDOW:] == least[1:])
+    moves[first] = True
+    inside = np.zeros(len(hashes) + 1, np.int8)
+    inside[first] += 1
+    inside[last - WINDOW + 1] -= 1
+    begin = np.flatnonzero(moves & (np.cumsum(inside)[: len(least)] > 0))
+    at = begin + WINDOW - 1 - hashes[begin[:, None] + np.arange(WINDOW - 1, -1, -1)].argmin(axis=1)
+    at = at[np.append(True, at[1:] != at[:-1])]
     same = np.zeros(len(at), bool)
     same[1:] = (np.diff(at) == 1) & (hashes[at[1:]] == hashes[at[:-1]])
     head = np.flatnonzero(~same)
     return at[(np.arange(len(at)) - np.repeat(head, np.diff(np.append(head, len(at))))) % WINDOW == 0]
 
 
-def occurrence(values: np.ndarray) -> np.ndarray:
-    """For each value how often it came before."""
-    order = np.argsort(values, kind="stable")
-    head = np.flatnonzero(np.diff(values[order], prepend=values[order][:1] + np.uint64(1)))
+def heads(*columns: np.ndarray) -> np.ndarray:
+    """Where rows begin that differ from the one before."""
+    differ = np.ones(len(columns[0]), bool)
+    differ[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(differ)
+
+
+def counted(head: np.ndarray, n: int) -> np.ndarray:
+    """For each of n rows how many of its group, which begin at ``head``, came before."""
+    return np.arange(n) - np.repeat(head, np.diff(np.append(head, n)))
+
+
+def occurrence(values: np.ndarray, owner: np.ndarray | None = None) -> np.ndarray:
+    """For each value how often its owner had it before."""
+    owner = np.zeros(len(values), np.int64) if owner is None else owner
+    order = np.lexsort((values, owner))
     out = np.empty(len(values), np.int64)
-    out[order] = np.arange(len(values)) - np.repeat(head, np.diff(np.append(head, len(values))))
+    out[order] = counted(heads(values[order], owner[order]), len(values))
     return out
 
 
-def leading(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The weights of one document's rows: of equal keys the PLACES of greatest weight have the greatest, so they are anchors
-    side by side; the others cannot be one and have -1 - weight. A key makes at most PLACES matches for each of its rows."""
-    order = np.lexsort((-weights, keys))
-    sorted_, held = keys[order], weights[order]
-    head = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
-    sizes = np.diff(np.append(head, len(keys)))
+def leading(keys: np.ndarray, weights: np.ndarray, owner: np.ndarray | None = None) -> np.ndarray:
+    """The weights of rows: of a document's (``owner``) equal keys the PLACES of greatest weight have the greatest, so they are
+    anchors side by side; the others cannot be one and have -1 - weight. A key makes at most PLACES matches for each of its
+    rows."""
+    owner = np.zeros(len(keys), np.int64) if owner is None else owner
+    order = np.lexsort((-weights, keys, owner))
+    held = weights[order]
+    head = heads(keys[order], owner[order])
     out = np.empty(len(keys), np.int64)
-    out[order] = np.where(np.arange(len(keys)) - np.repeat(head, sizes) < PLACES, np.repeat(held[head], sizes), -1 - held)
+    out[order] = np.where(counted(head, len(keys)) < PLACES, np.repeat(held[head], np.diff(np.append(head, len(keys)))), -1 - held)
     return out
 
 
-def _led(rows: list[tuple]) -> list[tuple]:
-    """Rows of one document (key first, weight last) with the weights of ``leading``, whatever they were before."""
-    if not rows:
-        return rows
-    weights = np.array([x[-1] for x in rows], np.int64)
-    weights = leading(np.array([x[0] for x in rows], np.int64), np.where(weights < 0, -1 - weights, weights))
-    return [(*x[:-1], w) for x, w in zip(rows, weights.tolist(), strict=True)]
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers starts[i] to starts[i] + sizes[i] for each i in turn."""
+    before = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)
+
+
+def packed(words: np.ndarray, start: np.ndarray, n: np.ndarray, before: np.ndarray) -> pa.Array:
+    """``pack`` of n[i] words from start[i] on and of before[i] words in front of it (-1: not known), for each i."""
+    sizes = 1 + n + np.maximum(before, 0)
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    out = np.empty(int(offsets[-1]), "<u4")
+    out[offsets[:-1]] = n << 1 | (before >= 0)
+    out[spread(offsets[:-1] + 1, n)] = words[spread(start, n)]
+    known = np.maximum(before, 0)
+    out[spread(offsets[:-1] + 1 + n, known)] = words[spread(start - known, known)]
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((4 * offsets).astype(np.int32)), pa.py_buffer(out)])
 
 
 def pack(behind: np.ndarray, before: np.ndarray | None) -> bytes:
@@ -203,17 +240,28 @@ def pack(behind: np.ndarray, before: np.ndarray | None) -> bytes:
     return head + behind.astype("<u4").tobytes() + (b"" if before is None else before.astype("<u4").tobytes())
 
 
-def unpack(carried: bytes) -> tuple[np.ndarray, np.ndarray | None]:
-    x = np.frombuffer(carried, "<u4")
-    n = int(x[0]) >> 1
-    return x[1 : 1 + n], x[1 + n :] if x[0] & 1 else None
-
-
-def alike(x: np.ndarray, y: np.ndarray) -> int:
-    """Words that are equal from the beginning on."""
-    n = min(len(x), len(y))
-    differ = np.flatnonzero(x[:n] != y[:n])
-    return int(differ[0]) if len(differ) else n
+def carried(tails: pa.Array) -> tuple[np.ndarray, ...]:
+    """Of packed tails all words, and for each tail where the words from the seed on begin, how many they are, where those
+    before it end, and how many they are (-1: not known)."""
+    tails = tails.cast(pa.binary())
+    _, offsets, data = tails.buffers()
+    offsets = np.frombuffer(offsets, np.int32, len(tails) + 1, 4 * tails.offset).astype(np.int64)
+    words = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view("<u4")
+    begin, end = (offsets[:-1] - offsets[0]) // 4, (offsets[1:] - offsets[0]) // 4
+    told = words[begin].astype(np.int64)
+    n = told >> 1
+    return words, begin + 1, n, end, np.where(told & 1, end - begin - 1 - n, -1)
+
+
+def alike(x: np.ndarray, x_at: np.ndarray, y: np.ndarray, y_at: np.ndarray, n: np.ndarray, step: int = 1) -> np.ndarray:
+    """Of the n[i] words from x_at[i] and y_at[i] on (step -1: backwards), how many are equal before the first that differs."""
+    row, k = np.repeat(np.arange(len(n)), n), spread(np.zeros(len(n), np.int64), n)
+    differ = np.flatnonzero(x[x_at[row] + step * k] != y[y_at[row] + step * k])
+    out = n.copy()
+    if len(differ):
+        differ = differ[heads(row[differ])]
+        out[row[differ]] = k[differ]
+    return out
 
 
 def _seeds(docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
@@ -234,53 +282,51 @@ def _seeds(docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
                 data, offsets = text_buffers(batch.column(1))
                 starts, ends, first = word_spans(data, offsets)
                 hashes = word_hashes(data, starts, ends)
-                short, every = (hashes >> np.uint64(32)).astype("<u4"), windows(hashes, SEED)
-                seeds, owner, place, tails, weights = [], [], [], [], []
-                for d, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
-                    if b - a < LEAST:
-                        continue
-                    at = minimizers(every[a : b - SEED + 1])
-                    own = every[a + at]
-                    before = occurrence(own)
-                    again = np.flatnonzero(before)
-                    first = mix(own) & ~np.uint64(1)
-                    own = np.where(before > 0, mix(own + before.astype(np.uint64)) | np.uint64(1), first)
-                    if len(again):
-                        own = np.concatenate([own, first[again]])
-                        at = np.concatenate([at, at[again]])
-                        order = np.argsort(at, kind="stable")
-                        own, at = own[order], at[order]
-                    if shared is not None:
-                        passed = _passes(pa.array(own.view(np.int64)), shared.value, bits)
-                        own, at = own[passed], at[passed]
-                    if not len(at):
-                        continue
-                    if shared is None:
-                        seeds.append(own)
-                        owner.append(np.full(len(at), d))
-                        continue
-                    at, back = np.unique(at, return_inverse=True)
-                    apart = np.flatnonzero(np.diff(at) > FURTHEST) + 1
-                    low, high = np.concatenate([[0], apart]), np.append(apart, len(at))
-                    weight, last = np.repeat(at[high - 1] - at[low], high - low), np.zeros(len(at), bool)
-                    last[high - 1] = True
-                    leads, after = np.diff(at, prepend=-WINDOW) >= WINDOW, np.append(at[1:], b - a)
-                    # A seed without another in reach is in no chain.
-                    at, weight, last, leads, after = (x[back] for x in (at, weight, last, leads, after))
-                    own, at, weight, last, leads, after = (x[weight > 0] for x in (own, at, weight, last, leads, after))
-                    if not len(at):
-                        continue
-                    weights.append(leading(own, weight))
-                    seeds.append(own)
-                    owner.append(np.full(len(at), d))
-                    place.append(at)
-                    for i, j, lead, ends in zip(at.tolist(), after.tolist(), leads.tolist(), last.tolist(), strict=True):
-                        tails.append(pack(short[a + i : a + min(j, i + (SEED + UNSEEN if ends else CARRIED))], short[a + max(0, i - UNSEEN) : a + i] if lead else None))
-                if seeds and shared is None:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(seeds).view(np.int64)), batch.column(0).take(pa.array(np.concatenate(owner)))], ["seed", "_id"])
-                elif seeds:
-                    columns = [pa.array(np.concatenate(seeds).view(np.int64)), batch.column(0).take(pa.array(np.concatenate(owner))), pa.array(np.concatenate(place).astype(np.int32)), pa.array(tails, pa.binary()), pa.array(np.concatenate(weights).astype(np.int32))]
-                    yield pa.RecordBatch.from_arrays(columns, ["seed", "_id", "pos", "tail", "weight"])
+                every = windows(hashes, SEED)
+                long = np.flatnonzero(np.diff(first) >= LEAST)
+                low, high = first[:-1][long], first[1:][long]
+                at = minimizers(every, low, high - SEED + 1)
+                if not len(at):
+                    continue
+                own, owner = every[at], np.searchsorted(low, at, "right") - 1
+                before = occurrence(own, owner)
+                again = np.flatnonzero(before)
+                once = mix(own) & ~np.uint64(1)
+                own = np.where(before > 0, mix(own + before.astype(np.uint64)) | np.uint64(1), once)
+                if len(again):
+                    own, at, owner = np.concatenate([own, once[again]]), np.concatenate([at, at[again]]), np.concatenate([owner, owner[again]])
+                    order = np.argsort(at, kind="stable")
+                    own, at, owner = own[order], at[order], owner[order]
+                if shared is None:
+                    yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), batch.column(0).take(pa.array(long[owner]))], ["seed", "_id"])
+                    continue
+                passed = _passes(pa.array(own.view(np.int64)), shared.value, bits)
+                own, at, owner = own[passed], at[passed], owner[passed]
+                if not len(at):
+                    continue
+                places = heads(at)
+                back, at, owner = np.repeat(np.arange(len(places)), np.diff(np.append(places, len(at)))), at[places], owner[places]
+                other = np.append(True, owner[1:] != owner[:-1])
+                step = np.diff(at, prepend=0)
+                begin = np.flatnonzero(other | (step > FURTHEST))
+                size, stop = np.diff(np.append(begin, len(at))), np.append(begin[1:], len(at)) - 1
+                weight, last = np.repeat(at[stop] - at[begin], size), np.zeros(len(at), bool)
+                last[stop] = True
+                leads = other | (step >= WINDOW)
+                after = np.where(np.append(other[1:], True), high[owner], np.append(at[1:], 0))
+                n = np.minimum(after - at, np.where(last, SEED + UNSEEN, CARRIED))
+                known = np.where(leads, np.minimum(at - low[owner], UNSEEN), -1)
+                # A seed without another in reach is in no chain.
+                keep = np.flatnonzero(weight > 0)
+                if not len(keep):
+                    continue
+                tails = packed((hashes >> np.uint64(32)).astype("<u4"), at[keep], n[keep], known[keep])
+                rows = weight[back] > 0
+                own, back = own[rows], back[rows]
+                place, weight, owner = (at - low[owner])[back], weight[back], owner[back]
+                weight = leading(own.view(np.int64), weight, owner)
+                columns = [pa.array(own.view(np.int64)), batch.column(0).take(pa.array(long[owner])), pa.array(place.astype(np.int32)), tails.take(pa.array(np.searchsorted(keep, back))), pa.array(weight.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["seed", "_id", "pos", "tail", "weight"])
 
     return docs.mapInArrow(run, f"seed long, _id {kind}" + ("" if wanted is None else ", pos int, tail binary, weight int"))
 
@@ -304,108 +350,193 @@ def stretches(steps: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _passages(rows: list[tuple[int, int, bytes, bytes]]) -> list[tuple[int, int, int, int, int]]:
-    """(start, end, partner's start, end, words that agree) from one pair's matches (pos, partner's pos, tails)."""
-    b, a = [r[0] for r in rows], [r[1] for r in rows]
-    out = []
-    for chain in chained_runs(a, b):
-        if len(chain) < 2:
-            continue
-        words = [(unpack(rows[i][2]), unpack(rows[i][3])) for i in chain]
-        steps, sizes = [], []
-        unseen = 0
-        for k, (i, ((x, _), (y, _))) in enumerate(zip(chain, words, strict=True)):
-            if k + 1 == len(chain):  # behind the last match: as far as words stay equal
-                nx = ny = max(alike(x, y), SEED)  # the seed's own words are equal
-                agree, seen = nx, nx
-                if nx >= min(len(x), len(y)):  # all that is carried is equal: there may be more
-                    unseen = max(0, UNSEEN - (nx - SEED))
-            else:
-                nx, ny = b[chain[k + 1]] - b[i], a[chain[k + 1]] - a[i]
-                agree = agreeing(tuple(x[:nx].tolist()), tuple(y[:ny].tolist()))
-                # Words behind a seed that only one side kept are not carried: they count for neither side.
-                seen = max(nx, ny) - max(0, min(nx - len(x), ny - len(y)))
-            steps.append((agree, seen))
-            sizes.append((nx, ny))
-        for low, high in stretches(steps):
-            agree = sum(s[0] for s in steps[low:high])
-            first, end = chain[low], chain[high - 1]
-            (_, x), (_, y) = words[low]
-            more = 0 if x is None or y is None else alike(x[::-1], y[::-1])
-            found = (b[first] - more, b[end] + sizes[high - 1][0], a[first] - more, a[end] + sizes[high - 1][1], agree + more)
-            least = LEAST - (UNSEEN if x is None or y is None else 0) - (unseen if high == len(chain) else 0)
-            if min(found[1] - found[0], found[3] - found[2]) >= least:
-                out.append(found)
-    return out
+def aligned(pair: np.ndarray, b: np.ndarray, a: np.ndarray, tails: pa.Array, partner_tails: pa.Array) -> tuple[np.ndarray, ...]:
+    """pair, start, end, partner's start, end, words that agree: the passages from matches (pair, pos, partner's pos, tails).
+    What a pair's matches cost is done for all pairs at once; only chains over several diagonals, stretches in which words
+    differ and chains that may part are looked at one by one."""
+    order = np.lexsort((a, b, pair))
+    order = order[heads(pair[order], b[order], a[order])]
+    begin = heads(pair[order])
+    order = order[np.repeat(np.diff(np.append(begin, len(order))) > 1, np.diff(np.append(begin, len(order))))]
+    pair, b, a = pair[order], b[order], a[order]
+    if not len(pair):
+        return (pair,) * 6
+    x, x_at, x_n, x_end, x_before = carried(tails.take(pa.array(order)))
+    y, y_at, y_n, y_end, y_before = carried(partner_tails.take(pa.array(order)))
+    same = alike(x, x_at, y, y_at, np.minimum(x_n, y_n))
+
+    # Matches on one diagonal are chained as they follow each other; other pairs ask the tree.
+    begin = heads(pair)
+    stop = np.append(begin[1:], len(pair))
+    straight = np.minimum.reduceat(b - a, begin) == np.maximum.reduceat(b - a, begin)
+    rows = spread(begin[straight], (stop - begin)[straight])
+    head = np.flatnonzero(np.append(True, (np.diff(pair[rows]) != 0) | (np.diff(b[rows]) > FURTHEST))) if len(rows) else rows
+    sizes = np.diff(np.append(head, len(rows)))
+    rows, sizes = [rows[np.repeat(sizes > 1, sizes)]], [sizes[sizes > 1]]
+    for i, j in zip(begin[~straight].tolist(), stop[~straight].tolist(), strict=True):
+        found = [c for c in chained_runs(a[i:j], b[i:j]) if len(c) > 1]
+        rows += [i + np.array(c) for c in found]
+        sizes.append(np.array([len(c) for c in found], np.int64))
+    rows, sizes = np.concatenate(rows), np.concatenate(sizes)
+    if not len(rows):
+        return (rows,) * 6
+    end = np.cumsum(sizes) - 1
+    first = end - sizes + 1
+    last = np.zeros(len(rows), bool)
+    last[end] = True
+
+    # Behind the last match: as far as words stay equal; the seed's own words are equal.
+    same, x_n, y_n = same[rows], x_n[rows], y_n[rows]
+    far = np.maximum(same, SEED)
+    nx, ny = (np.where(last, far, np.append(c[rows][1:] - c[rows][:-1], 0)) for c in (b, a))
+    cx, cy = np.minimum(x_n, nx), np.minimum(y_n, ny)
+    agree = np.where(last, far, cx)
+    for k in np.flatnonzero(~last & ((cx != cy) | (same < cx))).tolist():
+        u, v, h = int(x_at[rows[k]]), int(y_at[rows[k]]), int(min(same[k], cx[k], cy[k]))
+        agree[k] = h + agreeing(tuple(x[u + h : u + cx[k]].tolist()), tuple(y[v + h : v + cy[k]].tolist()))
+    # Words behind a seed that only one side kept are not carried: they count for neither side.
+    seen = np.where(last, far, np.maximum(nx, ny) - np.maximum(0, np.minimum(nx - x_n, ny - y_n)))
+    # All that is carried is equal: there may be more.
+    unseen = np.where(far >= np.minimum(x_n, y_n), np.maximum(0, UNSEEN - (far - SEED)), 0)
+
+    whole = np.logical_and.reduceat(agree - AGREE * seen > 0, first)
+    low, high = [first[whole]], [end[whole]]
+    for i, j in zip(first[~whole].tolist(), end[~whole].tolist(), strict=True):
+        parts = stretches(list(zip(agree[i : j + 1].tolist(), seen[i : j + 1].tolist(), strict=True)))
+        low.append(i + np.array([p[0] for p in parts], np.int64))
+        high.append(i + np.array([p[1] - 1 for p in parts], np.int64))
+    low, high = np.concatenate(low), np.concatenate(high)
+    sums = np.concatenate([[0], np.cumsum(agree)])
+    i, j = rows[low], rows[high]
+    known = (x_before[i] >= 0) & (y_before[i] >= 0)
+    more = alike(x, x_end[i] - 1, y, y_end[i] - 1, np.where(known, np.minimum(x_before[i], y_before[i]), 0), -1)
+    out = (pair[i], b[i] - more, b[j] + nx[high], a[i] - more, a[j] + ny[high], sums[high + 1] - sums[low] + more)
+    least = LEAST - np.where(known, 0, UNSEEN) - np.where(last[high], unseen[high], 0)
+    long = np.minimum(out[2] - out[1], out[4] - out[3]) >= least
+    return tuple(c[long] for c in out)
 
 
-def _paired(at: list[tuple], spans: list[tuple[int, int]]) -> list[tuple]:
-    """Two seeds in reach of each other, of which one at least is in no passage yet, as one key: documents that share a
-    chain share such a key."""
-    out = []
-    fresh = [not _covered(x[0], spans) for x in at]
-    numbered = {x[0] for x in at if x[1] & 1}  # places of repeats: there the two numbers of a seed pair with their like
-    for i, (pos, seed, tail, _, _, weight) in enumerate(at):
-        for j in range(i + 1, len(at)):
-            if at[j][0] - pos > FURTHEST:
-                break
-            mixed = (seed ^ at[j][1]) & 1 and (at[j][0] if seed & 1 else pos) in numbered
-            if at[j][0] > pos and (fresh[i] or fresh[j]) and not mixed:
-                out.append((seed, at[j][1], pos, tail, at[j][0], at[j][2], weight))
-    if not out:
-        return out
-    keys = mix(np.array([x[0] for x in out], np.int64).view(np.uint64)) + np.array([x[1] for x in out], np.int64).view(np.uint64)
-    return _led([(k, *x[2:]) for k, x in zip(mix(keys).view(np.int64).tolist(), out, strict=True)])
+def _passages(rows: list[tuple[int, int, bytes, bytes]]) -> list[tuple[int, int, int, int, int]]:
+    """(start, end, partner's start, end, words that agree) from one pair's matches (pos, partner's pos, tails)."""
+    b, a, x, y = zip(*rows, strict=True)
+    found = aligned(np.zeros(len(b), np.int64), np.array(b, np.int64), np.array(a, np.int64), pa.array(x, pa.binary()), pa.array(y, pa.binary()))
+    return list(zip(*(c.tolist() for c in found[1:]), strict=True))
 
 
-def _open(at: list[tuple], spans: list[tuple[int, int]]) -> list[tuple]:
-    """The keys of which one seed at least is in no passage yet."""
-    return _led([(x[1], x[0], *x[2:]) for x in at if not (_covered(x[0], spans) and _covered(x[3], spans))])
+def _differs(column: pa.Array) -> np.ndarray:
+    """For each value but the first whether it is another than the one before."""
+    try:
+        return pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+    except pa.ArrowNotImplementedError:
+        values = column.to_pylist()
+        return np.array([u != v for u, v in zip(values[1:], values, strict=False)], bool)
 
 
-def _covered(pos: int, spans: list[tuple[int, int]]) -> bool:
-    """Spans are in order and apart."""
-    k = bisect_right(spans, (pos, float("inf"))) - 1
-    return k >= 0 and pos < spans[k][1]
+def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list[pa.Array], np.ndarray]]:
+    """Columns of rows in which all of a group (equal in the first ``keys`` columns) come together, and each row's group."""
+    held: list[pa.RecordBatch] = []
 
+    def put() -> tuple[list[pa.Array], np.ndarray]:
+        columns = [pa.concat_arrays(c) for c in zip(*(b.columns for b in held), strict=True)]
+        return columns, np.concatenate([[0], np.cumsum(np.logical_or.reduce([_differs(c) for c in columns[:keys]]))])
 
-def _by_document(rows: DataFrame, of_one: Callable, spans: DataFrame | None = None) -> DataFrame:
-    """``of_one`` of each document's rows, in order, and of its spans, joined where they meet."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        cuts = np.flatnonzero(np.logical_or.reduce([_differs(batch.column(k)) for k in range(keys)])) + 1
+        if len(cuts):
+            held.append(batch.slice(0, cuts[0]))
+            if len(held) > 1 and any(held[-1].column(k)[0].as_py() != held[-2].column(k)[0].as_py() for k in range(keys)):
+                last = held.pop()
+                yield put()
+                held = [last]
+            held.append(batch.slice(cuts[0], cuts[-1] - cuts[0]))
+            yield put()
+            held = [batch.slice(cuts[-1])]
+        else:
+            if held and any(batch.column(k)[0].as_py() != held[-1].column(k)[0].as_py() for k in range(keys)):
+                yield put()
+                held = []
+            held.append(batch)
+    if held:
+        yield put()
+
+
+def _integers(column: pa.Array) -> np.ndarray:
+    return column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+#: A row's document and place as one number, and rows that are made at once.
+FAR, AT_ONCE = 1 << 32, 1 << 16
+
+
+def _paired(doc: np.ndarray, pos: np.ndarray, seed: np.ndarray, weight: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Two seeds in reach of each other, of which one at least is in no passage yet, as one key: documents that share a
+    chain share such a key. First and second row, key and weight of each."""
+    place = doc * FAR + pos
+    numbered = np.isin(place, place[seed & 1 == 1])  # places of repeats: there the two numbers of a seed pair with their like
+    one, two, i, step = [], [], np.arange(len(doc)), 0
+    while True:
+        step += 1
+        i = i[i + step < len(doc)]
+        i = i[place[i + step] - place[i] <= FURTHEST]
+        if not len(i):
+            break
+        j = i + step
+        mixed = ((seed[i] ^ seed[j]) & 1 == 1) & numbered[np.where(seed[i] & 1 == 1, j, i)]
+        good = (pos[j] > pos[i]) & (fresh[i] | fresh[j]) & ~mixed
+        one.append(i[good])
+        two.append(j[good])
+    if not one:
+        return (np.zeros(0, np.int64),) * 4
+    i, j = np.concatenate(one), np.concatenate(two)
+    order = np.lexsort((j, i))
+    i, j = i[order], j[order]
+    key = mix(mix(seed[i].view(np.uint64)) + seed[j].view(np.uint64)).view(np.int64)
+    return i, j, key, _led(doc[i], key, weight[i])
+
+
+def _led(doc: np.ndarray, key: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights as of ``leading``, whatever they were before."""
+    return leading(key, np.where(weight < 0, -1 - weight, weight), doc)
+
+
+def _by_document(rows: DataFrame, pairs: bool, spans: DataFrame) -> DataFrame:
+    """Of each document the keys that its spans, joined where they meet, leave: those of which one seed at least is in no
+    passage yet. ``pairs``: the rows are single seeds, of which keys of two are made."""
     kind = rows.schema["_id"].dataType.simpleString()
-    rows = rows.select("_id", "pos", "seed", "tail", "pos2", "tail2", "weight")
-    if spans is not None:
-        none = [F.lit(None).cast(t).alias(n) for n, t in (("seed", "long"), ("tail", "binary"), ("tail2", "binary"), ("weight", "int"))]
-        rows = rows.unionByName(spans.select("_id", "pos", F.col("stop").alias("pos2"), *none))
+    names = ["_id", "seed", "pos", "tail", "pos2", "tail2", "weight"]
+    none = [F.lit(None).cast(t).alias(n) for n, t in (("seed", "long"), ("tail", "binary"), ("tail2", "binary"), ("weight", "int"))]
+    rows = rows.select("_id", "pos", "seed", "tail", "pos2", "tail2", "weight").unionByName(spans.select("_id", "pos", F.col("stop").alias("pos2"), *none))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def of_document(key: object, held: list[tuple]) -> list[tuple]:
-            merged, at = [], []
-            for x in held:
-                if x[1] is not None:
-                    at.append(x)
-                elif merged and x[0] <= merged[-1][1]:
-                    merged[-1] = (merged[-1][0], max(merged[-1][1], x[3]))
-                else:
-                    merged.append((x[0], x[3]))
-            return [(key, *x) for x in of_one(at, merged)]
-
-        key, held, ready, types = None, [], [], None
-
-        def batch_of() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*ready), types, strict=True)], ["_id", "seed", "pos", "tail", "pos2", "tail2", "weight"])
-
-        for batch in batches:
-            types = types or [batch.schema.field(0).type, pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.int32()]
-            for i, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if i != key:
-                    ready += of_document(key, held)
-                    key, held = i, []
-                held.append(tuple(row))
-            if ready:
-                yield batch_of()
-                ready = []
-        if ready := of_document(key, held):
-            yield batch_of()
+        for (ids, pos, seed, tail, pos2, tail2, weight), doc in _grouped(batches, 1):
+            span = seed.is_null().to_numpy(zero_copy_only=False)
+            start, stop = _integers(pos), _integers(pos2)
+            begins, reach = (doc * FAR + start)[span], np.maximum.accumulate((doc * FAR + stop)[span])
+
+            def covered(d: np.ndarray, p: np.ndarray) -> np.ndarray:
+                if not len(begins):
+                    return np.zeros(len(d), bool)
+                k = np.searchsorted(begins, d * FAR + p, "right") - 1
+                return (k >= 0) & (reach[k] > d * FAR + p)
+
+            at = np.flatnonzero(~span)
+            d, key, w = doc[at], _integers(seed)[at], _integers(weight)[at]
+            out = ~covered(d, start[at])
+            if pairs:
+                i, j, key, w = _paired(d, start[at], key, w, out)
+                i, j = at[i], at[j]
+                second, second_tail = start[j], tail
+            else:
+                out |= ~covered(d, stop[at])
+                i, key, w = at[out], key[out], _led(d[out], key[out], w[out])
+                j, second, second_tail = i, stop[i], tail2
+            for low in range(0, len(i), AT_ONCE):
+                k = slice(low, low + AT_ONCE)
+                one, two = pa.array(i[k]), pa.array(j[k])
+                columns = [ids.take(one), pa.array(key[k]), pos.take(one), tail.take(one), pa.array(second[k].astype(np.int32)), second_tail.take(two), pa.array(w[k].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     dealt = rows.repartition("_id").sortWithinPartitions("_id", "pos", "pos2")
     return dealt.mapInArrow(run, f"_id {kind}, seed long, pos int, tail binary, pos2 int, tail2 binary, weight int")
@@ -417,28 +548,20 @@ def _chained(matches: DataFrame, id_col: str) -> DataFrame:
     names = [id_col, "start_word", "end_word", "partner_id", "partner_start", "partner_end", "agreeing_words", "own"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def of_pair(held: list[tuple]) -> list[tuple]:
-            return _passages(sorted({(x[k], x[k + 1], x[k + 2], x[k + 3]) for x in held for k in (0, 4) if x[k] is not None}, key=lambda m: m[:2]))
-
-        def out(pairs: list) -> pa.RecordBatch:
-            rows = [(key[0], s, e, key[1], ps, pe, n, False) for key, found in pairs for s, e, ps, pe, n in found]
-            rows += [(key[1], ps, pe, key[0], s, e, n, True) for key, found in pairs for s, e, ps, pe, n in found]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names)
-
-        key, held, ready, types = None, [], [], None
-        for batch in batches:
-            types = types or [batch.schema.field(0).type, pa.int32(), pa.int32(), batch.schema.field(0).type, pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
-            for i, anchor, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (i, anchor) != key:
-                    if held and (got := of_pair(held)):
-                        ready.append((key, got))
-                    key, held = (i, anchor), []
-                held.append(tuple(row))
-            if ready:
-                yield out(ready)
-                ready = []
-        if held and (got := of_pair(held)):
-            yield out([(key, got)])
+        for (ids, anchors, pos, apos, tail, atail, pos2, apos2, tail2, atail2), pair in _grouped(batches, 2):
+            two = np.flatnonzero(pos2.is_valid().to_numpy(zero_copy_only=False))
+            begin, b, a = heads(pair), _integers(pos), _integers(apos)
+            if len(two):
+                at = pa.array(two)
+                pair, b, a = (np.concatenate([u, v[two]]) for u, v in ((pair, pair), (b, _integers(pos2)), (a, _integers(apos2))))
+                tail, atail = pa.concat_arrays([tail, tail2.take(at)]), pa.concat_arrays([atail, atail2.take(at)])
+            found, *spans = aligned(pair, b, a, tail, atail)
+            if not len(found):
+                continue
+            row, (s, e, ps, pe, n) = pa.array(begin[found]), (pa.array(c.astype(np.int32)) for c in spans)
+            mine, other = ids.take(row), anchors.take(row)
+            yield pa.RecordBatch.from_arrays([mine, s, e, other, ps, pe, n, pa.array(np.zeros(len(n), bool))], names)
+            yield pa.RecordBatch.from_arrays([other, ps, pe, mine, s, e, n, pa.array(np.ones(len(n), bool))], names)
 
     dealt = matches.repartition("_id", "anchor").sortWithinPartitions("_id", "anchor", "pos")
     return dealt.mapInArrow(run, f"`{id_col}` {kind}, start_word int, end_word int, partner_id {kind}, partner_start int, partner_end int, agreeing_words int, own boolean")
@@ -466,17 +589,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         met = ranked.join(lead, "seed").filter(F.col("_id") != F.col("a._id"))
         second = [F.when(F.col("tail2").isNotNull(), F.col(c)).alias(n) for c, n in (("pos2", "pos2"), ("a.pos2", "apos2"))]
         matches = met.select("_id", F.col("a._id").alias("anchor"), "pos", F.col("a.pos").alias("apos"), "tail", F.col("a.tail").alias("atail"), *second, "tail2", F.col("a.tail2").alias("atail2"))
-        rounds.append(checkpointed(_chained(matches, id_col)))
-        if len(rounds) > 1 and rounds[-1].isEmpty():
+        found, of_found = stored(_chained(matches, id_col))
+        rounds.append(of_found)
+        if len(rounds) > 1 and found.isEmpty():
             break
-        spans = rounds[-1].select(F.col(id_col).alias("_id"), F.col("start_word").alias("pos"), F.col("end_word").alias("stop")).distinct()
+        spans = found.select(F.col(id_col).alias("_id"), F.col("start_word").alias("pos"), F.col("end_word").alias("stop")).distinct()
         # The first round leaves keys of two seeds; of those, an anchor has met all that hold its keys and goes.
         left = rows if len(rounds) == 1 else ranked.join(anchors.filter("n > 2"), "seed").filter(F.col("rank") != F.col("first"))
-        rows, next_ = stored(_by_document(left, _paired if len(rounds) == 1 else _open, spans))
+        rows, next_ = stored(_by_document(left, len(rounds) == 1, spans))
         dropped(docs.sparkSession, of_rows)
         of_rows = next_
     dropped(docs.sparkSession, of_rows)
-    chained = reduce(DataFrame.unionByName, rounds)
+    chained = docs.sparkSession.read.schema(found.schema).parquet(*rounds)
     # An anchor's span is the same for all its partners: it stays once.
     names = ["partner_id", "partner_start", "partner_end", "agreeing_words"]
     own = chained.filter("own").groupBy(id_col, "start_word", "end_word").agg(F.min(F.struct(*names)).alias("p")).select(id_col, "start_word", "end_word", "p.*")
