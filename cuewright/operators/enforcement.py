@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import col, folded, let, normalize_inline, normalize_text, text, word_pattern
 from ..plans.registry import query, table
 from ..sources.staging import CUES, LINES, cues, lines
 from .finished import BILINGUAL, OVERLAY, all_targets, evaluated, marked_events, pairs_of_older_files, two_sides
-from .terminology import _entries, files_of_series, met_entries, valid_entries
+from .terminology import _entries, files_of_series, keyed_texts, stands, valid_entries, variants_of
 
 #: What an entry holds, in a line's list of matched entries; the list is in the order of ``place``.
 ENTRY = "place struct<source:int,ordinal:long>, preferred string, zh_aliases array<string>, variants array<string>, cased boolean"
@@ -33,93 +33,140 @@ def entry(source: Column | int, ordinal: str = "ordinal") -> Column:
     )
 
 
-def canonicalized(c: Column | str, entries: Column | str) -> Column:
-    """STR23 over all matched entries, one after the other: Chinese aliases, the longest first, become the preferred form,
-    unless they are part of it and it stands there already; then English variants as whole words."""
+def prepared(e: Column) -> Column:
+    """An entry with what the fold would else find anew for each line: the folded words of each variant."""
+    uses = F.transform(e["variants"], lambda v: F.struct(v.alias("variant"), F.split(folded(normalize_text(v)), " ").alias("words")))
+    return F.struct(e["place"].alias("place"), e["preferred"].alias("preferred"), e["zh_aliases"].alias("zh_aliases"), uses.alias("uses"), e["cased"].alias("cased"))
+
+
+def folded_in(c: Column, entries: Column) -> Column:
+    """The fold of ``canonicalized`` over prepared entries. The folded text goes along and is made anew only after a change."""
+    state = lambda x: let(x, lambda y: F.struct(y.alias("x"), folded(y).alias("held")))
 
     def of_entry(acc: Column, e: Column) -> Column:
         preferred = e["preferred"]
-        skip = lambda x, a: (a == preferred) | (F.contains(preferred, a) & F.contains(x, preferred))
-        chinese = F.aggregate(e["zh_aliases"], acc, lambda x, a: F.when(skip(x, a), x).otherwise(F.replace(x, a, preferred)))
+        skip = lambda x, a: ~F.contains(x, a) | (a == preferred) | (F.contains(preferred, a) & F.contains(x, preferred))
+        chinese = F.aggregate(e["zh_aliases"], acc["x"], lambda x, a: F.when(skip(x, a), x).otherwise(F.replace(x, a, preferred)))
+        begun = let(chinese, lambda x: F.when(x == acc["x"], acc).otherwise(state(x)))
         literal = F.regexp_replace(preferred, r"([\\$])", r"\\$1")
         pattern = lambda v: F.when(e["cased"], F.regexp_replace(word_pattern(v), r"^\(\?iuU\)", "(?U)")).otherwise(word_pattern(v))
         # Most variants are not in the text: a pattern is made and compiled only for those of which all words stand there.
-        met = lambda x, v: let(folded(x), lambda held: F.forall(F.split(folded(normalize_text(v)), " "), lambda w: F.contains(held, w)))
-        return F.when(preferred == "", acc).otherwise(F.aggregate(e["variants"], chinese, lambda x, v: F.when(met(x, v), F.regexp_replace(x, pattern(v), literal)).otherwise(x)))
+        met = lambda t, u: F.forall(u["words"], lambda w: F.contains(t["held"], w))
+        done = F.aggregate(e["uses"], begun, lambda t, u: F.when(met(t, u), state(F.regexp_replace(t["x"], pattern(u["variant"]), literal))).otherwise(t))
+        return F.when(preferred == "", acc).otherwise(done)
+
+    return F.aggregate(entries, state(c), of_entry)["x"]
 
-    return F.aggregate(F.array_sort(col(entries)), text(c), of_entry)
+
+def canonicalized(c: Column | str, entries: Column | str) -> Column:
+    """STR23 over all matched entries, one after the other: Chinese aliases, the longest first, become the preferred form,
+    unless they are part of it and it stands there already; then English variants as whole words."""
+    return folded_in(text(c), F.transform(F.array_sort(col(entries)), prepared))
 
 
 def enforced_text(c: Column, entries: Column, fallback: Column) -> tuple[Column, Column]:
     """STR24: the text with its variants replaced, or the fallback, so treated, where the text lacks a preferred form that
     the fallback has; and the forms that are missing all the same (none: an empty list)."""
-    result, other = canonicalized(c, entries), canonicalized(fallback, entries)
-    needed = F.when(text(fallback) != "", F.filter(F.transform(F.array_sort(col(entries)), lambda e: e["preferred"]), lambda p: F.contains(other, p)))
-    needed = F.coalesce(needed, F.array().cast("array<string>"))
-    final = F.when(F.forall(needed, lambda p: F.contains(result, p)), result).otherwise(other)
-    return final, F.filter(needed, lambda p: ~F.contains(final, p))
+    forms = F.transform(F.array_sort(col(entries)), lambda e: e["preferred"])
+
+    def of_both(both: Column) -> Column:
+        result, other = both["result"], both["other"]
+        needed = F.coalesce(F.when(text(fallback) != "", F.filter(forms, lambda p: F.contains(other, p))), F.array().cast("array<string>"))
+        final = lambda needed: F.when(F.forall(needed, lambda p: F.contains(result, p)), result).otherwise(other)
+        missing = lambda t, needed: F.filter(needed, lambda p: ~F.contains(t, p))
+        return let(needed, lambda n: let(final(n), lambda t: F.struct(t.alias("text"), missing(t, n).alias("missing"))))
+
+    done = let(F.struct(canonicalized(c, entries).alias("result"), canonicalized(fallback, entries).alias("other")), of_both)
+    return done["text"], done["missing"]
 
 
 def merged_terminology(project: DataFrame, own: DataFrame, files: DataFrame) -> DataFrame:
     """Entries of the project (by the series in a file's name, ``stem`` null) and of single files (``stem``): a file's entry
-    goes if the project has one of that source for this file, and of a file's entries of one source the first stays."""
+    goes if the project has one of that source for this file, and of a file's entries of one source the first stays.
+
+    Of a source that the project has more than once, the first that fits a file counts, whether it matches or not: entries
+    that are the first nowhere go, the others name the series (``before``) of which a file has an earlier one.
+    """
     key = F.lower(normalize_inline("source_en"))
     project = valid_entries(project).withColumn("_key", key)
     own = valid_entries(own).withColumn("_key", key)
-    fits = files_of_series(files, project).select(F.col("stem").alias("_file"), F.col("series").alias("_series"))
+    of_all = normalize_inline(F.regexp_replace(text("series"), r"[._\-]+", " ")) == ""
+    of_key = Window.partitionBy("_key")
+    least = F.least(F.min(F.when(of_all, F.col("ordinal"))).over(of_key), F.min("ordinal").over(Window.partitionBy("_key", "series")))
+    project = project.withColumn("_least", least).filter(~F.coalesce(F.col("ordinal") > F.col("_least"), F.lit(False))).drop("_least")
+    others = F.collect_set(F.when(~of_all, F.struct("ordinal", "series"))).over(of_key)
+    project = project.withColumn("_others", others).withColumn("before", F.transform(F.filter("_others", lambda o: o["ordinal"] < F.col("ordinal")), lambda o: o["series"])).drop("_others")
     own = own.groupBy("stem", "_key").agg(F.min_by(F.struct(*[c for c in own.columns if c not in ("stem", "_key")]), "ordinal").alias("e")).select("stem", "_key", "e.*")
     # Only files with entries of their own meet the project's, by source and series.
+    fits = files_of_series(files.join(own.select("stem").distinct(), "stem", "left_semi"), project).select(F.col("stem").alias("_file"), F.col("series").alias("_series"))
     of_file = own.select("stem", "_key").join(fits, F.col("stem") == F.col("_file"))
     known = project.select(F.col("_key").alias("_known"), F.col("series").alias("_of")).distinct()
     shadow = of_file.join(known, (F.col("_key") == F.col("_known")) & F.col("_of").eqNullSafe(F.col("_series"))).select("_file", "_key").distinct()
     left = own.join(shadow, (own["stem"] == shadow["_file"]) & (own["_key"] == shadow["_key"]), "left_anti")
     names = ["ordinal", "source_en", "preferred_zh", "aliases", "zh_aliases", "case_sensitive", "scope", "reviewed"]
-    both = project.select(*names, "series", F.lit(None).cast("long").alias("stem"), F.lit(0).alias("list"), "_key")
-    return both.unionByName(left.select(*names, F.lit(None).cast("string").alias("series"), F.col("stem").cast("long").alias("stem"), F.lit(1).alias("list"), "_key"))
+    both = project.select(*names, "series", F.lit(None).cast("long").alias("stem"), F.lit(0).alias("list"), "before")
+    return both.unionByName(left.select(*names, F.lit(None).cast("string").alias("series"), F.col("stem").cast("long").alias("stem"), F.lit(1).alias("list"), F.array().cast("array<string>").alias("before")))
+
+
+def file_terms(files: DataFrame, entries: DataFrame) -> DataFrame:
+    """stem, _series (those of the project's series that the file's name fits, null where it is no file of the project), _own
+    (whether it has entries of its own)."""
+    fits = files_of_series(files, entries.filter("list = 0").select("series")).select("stem", "series", F.lit(False).alias("_own"))
+    every = fits.unionByName(entries.filter("list = 1").select("stem", F.lit(None).cast("string").alias("series"), F.lit(True).alias("_own")).distinct())
+    return every.groupBy("stem").agg(F.when(F.count_if(~F.col("_own")) > 0, F.collect_set("series")).alias("_series"), F.max("_own").alias("_own"))
 
 
-def matched_lines(targets: DataFrame, entries: DataFrame, files: DataFrame) -> DataFrame:
-    """stem, seq, entries: the matched entries of each target line that has any, as the fold takes them.
+def matched_lines(rows: DataFrame, entries: DataFrame) -> DataFrame:
+    """Rows of events (``target``: whether they are targets; kind, zh, en, and of their file _series, _own) with the matched
+    entries of each, prepared for the fold.
 
-    Lines are matched in one pass and grouped where they are; a file's series then decide which of a line's entries count.
+    An event goes through the lookup once: its row of no piece brings the event itself, the others the entries that its pieces
+    meet, and they are grouped where they are. Entries of a file are met by its own lines only.
     """
-    listed = entries.withColumns({"entry": entry(F.col("list")), "of_stem": F.col("stem"), "of_series": F.col("series")}).drop("stem", "series")
-    met = met_entries(targets.select("stem", "seq", "kind", "en", "zh"), listed, "en", "kind", "zh").filter("of_stem IS NULL OR of_stem = stem")
-    lines = met.groupBy("stem", "seq").agg(F.collect_set(F.struct("entry", "_key", F.col("of_stem").isNotNull().alias("own"), "of_series")).alias("met"))
-    project = entries.filter("list = 0").drop("stem")
-    fits = files_of_series(files, project).select(F.col("stem").alias("_file"), F.col("series").alias("_series"))
-    series = fits.groupBy(F.col("_file").alias("stem")).agg(F.collect_set("_series").alias("_series"))  # null fits every file
-    # Of a source that the project has more than once, the first that fits a file counts, whether it matches or not.
-    twice = project.groupBy("_key").agg(F.count("*").alias("n")).filter("n > 1").select("_key")
-    several = project.join(twice, "_key").join(fits, F.col("series").eqNullSafe(F.col("_series")))
-    firsts = several.groupBy(F.col("_file").alias("stem"), "_key").agg(F.min("ordinal").cast("long").alias("_first"))
-    firsts = firsts.groupBy("stem").agg(F.map_from_entries(F.collect_list(F.struct("_key", "_first"))).alias("_firsts"))
-    lines = lines.join(series.join(firsts, "stem", "left"), "stem", "left")
-    first = lambda m: F.coalesce(F.try_element_at("_firsts", m["_key"]) == m["entry"]["place"]["ordinal"], F.lit(True))
-    fit = lambda m: F.col("_series").isNotNull() & (m["of_series"].isNull() | F.coalesce(F.array_contains("_series", m["of_series"]), F.lit(False))) & first(m)
-    kept = F.transform(F.filter("met", lambda m: m["own"] | fit(m)), lambda m: m["entry"])
-    return evaluated(lines, "entries", kept).filter("size(entries) > 0").select("stem", "seq", "entries")
+    listed = entries.withColumns({"entry": prepared(entry(F.col("list"))), "of_stem": F.col("stem"), "of_series": F.col("series")})
+    variants = variants_of(listed, "entry", "of_stem", "of_series", "before", chinese=True)
+    # A piece is a run of letters and digits or one or two characters, so keys of this kind are none.
+    own_key = lambda piece, stem: F.concat(piece, F.lit("\0"), F.col(stem).cast("string"))
+    variants = variants.withColumn("_piece", F.when(F.col("of_stem").isNull(), F.col("_piece")).otherwise(own_key(F.col("_piece"), "of_stem")))
+    event = F.struct(*[c for c in rows.columns if c not in ("stem", "seq", "kind", "zh", "en", "_series", "_own")])
+    rows = rows.select("stem", "seq", event.alias("_event"), F.coalesce("target", F.lit(False)).alias("_on"), "kind", "zh", "en", "_series", "_own")
+    texts = keyed_texts(rows, "en", "kind", "zh")
+    keys = F.when(F.col("_own"), F.concat("_keys", F.transform("_keys", lambda k: own_key(k, "stem")))).otherwise(F.col("_keys"))
+    alone = F.concat(F.lit("\0\0"), F.coalesce(F.col("stem").cast("string"), F.lit("")), F.lit("\0"), F.coalesce(F.col("seq").cast("string"), F.lit("")))
+    keys = F.concat(F.array(alone), F.when(F.col("_on") & F.col("stem").isNotNull() & F.col("seq").isNotNull(), keys).otherwise(F.array().cast("array<string>")))
+    pieces = texts.withColumn("_keys", keys).select("*", F.posexplode_outer("_keys").alias("_n", "_piece")).drop("_keys")
+    # Only one row of a line carries its event; the generator is an outer one, or Spark infers a filter that finds the pieces anew.
+    pieces = pieces.withColumn("_event", F.when(F.col("_n") == 0, F.col("_event")))
+    met = pieces.join(variants, ["_piece", "_chinese"], "left")
+    fits = F.col("_series").isNotNull() & (F.col("of_series").isNull() | F.array_contains("_series", F.col("of_series"))) & ((F.size("before") == 0) | ~F.arrays_overlap("before", "_series"))
+    met = met.filter((F.col("_n") == 0) | (F.col("entry").isNotNull() & (F.col("of_stem").isNotNull() | fits) & stands("zh")))
+    lines = met.groupBy("stem", "seq").agg(F.collect_set("entry").alias("entries"), F.collect_list("_event").alias("_events"))
+    return lines.select("stem", "seq", F.when(F.size("entries") > 0, F.array_sort("entries")).alias("entries"), F.explode("_events").alias("_event")).select("stem", "seq", "_event.*", "entries")
 
 
 def enforced_files(events: DataFrame, files: DataFrame, project: DataFrame, own: DataFrame, styles: list[str] | None = None, origins: list[str] | None = None) -> DataFrame:
     """DRV2: every event of finished files with its text after enforcement: stem, seq, text, target, matched, changed.
 
     Targets are those of a polish and all other events of two languages; of an event of two languages only the Chinese side
-    is rewritten. Lines meet entries by an equality join, and one line's matched entries are folded in their order.
+    is rewritten. Lines meet entries by an equality join, and one line's matched entries are folded in their order. Events are
+    dealt by file at first, where a file's series join them, and stay there.
     """
     styles = [*BILINGUAL, *OVERLAY] if styles is None else styles
+    entries = merged_terminology(project, own, files)
+    known = events.join(file_terms(files, entries), "stem", "left")
     if pairs_of_older_files(styles, origins):
         targets = all_targets(events, styles, origins)
-        rows = events.select("stem", "seq", "text").join(targets.select("stem", "seq", F.lit(True).alias("target")), ["stem", "seq"], "left")
+        rows = known.select("stem", "seq", "text", "_series", "_own").join(targets.withColumn("target", F.lit(True)), ["stem", "seq"], "left")
+        rows = evaluated(rows, "_two", F.when(F.col("target"), two_sides("text")))
     else:  # an event alone tells whether it is a target
-        marked = marked_events(events, styles, origins)
-        rows, targets = marked.select("stem", "seq", "text", "target"), marked.filter("target")
-    found = matched_lines(targets, merged_terminology(project, own, files), files)
-    rows = rows.join(found, ["stem", "seq"], "left")
-    rows = evaluated(rows, "two", F.when(F.col("entries").isNotNull(), two_sides("text")))
-    fixed = F.when(F.col("two").isNotNull(), F.concat(canonicalized("two.zh", "entries"), F.lit("\\N"), F.col("two.en"))).otherwise(canonicalized("text", "entries"))
-    rows = evaluated(rows, "fixed", F.when(F.col("entries").isNotNull(), fixed).otherwise(F.col("text")))
-    return rows.select("stem", "seq", F.col("fixed").alias("text"), F.coalesce("target", F.lit(False)).alias("target"), F.col("entries").isNotNull().alias("matched"), (F.col("entries").isNotNull() & (F.col("fixed") != F.col("text"))).alias("changed"))
+        rows = marked_events(known, styles, origins, keep=("_series", "_own"))
+    # Of an event of two languages the Chinese side is its beginning.
+    rows = rows.select("stem", "seq", "text", F.coalesce("target", F.lit(False)).alias("target"), F.length("_two.zh").alias("_zh"), "kind", "zh", "en", "_series", "_own")
+    rows = matched_lines(rows, entries)
+    side = F.when(F.col("_zh").isNotNull(), F.left("text", "_zh")).otherwise(text("text"))
+    rest = F.when(F.col("_zh").isNotNull(), F.substr("text", F.col("_zh") + 1)).otherwise("")
+    rows = evaluated(rows, "fixed", F.when(F.col("entries").isNotNull(), F.concat(folded_in(side, F.col("entries")), rest)).otherwise(F.col("text")))
+    return rows.select("stem", "seq", F.col("fixed").alias("text"), "target", F.col("entries").isNotNull().alias("matched"), (F.col("entries").isNotNull() & (F.col("fixed") != F.col("text"))).alias("changed"))
 
 
 def enforcement_counts(rows: DataFrame) -> DataFrame:
@@ -137,10 +184,10 @@ def enforced_units(units: Column | str, entries: Column | str) -> Column:
 
 def _finished(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents as events: Chinese with an alias and a leaked English word, above the line; or Chinese alone."""
-    en = F.trim(F.regexp_replace("text", "[^A-Za-z0-9,.]+", " "))
+    en = F.trim(F.regexp_replace("text", r"[^\p{Alnum},.]+", " "))
     rows = evaluated(lines(spark, sf_dir), "en", en).filter("en <> ''")
     k = F.col("seq") % 3
-    zh = F.concat(F.lit("看别名"), ((F.col("seq") * 7 + F.col("stem")) % 60).cast("string"), F.lit(" "), F.split("en", " ")[0], F.lit(" 吧"))
+    zh = F.concat(F.lit("看别名"), ((F.col("seq") * 7 + F.col("stem")) % 60).cast("string"), F.lit(" "), F.substring_index("en", " ", 1), F.lit(" 吧"))
     style = F.when(k == 0, "BILINGUAL").when(k == 1, "BILINGUAL_MUSIC").otherwise("OCR_TRANSLATION")
     time = F.col("seq").cast("long") * 100
     return rows.select("stem", F.col("seq").cast("long").alias("seq"), style.alias("style"), F.lit("").alias("name"), time.alias("start_cs"), (time + 90).alias("end_cs"), F.when(k == 2, zh).otherwise(F.concat(zh, F.lit("\\N"), "en")).alias("text"))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import MOJIBAKE_NOTE, cache_text, col, has_han, has_latin, let, music_symbols, normalize_inline, normalize_lines, normalize_text, squeeze, strip, text, text_key
+from ..functions.text import MOJIBAKE_NOTE, cache_text, col, has, has_han, has_latin, let, music_symbols, normalize_inline, normalize_lines, normalize_text, squeeze, strip, text, text_key, where
 from ..functions.times import centis_to_ass
 from ..plans.registry import query, table
 from ..sources.staging import CUES, cues
@@ -41,9 +41,18 @@ SERIES_NAMES = [
 LOOK = r"\\(?:fn[^\\}]*|fsc[xy][+-]?\d+(?:\.\d+)?|fs[+-]?\d+(?:\.\d+)?|[bi][01]|(?:[1-4]?c|alpha|[1-4]a)&H[0-9A-Fa-f]+&)"
 
 
+def _without_blocks(c: Column | str) -> Column:
+    return where(text(c), has("{"), lambda x: F.regexp_replace(x, r"\{[^}]*\}", ""))
+
+
 def shown(c: Column | str) -> Column:
     """What a viewer reads of an event's text: no override blocks, lines joined by a blank, none between Han characters."""
-    return cache_text(normalize_lines(music_symbols(F.regexp_replace(text(c), r"\{[^}]*\}", ""))))
+    return cache_text(normalize_lines(music_symbols(_without_blocks(c))))
+
+
+def _shows_no_han(c: Column) -> Column:
+    """Whether ``shown`` has something and nothing Chinese: white space is all that it takes from a text without blocks."""
+    return let(F.replace(_without_blocks(c), F.lit("\\N"), F.lit("\n")), lambda x: x.rlike(r"(?U)\S") & ~has_han(x))
 
 
 def without_look(c: Column | str) -> Column:
@@ -55,9 +64,9 @@ def two_sides(c: Column | str) -> Column:
     r"""Chinese and English of an event: English begins at the first \N part with its own font, else at the first part
     behind the first from which on something is shown and nothing Chinese; null where there is no such part."""
     def of_pieces(pieces: Column) -> Column:
-        rests = F.transform(pieces, lambda p, i: F.when(i > 0, shown(F.array_join(F.slice(pieces, i + 1, F.size(pieces)), "\\N"))).otherwise(""))
+        rests = F.transform(pieces, lambda p, i: F.when(i > 0, _shows_no_han(F.array_join(F.slice(pieces, i + 1, F.size(pieces)), "\\N"))).otherwise(False))
         font = F.array_position(F.transform(pieces, lambda p: F.contains(p, F.lit("\\fnArial"))), True)
-        plain = F.array_position(F.transform(rests, lambda r: (r != "") & ~has_han(r)), True)
+        plain = F.array_position(rests, True)
         part = lambda low, n: F.array_join(F.slice(pieces, low, n), "\\N")
         return let(F.when(font > 0, font).otherwise(plain).cast("int"), lambda at: F.when(at > 1, F.struct(part(F.lit(1), at - 1).alias("zh"), part(at, F.size(pieces)).alias("en"))))
 
@@ -136,10 +145,10 @@ def pairs_of_older_files(styles: list[str], origins: list[str] | None) -> bool:
     return (origins is None or "unknown" in origins) and any(s in styles for s in PAIRED_TARGET)
 
 
-def marked_events(events: DataFrame, styles: list[str], origins: list[str] | None = None) -> DataFrame:
+def marked_events(events: DataFrame, styles: list[str], origins: list[str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """FLT13 and FLT14 without pairs of older files, in one pass: each event with its two sides as they stand (``_two``),
     whether it is a target of a polish (``_polish``) or else, as an event of two languages, of names (``target`` for both),
-    and as what a target shows: kind, zh, en."""
+    and as what a target shows: kind, zh, en. ``keep``: further columns that stay."""
     made = _sides(events)
     style = F.lower(F.trim("style"))
     named = F.when(F.contains(style, F.lit("chant")), "chant").when(style.rlike("lyric|music|song"), "lyric").otherwise(F.coalesce(_kind(F.trim("style"), BILINGUAL), F.lit("dialogue")))
@@ -149,7 +158,7 @@ def marked_events(events: DataFrame, styles: list[str], origins: list[str] | Non
     zh, en = (F.when(polish | ~apart, F.col(c)).otherwise(shown(f"_two.{c}")) for c in ("zh", "en"))
     rows = evaluated(made, "_t", F.struct(polish.alias("polish"), F.when(polish, F.col("kind")).otherwise(named).alias("kind"), zh.alias("zh"), en.alias("en")))
     target = F.col("_t.polish") | (F.col("_two").isNotNull() & (F.col("_t.en") != ""))
-    return rows.select("stem", "seq", "text", "_two", F.col("_t.polish").alias("_polish"), target.alias("target"), "_t.kind", "_t.zh", "_t.en")
+    return rows.select("stem", "seq", "text", "_two", F.col("_t.polish").alias("_polish"), target.alias("target"), "_t.kind", "_t.zh", "_t.en", *keep)
 
 
 def all_targets(events: DataFrame, styles: list[str], origins: list[str] | None = None) -> DataFrame:
