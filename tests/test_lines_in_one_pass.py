@@ -75,3 +75,10 @@ def test_scopes_by_known_and_other_kinds(spark):
     texts = spark.createDataFrame([("the bay", k) for k in kinds], "text string, kind string")
     found = sorted((r.kind or "", r.ordinal) for r in terminology.met_entries(texts, entries).collect())
     assert found == sorted((r.kind or "", r.ordinal) for r in texts.crossJoin(entries).filter(terminology.scope_fits("scope", "kind")).collect())
+
+
+def test_packed_entries_come_back_as_they_were(spark):
+    rows = [(1, "Grand  Harbour", "大港", ["a\nb", "Bay", ""], ["旧港", "别 港"], True, None, True), (2, "x", "", None, None, None, None, True), (3, "\\N", "湾", ["\\N"], [], False, None, True)]
+    e = enforcement.prepared(enforcement.entry(0))
+    frame = spark.createDataFrame(rows, ENTRY).select(e.alias("e"), enforcement.unpacked(enforcement.packed(e)).alias("u"))
+    assert [r.e.asDict(True) for r in frame.collect()] == [r.u.asDict(True) for r in frame.collect()]
